@@ -7,8 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
-from .shared import table
+from . import bpe, packing, simhash, token_counts, token_files
+from .shared import Workspace, table
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +22,30 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), capacity=1024, end=0)
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=1024)
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = Workspace(spark)
+    folder = ws.path("tokens")
+    manifest = ws.save(token_files.write(table(spark, sf_dir, "documents"), folder, tokenizer_file("byte_bpe_50k.json"), end=0), "manifest")
+    return token_files.read_digests(manifest, folder)
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_packing": op2_packing,
+    "op3_token_counts": op3_token_counts,
+    "op5_token_files": op5_token_files,
+    "op8_bpe": op8_bpe,
 }
 ORACLE_SQL: dict[str, str] = {}
