@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, simhash, token_counts, token_files
+from . import bpe, packing, simhash, token_counts, token_files, vectors
 from .shared import Workspace, table
 
 
@@ -30,6 +30,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=1024)
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark)
     folder = ws.path("tokens")
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_packing": op2_packing,
     "op3_token_counts": op3_token_counts,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_token_files": op5_token_files,
     "op8_bpe": op8_bpe,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +47,20 @@ class Workspace:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def forest(n: int, us: list[np.ndarray], vs: list[np.ndarray]) -> np.ndarray:
+    """Label of each of n nodes: the smallest node that its links reach."""
+    label = np.arange(n)
+    u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
+    while True:
+        low = np.minimum(label[u], label[v])
+        before = label.copy()
+        np.minimum.at(label, label[u], low)
+        np.minimum.at(label, label[v], low)
+        label = label[label]
+        if (label == before).all():
+            return label
+
+
 def components(edges: DataFrame, ws: Workspace, tag: str = "components") -> DataFrame:
     """Connected components of ``edges(u, v)`` as ``(node, component)``, the smallest node naming each.
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import Workspace, components
+from .shared import Workspace, components, forest
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -121,20 +121,6 @@ def _close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return near[np.bitwise_count(x[near]) <= MAX_BITS]
 
 
-def forest(n: int, us: list[np.ndarray], vs: list[np.ndarray]) -> np.ndarray:
-    """Label of each of n nodes: the smallest node that its links reach."""
-    label = np.arange(n)
-    u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
-    while True:
-        low = np.minimum(label[u], label[v])
-        before = label.copy()
-        np.minimum.at(label, label[u], low)
-        np.minimum.at(label, label[v], low)
-        label = label[label]
-        if (label == before).all():
-            return label
-
-
 HELD_LINKS = 1 << 21
 
 
