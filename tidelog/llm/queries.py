@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, simhash, token_counts, token_files, vectors
+from . import bpe, packing, pii, secrets, simhash, spotsigs, token_counts, token_files, toxicity, vectors
 from .shared import Workspace, table
 
 
@@ -41,16 +41,44 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(manifest, folder)
 
 
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_edited(table(spark, sf_dir, "documents"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+#: The chain's order: text of low quality is told first and helps to tell the toxic.
+TOXICITY_CATEGORIES = ["low_quality", "toxic"]
+
+
+def toxicity_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), toxicity_labels(spark, sf_dir), TOXICITY_CATEGORIES)
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_packing": op2_packing,
     "op3_token_counts": op3_token_counts,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_token_files": op5_token_files,
+    "op6_spotsigs": op6_spotsigs,
+    "op7_secret_scan": op7_secret_scan,
     "op8_bpe": op8_bpe,
+    "op9_toxicity": op9_toxicity,
+    "op10_pii": op10_pii,
 }
 ORACLE_SQL: dict[str, str] = {}
