@@ -124,19 +124,30 @@ def report(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of ``text`` replaced by the mark and ``n_chars``, where there is one, counted anew; columns and rows stay."""
-    spans = scan(docs).select(F.col("doc_id").alias("_doc"), F.col("h").alias("_h"), F.array_sort(F.concat(*[b[0] for b in BASE], "links")).alias("_spans"))
-    spans = spans.where(F.size("_spans") > 0).dropDuplicates(["_doc", "_h"])
-    df = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_h")), "left")
+    spans = scan(docs).select("doc_id", "h", F.array_sort(F.concat(*[b[0] for b in BASE], "links")).alias("spans"))
+    spans = spans.where(F.size("spans") > 0).dropDuplicates(["doc_id", "h"])
+    same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("s.h"))
+    df = docs.alias("d").join(spans.alias("s"), same, "left")
+    text = F.col("d.text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(done: Column, span: Column) -> Column:
-        kept = F.substring(F.col("text"), done["at"] + 1, span["start"] - done["at"])
+        kept = F.substring(text, done["at"] + 1, span["start"] - done["at"])
         after = F.struct(span["end"].alias("at"), F.concat(done["out"], kept, F.lit(mark)).alias("out"))
         inside = F.struct(F.greatest(done["at"], span["end"]).alias("at"), done["out"].alias("out"))
         return F.when(span["start"] >= done["at"], after).otherwise(inside)
 
-    clean = F.aggregate("_spans", start, step, lambda done: F.concat(done["out"], F.substring(F.col("text"), done["at"] + 1, F.length("text"))))
-    df = df.withColumn("text", F.when(F.col("_spans").isNotNull(), clean).otherwise(F.col("text")))
+    clean = F.aggregate("s.spans", start, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+    new = F.when(F.col("s.h").isNotNull(), clean).otherwise(text)
+    df = df.select(*[new.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns], F.col("s.h").isNotNull().alias(own := _fresh(docs)))
     if "n_chars" in docs.columns:
-        df = df.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        df = df.withColumn("n_chars", F.when(F.col(own), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return df.select(*docs.columns)
+
+
+def _fresh(df: DataFrame) -> str:
+    """A column name that the frame doesn't have."""
+    name = "changed"
+    while name in {c.lower() for c in df.columns}:
+        name += "_"
+    return name

@@ -93,14 +93,19 @@ def text_fingerprints(texts: list[str | None]) -> np.ndarray:
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        fps = text_fingerprints(batch.column(1).to_pylist())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+        fps = text_fingerprints(batch.column(2).to_pylist())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fps.view(np.int64))], names=["doc_id", "h", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp)`` for each row, fp as a signed long with the same 64 bits."""
-    kind = docs.schema["doc_id"].dataType
-    return docs.select("doc_id", "text").mapInArrow(_fingerprint_batches, T.StructType([T.StructField("doc_id", kind), T.StructField("fp", T.LongType())]))
+    """``(doc_id, h, fp)`` for each row: the text's hash, and fp as a signed long with the same 64 bits."""
+    rows = docs.select("doc_id", _text_hash().alias("h"), "text")
+    shape = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("h", T.LongType()), T.StructField("fp", T.LongType())])
+    return rows.mapInArrow(_fingerprint_batches, shape)
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def as_hex(fp: str) -> Column:
@@ -189,21 +194,22 @@ def links(fps: DataFrame, ws: Workspace) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for each row of ``docs(doc_id, text)``."""
+    """``(doc_id, h, fp, component, component_id)`` for each row of ``docs(doc_id, text)``; component is a fingerprint."""
     ws = Workspace(docs.sparkSession)
     prints = ws.save(fingerprints(docs), "fingerprints")
     each = ws.save(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     found = components(links(each, ws), ws)
     named = each.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    return prints.join(named.join(least, "component").select("fp", "component_id"), "fp")
+    return prints.join(named.join(least, "component").select("fp", "component", "component_id"), "fp").select("doc_id", "h", "fp", "component", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, one row an id; the columns stay."""
-    keep = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count()
-    keep = Workspace(docs.sparkSession).save(keep, "kept")
-    ids = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
-    once = docs.alias("d").join(keep.where("count = 1").alias("k"), ids, "left_semi")
-    again = docs.alias("d").join(keep.where("count > 1").alias("k"), ids, "left_semi").dropDuplicates(["doc_id"])
+    """One row of ``docs`` of each component, of those that name it the one with the least text hash; the columns stay."""
+    naming = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keep = naming.groupBy("component").agg(F.min(F.struct("h", "doc_id")).alias("row"), F.count("*").alias("rows"))
+    keep = Workspace(docs.sparkSession).save(keep.select("row.*", "rows"), "kept")
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("k.h"))
+    once = docs.alias("d").join(keep.where("rows = 1").alias("k"), same, "left_semi")
+    again = docs.alias("d").join(keep.where("rows > 1").alias("k"), same, "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(again)
