@@ -35,11 +35,11 @@ from .shared import Workspace
 
 SAMPLE = 20_000
 BUCKETS = 1 << 21
-FEATURES = 4096
+FEATURES = 2048
 FOLDS = 5
 PRECISION = 0.99
 TELLS = 4.0
-ROUNDS = 150
+ROUNDS = 100
 RIDGE = 1e-4
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5, 6)
