@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 
 CHAIN = 3
 FEW = 3
-SHARE = 16
+SHARE = 32
 MOST_BUCKETS = 4096
 #: Common words of English, German, French and Spanish.
 COMMON = """
-the of and to in is that it for was on with be by this are at from
-der die und das den von zu mit sich auf ist im nicht dem ein eine für
-le la les de des et un une du que en est pour pas par dans sur qui
-el los las del y se por con una su al lo como más o
+the of and to in is that it for was
+der die und das den von zu mit sich auf
+le la les de des et un du que en
+el los las del y se por con una su
 """.split()
 
 
