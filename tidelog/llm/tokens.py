@@ -19,7 +19,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the unit of parallelism
 
 #: Pre-tokens remembered by a worker; beyond it the memory starts afresh, and results stay the same.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: The pre-token pattern that byte_bpe files name by "use_regex", in Python's classes.
 BYTE_SPLIT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
