@@ -48,3 +48,20 @@ def test_a_batch_run_again_replaces_itself(spark, tmp_path):
 def test_bounded_topics(spark, log, tmp_path):
     _part(log, 0, 3000, str(tmp_path / "t"), "p=0")
     assert sinks.topic_table(spark, str(tmp_path / "t"), assembly.MINED).count() == log.where("scn < 3000").count()
+
+
+def test_data_source_prunes_files_by_position(spark, log, tmp_path):
+    from tidelog.sources.redo_files import _Reader, register
+
+    for low, high in ((0, 3000), (3000, 6000), (6000, 10**9)):
+        rows = log.where((F.col("scn") >= low) & (F.col("scn") < high)).toJSON().collect()
+        (tmp_path / f"{low}-{high}.json").write_text("\n".join(rows))
+    register(spark)
+    df = spark.read.format("redo_files").load(str(tmp_path))
+    assert df.count() == log.count()
+    assert df.where("scn >= 3500 and scn < 5000").count() == log.where("scn >= 3500 and scn < 5000").count()
+    from pyspark.sql.datasource import GreaterThanOrEqual, LessThan
+
+    reader = _Reader(str(tmp_path), ["scn"])
+    list(reader.pushFilters([GreaterThanOrEqual(("scn",), 3500), LessThan(("scn",), 5000)]))
+    assert [p.value.rsplit("/", 1)[1] for p in reader.partitions()] == ["3000-6000.json"]

@@ -24,7 +24,7 @@ def carry_forward(changes: DataFrame, key: list[str], order: str, value: str, kn
     at = Window.partitionBy(*key).orderBy(order)
     lives = changes.withColumn("_life", F.coalesce(F.sum((F.col("op_code") == DELETE).cast("int")).over(at.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     held = F.last(F.when(known, F.struct(F.col(value).alias("v"))), ignorenulls=True).over(Window.partitionBy(*key, "_life").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return lives.withColumn(value, held["v"]).withColumn("resolved", held.isNotNull()).drop("_life")
+    return lives.withColumn("_held", held).withColumn(value, F.col("_held.v")).withColumn("resolved", F.col("_held").isNotNull()).drop("_life", "_held")
 
 
 def diff(left: DataFrame, right: DataFrame, key: list[str], values: list[str]) -> DataFrame:

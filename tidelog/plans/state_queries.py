@@ -11,13 +11,13 @@ from tidelog.plans.transaction_queries import survivors
 from tidelog.sources import derived as d
 
 TX = d.TX
-CENTS = F.round(F.col("value") * 100).cast("long").alias("cents")
+CENTS = "cast(round(value * 100) as bigint) as cents"
 CH_SQL = f"{d.SURVIVORS_SQL}, ch AS (SELECT tab, user_id, scn, commit_scn, op_code, CAST(ROUND(value * 100) AS BIGINT) AS cents, commit_scn * 1000000 + event_index AS pos, event_id FROM sv)"
 LAST_SQL = "(SELECT *, ROW_NUMBER() OVER (PARTITION BY tab, user_id ORDER BY pos DESC) AS rn FROM ch{where})"
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return survivors(spark, sf_dir).select("tab", "user_id", "scn", "commit_scn", "op_code", CENTS, (F.col("commit_scn") * 1000000 + F.col("event_index")).alias("pos"), "event_id")
+    return survivors(spark, sf_dir).select("tab", "user_id", "scn", "commit_scn", "op_code", F.expr(CENTS), (F.col("commit_scn") * 1000000 + F.col("event_index")).alias("pos"), "event_id")
 
 
 @query("j6_materialise", f"WITH {CH_SQL} SELECT tab, user_id, cents, scn FROM {LAST_SQL.format(where='')} WHERE rn = 1 AND op_code <> 2")
