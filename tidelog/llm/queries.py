@@ -81,4 +81,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
 }
-ORACLE_SQL: dict[str, str] = {}
+#: SQL knows neither the tokenizers nor the hashes of the others, which tests hold against plain versions.
+ORACLE_SQL: dict[str, str] = {
+    "op4_embedding_near_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS MATERIALIZED (SELECT * FROM v WHERE len(e) > 0 AND len([x for x in e if x IS NULL OR NOT isfinite(x)]) = 0 AND len([x for x in e if x <> 0]) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity([COALESCE(x, 0) for x in a.e], [COALESCE(x, 0) for x in b.e]) >= 0.95),
+r(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, p.b FROM r JOIN p ON p.a = r.b),
+c AS (SELECT a AS vec_id, MIN(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a AS vec_id, COUNT(*) AS n FROM p GROUP BY a)
+SELECT v.vec_id, COALESCE(n.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept FROM v JOIN c ON c.vec_id = v.vec_id LEFT JOIN n ON n.vec_id = v.vec_id""",
+}
