@@ -24,11 +24,11 @@ def skip_applied(changes: DataFrame, last_commit: int | None, last_key: str | No
 
 
 def tuple_bound(columns: list[str], lower: list | None, upper: list | None) -> Column:
-    """``lower <= (columns) < upper`` in lexicographic order; None is unbounded."""
-    key = F.struct(*columns)
+    """``lower <= (columns) < upper`` in lexicographic order; None is unbounded. Bounds of the first column are said again on their own, as only those reach the scan."""
+    key, first = F.struct(*columns), F.col(columns[0])
     named = lambda values: F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, values, strict=True)])
-    keep = F.lit(True) if lower is None else key >= named(lower)
-    return keep if upper is None else keep & (key < named(upper))
+    keep = F.lit(True) if lower is None else (first >= lower[0]) & (key >= named(lower))
+    return keep if upper is None else keep & (first <= upper[0]) & (key < named(upper))
 
 
 def plan_key_chunks(numbered: DataFrame, key: str, place: str, size: int) -> DataFrame:

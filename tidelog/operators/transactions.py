@@ -27,8 +27,12 @@ def mark_survivors(rows: DataFrame, tx: list[str] = TX, rowid: str = "rid", orde
 
 
 def committed(rows: DataFrame, tx: DataFrame) -> DataFrame:
-    """Surviving changes of committed transactions with event index, event count and order within the table."""
-    kept = mark_survivors(rows).where("survives").join(tx.where(F.col("end_code") == COMMIT), TX)
+    """Surviving changes of committed transactions with event index, event count and order within the table.
+
+    Rows are dealt out by transaction once: the windows by row id, the join and the windows by transaction
+    and by table all stand on that partitioning.
+    """
+    kept = mark_survivors(rows.repartition(*TX)).where("survives").join(tx.where(F.col("end_code") == COMMIT), TX)
     by_tx, by_table = Window.partitionBy(*TX).orderBy("scn"), Window.partitionBy(*TX, "tab").orderBy("scn")
     return kept.select(
         *TX,
