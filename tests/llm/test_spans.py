@@ -133,24 +133,29 @@ def test_edited_texts(spark, docs, none, no_id, rows):
     assert spotsigs.compare_edited(none).count() == 0 and spotsigs.compare_edited(no_id).count() == 3
 
 
-def test_signatures_by_hand(spark):
+def _h(*xs):
     import xxhash
 
-    def h(*xs):
-        value = 42
-        for x in xs:
-            value = xxhash.xxh64_intdigest(x, value)
-        return value
+    value = 42
+    for x in xs:
+        value = xxhash.xxh64_intdigest(x if isinstance(x, bytes) else x.to_bytes(8, "little"), value)
+    return value
+
 
-    words = ["the", "quick", "brown", "fox", "of", "lazy", "dogs", "and", "cats", "sleep", "soundly"]
-    hashed = [h(w.encode()) for w in words]
+def _by_hand(words):
+    hashed = [_h(w.encode()) for w in words]
     anchors = [w in spotsigs.COMMON or ((v - (1 << 64) if v >> 63 else v) % spotsigs.SHARE == 0) for w, v in zip(words, hashed, strict=True)]
     content = [v for v, a in zip(hashed, anchors, strict=True) if not a]
-    want, k = set(), 0
-    for p, a in enumerate(anchors):
-        if a:
-            if p - k + spotsigs.CHAIN <= len(content):
-                want.add(h(*(v.to_bytes(8, "little") for v in [hashed[p], *content[p - k : p - k + spotsigs.CHAIN]])) % (1 << 32))
-            k += 1
-    assert len(want) >= spotsigs.FEW
-    assert plain_signatures(spark, "The quick, brown fox of lazy dogs AND cats sleep soundly.") == want
+    after = lambda p: [v for v, a in zip(hashed[p + 1 :], anchors[p + 1 :], strict=True) if not a][: spotsigs.CHAIN]
+    full = {_h(hashed[p], *after(p)) % (1 << 32) for p, a in enumerate(anchors) if a and len(after(p)) == spotsigs.CHAIN}
+    count = sum(a and len(after(p)) == spotsigs.CHAIN for p, a in enumerate(anchors))
+    if count >= spotsigs.FEW:
+        return full
+    return {_h(hashed[p], *after(p)) % (1 << 32) for p in range(len(words))} | {_h(v) % (1 << 32) for v in content or hashed}
+
+
+def test_signatures_by_hand(spark):
+    few = "the quick brown fox of lazy dogs and cats sleep soundly".split()
+    many = [w for k in range(40) for w in ("the", f"word{chr(97 + k % 26)}{chr(97 + k // 26)}", "of", "it", f"more{chr(97 + k % 26)}")]
+    for words in (few, many, ["the", "of"], ["single"]):
+        assert plain_signatures(spark, " ".join(words).upper() + "!") == _by_hand(words)

@@ -5,8 +5,9 @@ are common words of four languages and, so that lists and texts in other tongues
 hash falls in a fixed share. Words before a position are anchors or content, so the content that follows
 the k-th anchor, at position p, begins at content word p - k: one pass marks anchors, one collects content.
 A fingerprint is the sorted set of 32-bit signature hashes, eight hex digits each. Texts with fewer than
-``FEW`` signatures take every word as an anchor (with up to ``CHAIN`` - 1 words of any kind behind it); texts
-without words take the hash of the text.
+``FEW`` signatures (short texts, lists, one word over and over) take every word as an anchor, with as many
+content words as follow, and their content words alone besides; what they share with a text of more
+signatures stays shared. Texts without words take the hash of the text.
 
 Two sets are compared by partition of their lengths: sets whose partitions lie more than one apart cannot
 reach the floor and are given 0 unseen; others get their Jaccard likeness, by a hash set of the two.
@@ -25,8 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHAIN = 3
-FEW = 3
-SHARE = 32
+FEW = 8
+SHARE = 16
 MOST_BUCKETS = 4096
 #: Common words of English, German, French and Spanish.
 COMMON = """
@@ -49,12 +50,16 @@ def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn("_words", _hashed(text))
     df = df.withColumn("_content", F.filter("_words", lambda h: ~anchor(h)))
     at = F.filter(F.transform("_words", lambda h, i: F.when(anchor(h), i).otherwise(F.lit(-1))), lambda i: i >= 0)
-    df = df.withColumn("_left", F.size("_content") - CHAIN).withColumn("_at", F.filter(at, lambda p, k: p - k <= F.col("_left")))
-    chain = lambda p, k: short(F.xxhash64(F.get("_words", p), *[F.get("_content", p - k + n) for n in range(CHAIN)]))
-    every = F.transform("_words", lambda h, i: short(F.xxhash64(*[F.get("_words", i + n) for n in range(CHAIN)])))
-    bare = F.when(F.size("_words") > 0, every).when(F.col(text) == "", F.array().cast("array<bigint>")).otherwise(F.array(short(F.xxhash64(F.lit("text"), text))))
-    found = F.when(F.size("_at") >= FEW, F.transform("_at", chain)).otherwise(bare)
-    return df.withColumn(out, F.array_sort(F.array_distinct(found))).drop("_words", "_content", "_left", "_at")
+    df = df.withColumn("_left", F.size("_content") - CHAIN).withColumn("_all", at).withColumn("_at", F.filter("_all", lambda p, k: p - k <= F.col("_left")))
+    link = lambda word, at: short(F.xxhash64(word, *[F.get("_content", at + n) for n in range(CHAIN)]))
+    chains = F.transform("_at", lambda p, k: link(F.get("_words", p), p - k))
+    # the content after position i begins at i less the anchors before it, one further if i is content; there are few anchors
+    before = lambda i: F.size(F.filter("_all", lambda p: p < i))
+    every = F.transform("_words", lambda h, i: link(h, i - before(i) + F.when(anchor(h), 0).otherwise(1)))
+    alone = F.transform(F.when(F.size("_content") > 0, F.col("_content")).otherwise(F.col("_words")), lambda h: short(F.xxhash64(h)))
+    bare = F.when(F.size("_words") > 0, F.concat(every, alone)).when(F.col(text) == "", F.array().cast("array<bigint>")).otherwise(F.array(short(F.xxhash64(F.lit("text"), text))))
+    found = F.when(F.size("_at") >= FEW, chains).otherwise(bare)
+    return df.withColumn(out, F.array_sort(F.array_distinct(found))).drop("_words", "_content", "_left", "_all", "_at")
 
 
 def as_text(signatures: str) -> Column:
