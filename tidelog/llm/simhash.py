@@ -15,7 +15,7 @@ an empty table gives no rows; other columns are ignored. Long texts take memory
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate, combinations, repeat
 
 import numpy as np
@@ -69,8 +69,8 @@ def _majority(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.packbits(2 * counts > sizes[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def text_fingerprints(texts: list[str | None]) -> np.ndarray:
-    out = np.zeros(len(texts), np.uint64)
+def text_fingerprints(texts: Iterable[str | None], n: int) -> np.ndarray:
+    out = np.zeros(n, np.uint64)
     held: list[int] = []
     rows: list[int] = []
     starts: list[int] = []
@@ -93,7 +93,7 @@ def text_fingerprints(texts: list[str | None]) -> np.ndarray:
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        fps = text_fingerprints(batch.column(2).to_pylist())
+        fps = text_fingerprints((x.as_py() for x in batch.column(2)), batch.num_rows)
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fps.view(np.int64))], names=["doc_id", "h", "fp"])
 
 
