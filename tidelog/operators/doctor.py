@@ -90,6 +90,20 @@ def overlapping(logs: DataFrame, start: int, end: int) -> DataFrame:
     return logs.where((F.col("next_scn") > start) & (F.col("first_scn") <= end))
 
 
+def locate(rows: DataFrame, logs: DataFrame, width: int) -> DataFrame:
+    """Each row with the log of its thread that holds its position.
+
+    Positions and logs meet in buckets of ``width``, so a thread with most of the rows is many keys.
+    """
+    top = rows.agg(F.max("scn")).first()[0]
+    if top is None:
+        return rows.join(logs, "thread").limit(0)
+    bucket = lambda c: F.floor(c / width).cast("long")
+    spans = logs.where(F.col("first_scn") <= top).withColumn("_b", F.explode(F.sequence(bucket(F.col("first_scn")), bucket(F.least(F.col("next_scn") - 1, F.lit(top))))))
+    inside = (F.col("scn") >= F.col("first_scn")) & (F.col("scn") < F.col("next_scn"))
+    return rows.withColumn("_b", bucket(F.col("scn"))).join(spans, ["thread", "_b"]).where(inside).drop("_b")
+
+
 def one_copy(copies: DataFrame) -> DataFrame:
     """One copy of each log, a readable one first."""
     best = F.row_number().over(Window.partitionBy("thread", "seq").orderBy(F.desc("readable"), "dest"))

@@ -104,9 +104,8 @@ def overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("j8_position_in_log", f"WITH {d.ROWS_SQL}, {d.LOGS_SQL} SELECT e.event_id, l.seq FROM e JOIN logs l ON l.thread = e.con_id AND e.scn >= l.first_scn AND e.scn < l.next_scn WHERE e.event_id % 10 = 0")
 def position_in_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, logs = d.data_rows(spark, sf_dir).where("event_id % 10 = 0"), d.logs(spark, sf_dir)
-    inside = (F.col("thread") == F.col("con_id")) & (F.col("scn") >= F.col("first_scn")) & (F.col("scn") < F.col("next_scn"))
-    return rows.join(logs, inside).select("event_id", "seq")
+    rows = d.data_rows(spark, sf_dir).where("event_id % 10 = 0").withColumn("thread", F.col("con_id"))
+    return doctor.locate(rows, d.logs(spark, sf_dir), 5000).select("event_id", "seq")
 
 
 COPIES_SQL = f"{d.LOGS_SQL}, cp AS (SELECT thread, seq, 1 AS dest, seq % 3 <> 0 AS readable FROM logs UNION ALL SELECT thread, seq, 2, seq % 2 = 0 FROM logs)"
