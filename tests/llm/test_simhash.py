@@ -66,8 +66,9 @@ def test_long_lists_are_cut_without_loss(spark, monkeypatch):
     want = len(set(label.values()))
     signed = [(int(np.uint64(f).astype(np.int64)),) for f in fps]
     df = spark.createDataFrame(signed, "fp long")
-    for limit in (4096, 7):
+    for limit, settle in ((4096, 64), (4096, 3), (7, 2)):
         monkeypatch.setattr(simhash, "LIST_ROWS", limit)
+        monkeypatch.setattr(simhash, "SETTLE", settle)
         ws = Workspace(spark)
         found = components(simhash.links(df, ws), ws)
         got = found.groupBy("component").count().agg(F.count("*"), F.sum("count")).first()

@@ -6,7 +6,8 @@ a 256th of all fingerprints each, so a posting key joins the bytes of three posi
 ``TRIPLES`` meet every set of four positions, hence each pair that shares 4 bytes meets in some list.
 Within a list the shared positional bytes of each pair are tallied, pairs below 4 are let go, and the rest
 are verified by their differing bits. Lists longer than ``LIST_ROWS`` are cut into blocks that meet block by
-block in tasks of their own; every task emits a spanning forest of its links, never the pairs.
+block in tasks of their own; every task emits a spanning forest of its links, never the pairs, and stops with a
+list once all of its rows reach each other, which a group of near copies soon does.
 
 Defined results: null, empty and blank texts have fingerprint zero, which links like any other; repeated
 rows and repeated ids each get a row; a null id is kept and never names a component unless it is alone;
@@ -127,10 +128,11 @@ def _close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 HELD_LINKS = 1 << 21
+SETTLE = 64  # steps after which lists that are joined already are let go
 
 
 def _list_links(key: np.ndarray, fp: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forest edges of the links inside each list of rows sorted by key; equal sides are compared in their own block."""
+    """Forest edges of the links inside each list; key numbers the lists from 0 in order, equal sides are compared in their own block."""
     at, us, vs, held, step = np.arange(len(key)), [], [], 0, 1
     label = np.arange(len(key))
     while True:
@@ -143,9 +145,12 @@ def _list_links(key: np.ndarray, fp: np.ndarray, side: np.ndarray) -> tuple[np.n
         us.append(near)
         vs.append(near + step)
         held += len(near)
-        if held > HELD_LINKS:
+        if held > HELD_LINKS or step % SETTLE == 0:
             label = forest(len(key), [*us, np.arange(len(key))], [*vs, label])
             us, vs, held = [], [], 0
+            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            joined = np.minimum.reduceat(label, starts) == np.maximum.reduceat(label, starts)
+            at = at[~joined[key[at]]]  # a list whose rows all reach each other has nothing more to tell
         step += 1
     label = forest(len(key), [*us, np.arange(len(key))], [*vs, label])
     moved = np.flatnonzero(label != np.arange(len(key)))
