@@ -162,7 +162,8 @@ def train(docs: DataFrame, labels: DataFrame, names: list[str], ws: Workspace) -
     usable = labels.select("doc_id", *[F.col(c).cast("int") for c in names]).dropna().groupBy("doc_id").agg(F.min(F.struct(*names)).alias("y"))
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     text = docs.select("doc_id", "text").join(F.broadcast(ws.save(sample, "labels")), "doc_id")  # SAMPLE rows of numbers
-    text = text.mapInArrow(_with_key, T.StructType([*text.schema.fields, T.StructField("key", T.LongType())])).dropDuplicates(["key"])
+    text = text.mapInArrow(_with_key, T.StructType([*text.schema.fields, T.StructField("key", T.LongType())]))
+    text = text.groupBy("key").agg(F.min(F.struct("doc_id", "text", "y")).alias("x")).select("x.*")
     text = ws.save(text.select("text", F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(FOLDS)).cast("int").alias("fold"), *[F.col(f"y.{c}").alias(f"y{k}") for k, c in enumerate(names)]), "sample")
     totals = text.agg(F.count("*"), *[F.sum(f"y{k}") for k in range(len(names))]).first()
     if not totals[0]:
@@ -200,8 +201,8 @@ def train(docs: DataFrame, labels: DataFrame, names: list[str], ws: Workspace) -
 
     shape = T.StructType([T.StructField("at", T.ArrayType(T.IntegerType())), *text.schema.fields[1:]])
     got = text.mapInArrow(reduce, shape).toArrow()  # SAMPLE rows, FEATURES small numbers each at most
-    y = np.column_stack([got.column(f"y{k}").to_numpy() for k in range(len(names))])
-    return fit_chain(names, kept, got.column("at").to_pylist(), y, got.column("fold").to_numpy())
+    rows = sorted(zip(got.column("at").to_pylist(), got.column("fold").to_pylist(), *(got.column(f"y{k}").to_pylist() for k in range(len(names))), strict=True))  # sums in one order
+    return fit_chain(names, kept, [r[0] for r in rows], np.array([r[2:] for r in rows]), np.array([r[1] for r in rows]))
 
 
 def score(docs: DataFrame, chain: Chain | None, names: list[str]) -> DataFrame:
