@@ -2,9 +2,9 @@
 
 The library walks every character of every text through its pre-tokenizer and merges. Here a plain regular
 expression cuts a text into the same pre-tokens, and each different pre-token is merged by the library's own
-model once a worker. The expression's character classes are those of Python, so a character is used with it
-only after the library's pre-tokenizer was seen to cut the same around it; a text that holds any other
-character is cut by the library itself.
+model once a worker. The expression's character classes are those of Python (plain ranges where a text is ASCII
+or Latin, which are faster), so a character is used with it only after the library's pre-tokenizer was seen to
+cut the same around it; a text that holds any other character is cut by the library itself.
 """
 
 from __future__ import annotations
@@ -20,8 +20,14 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the unit o
 
 #: Pre-tokens remembered by a worker, half of them in the older of two generations; results don't depend on it.
 REMEMBERED = 700_000
-#: The pre-token pattern that byte_bpe files name by "use_regex", in Python's classes.
-BYTE_SPLIT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: The pre-token pattern that byte_bpe files name by "use_regex", over classes of letters L, digits D and others O.
+BYTE_SPLIT = r" ?L+|'(?:s|t|re|ve|m|ll|d)| ?D+| ?O+|\s+(?!\S)|\s+"
+#: Letters of texts below U+02B0, where every letter is in these ranges.
+LATIN, LATIN_END = "[A-Za-zªµºÀ-ÖØ-öø-ʯ]", "ʰ"
+
+
+def _over(split: str, letters: str, digits: str, others: str, flags: int = 0) -> re.Pattern:
+    return re.compile(split.replace("L", letters).replace("D", digits).replace("O", others), flags)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -72,28 +78,35 @@ class _Memory(dict):
 class Cutter:
     """Pre-tokens of whole texts, special strings as pieces of their own."""
 
-    def __init__(self, tokenizer, pattern: re.Pattern):
-        self.tokenizer, self.pattern = tokenizer, pattern
+    def __init__(self, tokenizer, split: str):
+        self.tokenizer = tokenizer
+        self.general = _over(split, r"[^\W\d_]", r"\d", r"(?:[^\s\w]|_)")
+        self.latin = _over(split, LATIN, r"\d", r"(?:[^\s\w]|_)")
+        self.ascii = _over(split, "[A-Za-z]", "[0-9]", r"[^\sA-Za-z0-9]", re.ASCII)
         self.special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.proven: set[str] = set()
         self.refused: set[str] = set()
+        self.ascii_proven = all(self._same(chr(c), self.ascii) for c in range(128))
 
     def by_library(self, text: str) -> list[str]:
         return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
-    def _same(self, c: str) -> bool:
+    def _same(self, c: str, pattern: re.Pattern) -> bool:
         probes = [f"a{c}a", f"1{c}1", f"!{c}!", f" {c} ", f"a {c}{c} a"]
-        return all(self.pattern.findall(x) == self.by_library(x) for x in probes)
-
-    def _all_proven(self, text: str) -> bool:
-        new = set(text) - self.proven
-        for c in new - self.refused:
-            (self.proven if self._same(c) else self.refused).add(c)
-        return not new or new <= self.proven
+        return all(pattern.findall(x) == self.by_library(x) for x in probes)
 
     def segment(self, text: str) -> list[str]:
-        return self.pattern.findall(text) if self._all_proven(text) else self.by_library(text)
+        if self.ascii_proven and text.isascii():
+            return self.ascii.findall(text)
+        chars = set(text)
+        new = chars - self.proven
+        for c in new - self.refused:
+            same = self._same(c, self.general) and (c >= LATIN_END or self._same(c, self.latin))
+            (self.proven if same else self.refused).add(c)
+        if new and not new <= self.proven:
+            return self.by_library(text)
+        return (self.latin if max(chars, default="") < LATIN_END else self.general).findall(text)
 
     def words(self, text: str) -> list[str]:
         if not self.at_special or not self.at_special.search(text):
