@@ -43,9 +43,11 @@ def test_files_round_trip(spark, docs, none, rows, ids):
     assert token_files.read_digests(empty, ws.path("none")).count() == 0
 
 
-def test_files_refuse_a_missing_id(spark, no_id):
-    with pytest.raises(Exception, match="without an id"):
-        token_files.write(no_id, Workspace(spark).path("x"), BYTES).collect()
+def test_files_keep_documents_without_an_id(spark, no_id):
+    ws = Workspace(spark)
+    manifest = ws.save(token_files.write(no_id, ws.path("x"), BYTES, shards=2), "manifest")
+    got = token_files.read_digests(manifest, ws.path("x")).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None, None, 3] and [r["n_tokens"] for r in got].count(1) == 2
 
 
 def test_packing(docs, none, rows, ids):
