@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.codes import DELETE, INSERT, UPDATE
 
-#: Fixed value: what stands for a large value that the log does not hold.
-UNAVAILABLE = "__debezium_unavailable_value"
-
 
 def images(op: Column, set_: Column, where: Column) -> tuple[Column, Column]:
     """Before and after maps: an insert sets, a delete had, an update had and sets over it."""
