@@ -69,6 +69,12 @@ def test_packing(docs, none, rows, ids):
     assert packing.pack(none, BYTES).count() == 0
 
 
+def test_many_empty_documents(spark):
+    many = spark.range(40_000).selectExpr("id as doc_id", "cast(null as string) as text").coalesce(1)
+    got = packing.pack(many, BYTES)
+    assert got.count() == 40_000 and got.select("sequence_id").distinct().count() <= 42
+
+
 def test_windows_are_near_equal_and_the_count_rises():
     rng = random.Random(2)
     lengths = [rng.randint(1, 128) for _ in range(900)]

@@ -2,7 +2,7 @@
 
 A document's ids (end id included) are cut into full windows from its start and a remainder, and the
 remainder into pieces of at most ``PIECE`` ids. Full windows stand alone. Pieces are gathered into blocks
-of ``BLOCK_WINDOWS`` windows' worth, in the order in which a task reads its documents, and each block is
+of ``BLOCK_WINDOWS`` windows' worth (or ``BLOCK_PIECES``, where they are tiny), in the order in which a task reads its documents, and each block is
 packed at once: every piece starts as a partition of the block into K windows with one of them filled; the
 two partitions whose windows differ most are merged, the fullest window of one onto the emptiest of the
 other, until one near-equal partition is left. K starts at the least count that could hold the block and
@@ -31,6 +31,7 @@ from .tokens import byte_coder
 
 PIECE = 128
 BLOCK_WINDOWS = 96
+BLOCK_PIECES = 1 << 14
 OUT_ROWS = 20_000
 
 
@@ -128,7 +129,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 1024, end: int = 0) -> Data
                     else:
                         block.append(row)
                         filled += length
-                        if filled >= BLOCK_WINDOWS * capacity:
+                        if filled >= BLOCK_WINDOWS * capacity or len(block) >= BLOCK_PIECES:
                             settle()
                 if len(ready) >= OUT_ROWS:
                     yield out()
