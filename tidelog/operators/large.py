@@ -1,33 +1,53 @@
-"""Large values: edits folded into the changes that they belong to."""
+"""Large values: edits folded into the changes that they belong to.
+
+Rows are dealt out and sorted by their group, so a task walks through its groups in Arrow batches and holds
+the edits of one group at a time.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby, islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidelog.functions.redo import apply_edits
 
+OUT_ROWS = 10_000
 
-def fold_edits(edits: DataFrame, by: list[str]) -> DataFrame:
-    """``by..., value, known``: each large value after its edits in order; ``edits(by..., ord, edit, amount, offset, data, binary, base)``.
 
-    One group is the edits of one column of one change, so it is as large as what one transaction wrote there.
-    """
-    shape = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in edits.schema if f.name in by), "value string", "known boolean"])
+def _fold_groups(rows: DataFrame, by: list[str], order: str, more: list[T.StructField], fold: Callable[[list[dict]], Iterable[dict]]) -> DataFrame:
+    """``by..., more...``: what ``fold`` makes of the rows of each group in order."""
+    shape = T.StructType([*(rows.schema[c] for c in by), *more])
+    arrow = to_arrow_schema(shape)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        each = (row for batch in batches for row in batch.to_pylist())
+        for key, group in groupby(each, key=lambda r: tuple(r[c] for c in by)):
+            for out in fold(list(group)):
+                yield dict(zip(by, key, strict=True)) | out
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord")
-        binary = bool(pdf["binary"].iloc[0])
-        base = pdf["base"].iloc[0]
-        start = None if pd.isna(base) else bytes.fromhex(base) if binary else base
-        value = apply_edits(start, pdf.to_dict("records"), binary)
-        text = value.hex() if isinstance(value, bytes) else value
-        return pd.DataFrame([{**{c: pdf[c].iloc[0] for c in by}, "value": text, "known": value is not None}])
+    def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows_out = made(batches)
+        while part := list(islice(rows_out, OUT_ROWS)):
+            yield pa.RecordBatch.from_pylist(part, schema=arrow)
 
-    return edits.groupBy(*by).applyInPandas(fold, shape)
+    return rows.repartition(*by).sortWithinPartitions(*by, order).mapInArrow(batches_of, shape)
+
+
+def fold_edits(edits: DataFrame, by: list[str]) -> DataFrame:
+    """``by..., value, known``: each large value after its edits in order; ``edits(by..., ord, edit, amount, offset, data, binary, base)``."""
+
+    def fold(group: list[dict]) -> Iterator[dict]:
+        binary, base = bool(group[0]["binary"]), group[0]["base"]
+        value = apply_edits(bytes.fromhex(base) if binary and base is not None else base, group, binary)
+        yield {"value": value.hex() if isinstance(value, bytes) else value, "known": value is not None}
+
+    return _fold_groups(edits, by, "ord", [T.StructField("value", T.StringType()), T.StructField("known", T.BooleanType())], fold)
 
 
 def fold_locator_updates(changes: DataFrame, tx: list[str], order: str, scalar: Column, filled: Column) -> DataFrame:
@@ -44,27 +64,17 @@ def fold_locator_updates(changes: DataFrame, tx: list[str], order: str, scalar:
 
 
 def assemble(fragments: DataFrame, tx: list[str], order: str, base: str | None = None) -> DataFrame:
-    """``tx..., change, value``: locator rows open a group, the edits that follow without a gap belong to it; in Arrow batches a transaction."""
-    shape = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in fragments.schema if f.name in tx), "change long", "value string"])
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        out, group, change = [], [], None
+    """``tx..., change, value``: a locator row opens a group, the edits that follow it without a gap belong to it."""
 
-        def close() -> Iterator[dict]:
+    def fold(rows: list[dict]) -> Iterator[dict]:
+        group: list[dict] = []
+        change = None
+        for row in [*rows, {"edit": "end"}]:
+            if row["edit"] in ("write", "trim", "erase") and change is not None:
+                group.append(row)
+                continue
             if change is not None and group:
                 yield {"change": change, "value": apply_edits(base, group, False)}
+            group, change = [], row[order] if row["edit"] == "locator" else None
 
-        for row in pdf.to_dict("records"):
-            if row["edit"] == "locator":
-                out += close()
-                group, change = [], row[order]
-            elif row["edit"] in ("write", "trim", "erase") and change is not None:
-                group.append(row)
-            else:
-                out += close()
-                group, change = [], None
-        out += close()
-        return pd.DataFrame([{**{c: pdf[c].iloc[0] for c in tx}, **x} for x in out], columns=[*tx, "change", "value"])
-
-    return fragments.groupBy(*tx).applyInPandas(one, shape)
+    return _fold_groups(fragments, tx, order, [T.StructField("change", T.LongType()), T.StructField("value", T.StringType())], fold)
