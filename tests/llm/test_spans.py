@@ -107,6 +107,16 @@ def test_disclosing_terms(spark):
     assert clean[0] == "alpha  writes from [EMAIL] about beta" and clean[100] == plain[0][1]
 
 
+def test_a_term_of_one_text(spark):
+    told = [(1, "write to zorblat at z.b@mail.example.org about words")]
+    plain = [(100 + k, f"write about words filler{'abcdefgh'[k % 8]} " * 6) for k in range(100)]
+    df = frame(spark, told + plain)
+    at = told[0][1].index("zorblat")
+    got = {r["doc_id"]: r["spans"].split(",") for r in pii.report(df).collect()}
+    assert [s for s in got[1] if s.startswith("term")] == [f"term:{at}:{at + 7}"]
+    assert pii.sanitise(df).where("doc_id = 1").first()["text"] == "write to  at [EMAIL] about words"
+
+
 def plain_signatures(spark, text):
     one = spark.createDataFrame([(text,)], "t string")
     return set(spotsigs.with_signatures(one, "t", "s").first()["s"])
