@@ -117,6 +117,17 @@ def test_a_term_of_one_text(spark):
     assert pii.sanitise(df).where("doc_id = 1").first()["text"] == "write to  at [EMAIL] about words"
 
 
+def test_terms_far_from_their_entity(spark):
+    far = "about words " * 20
+    told = [(1, f"zorblat {far} write to z.b@mail.example.org {far} zorblat"), (2, f"z.b@mail.example.org {far} Zorblat"), (2, f"z.b@mail.example.org {far} Zorblat")]
+    plain = [(100 + k, f"write about words filler{'abcdefgh'[k % 8]} " * 60) for k in range(200)]
+    got = pii.report(frame(spark, told + plain)).collect()
+    assert len(got) == 203
+    for i, text in told:
+        want = [f"term:{a}:{a + 7}" for a in range(len(text)) if text[a : a + 7].lower() == "zorblat"]
+        assert all([s for s in r["spans"].split(",") if s.startswith("term")] == want for r in got if r["doc_id"] == i)
+
+
 def plain_signatures(spark, text):
     one = spark.createDataFrame([(text,)], "t string")
     return set(spotsigs.with_signatures(one, "t", "s").first()["s"])
