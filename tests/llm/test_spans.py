@@ -180,3 +180,17 @@ def test_signatures_by_hand(spark):
     many = [w for k in range(40) for w in ("the", f"word{chr(97 + k % 26)}{chr(97 + k // 26)}", "of", "it", f"more{chr(97 + k % 26)}")]
     for words in (few, many, ["the", "of"], ["single"]):
         assert plain_signatures(spark, " ".join(words).upper() + "!") == _by_hand(words)
+
+
+def test_likeness_does_not_jump_at_few_signatures(spark):
+    name = lambda k: f"w{chr(97 + k % 26)}{chr(97 + k // 26)}q"
+    rich = " ".join(w for k in range(9) for w in ("the", *map(name, range(300 + 5 * k, 305 + 5 * k))))
+    bare = " ".join(w for w in map(name, range(100)) if _h(w.encode()) % spotsigs.SHARE)  # no anchors
+    long = " ".join(w for k in range(60) for w in ("the", name(200 + k)))
+    df = frame(spark, [(3, rich), (2, bare), (1, long)])
+    many = {r["doc_id"]: r["m"] for r in spotsigs.with_signatures(df, "text", "s", "m").collect()}
+    assert many == {3: True, 2: False, 1: True}
+    got = {r["doc_id"]: r for r in spotsigs.compare_edited(df).collect()}
+    assert all(got[k]["near_edited"] > 0.3 for k in (2, 3))  # two thirds stay; the rest makes 2 many and 3 few
+    twin = frame(spark, [(2, bare), (1, f"{bare} " + " ".join(w for k in range(9) for w in ("the", name(200 + k))))])
+    assert spotsigs.compare_edited(twin).where("doc_id = 2").first()["near_next"] > 0.6

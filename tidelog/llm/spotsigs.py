@@ -6,8 +6,9 @@ hash falls in a fixed share. Words before a position are anchors or content, so
 the k-th anchor, at position p, begins at content word p - k: one pass marks anchors, one collects content.
 A fingerprint is the sorted set of 32-bit signature hashes, eight hex digits each. Texts with fewer than
 ``FEW`` signatures (short texts, lists, one word over and over) take every word as an anchor, with as many
-content words as follow, and their content words alone besides; what they share with a text of more
-signatures stays shared. Texts without words take the hash of the text.
+content words as follow, and their content words alone besides. Only sets of one kind are compared, so that
+likeness does not jump at ``FEW``: an edited text's fingerprint is of the kind of its text's, and a text and the
+next of another kind are compared by the denser sets of both. Texts without words take the hash of the text.
 
 Two sets are compared by partition of their lengths: sets whose partitions lie more than one apart cannot
 reach the floor and are given 0 unseen; others get their Jaccard likeness, by a hash set of the two.
@@ -42,8 +43,12 @@ def _hashed(text: str) -> Column:
     return F.transform(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Column ``out``: the sorted set of signatures (longs below 2**32) of the text column."""
+def with_signatures(df: DataFrame, text: str, out: str, many: str | None = None, chained: Column | None = None) -> DataFrame:
+    """Column ``out``: the sorted set of signatures (longs below 2**32) of the text column.
+
+    Column ``many``, where a name is given, tells the texts of ``FEW`` or more; ``chained`` says in their place
+    whether a text that has anchored chains takes these alone.
+    """
     common = df.sparkSession.range(1).select(F.array(*[F.xxhash64(F.lit(w)) for w in COMMON]).alias("h")).first()["h"]
     anchor = lambda h: h.isin(common) | (F.pmod(h, F.lit(SHARE)) == 0)
     short = lambda c: F.pmod(c, F.lit(1 << 32))
@@ -58,7 +63,8 @@ def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     every = F.transform("_words", lambda h, i: link(h, i - before(i) + F.when(anchor(h), 0).otherwise(1)))
     alone = F.transform(F.when(F.size("_content") > 0, F.col("_content")).otherwise(F.col("_words")), lambda h: short(F.xxhash64(h)))
     bare = F.when(F.size("_words") > 0, F.concat(every, alone)).when(F.col(text) == "", F.array().cast("array<bigint>")).otherwise(F.array(short(F.xxhash64(F.lit("text"), text))))
-    found = F.when(F.size("_at") >= FEW, chains).otherwise(bare)
+    found = F.when(F.size("_at") >= FEW if chained is None else chained & (F.size("_at") > 0), chains).otherwise(bare)
+    df = df.withColumn(many, F.size("_at") >= FEW) if many else df
     return df.withColumn(out, F.array_sort(F.array_distinct(found))).drop("_words", "_content", "_left", "_all", "_at")
 
 
@@ -111,8 +117,13 @@ def compare_edited(docs: DataFrame, floor: float = 0.05) -> DataFrame:
     dealt, order = with_next(docs)
     third = F.floor(F.length("text") / 3).cast("int")
     df = dealt.withColumn("edited", F.concat(F.left("text", F.length("text") - third), F.left(F.lead("text").over(order), third)))
-    df = with_signatures(with_signatures(df, "text", "own"), "edited", "changed")
-    df = df.withColumn("following", F.lead("own").over(order)).where("ghost = 0")
+    df = with_signatures(df, "text", "own", many="own_many")
+    df = with_signatures(df, "edited", "changed", chained=F.col("own_many"))
+    lead = lambda column: F.lead(column).over(order)
+    df = df.select("*", lead("own").alias("following"), lead("own_many").alias("following_many"), lead("text").alias("next_text")).where("ghost = 0")
+    unlike = F.col("own_many") != F.col("following_many")
+    for text, out in (("text", "own_dense"), ("next_text", "following_dense")):
+        df = with_signatures(df.withColumn("_dense", F.when(unlike, F.col(text))), "_dense", out, chained=F.lit(False))
     return df.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
@@ -120,5 +131,5 @@ def compare_edited(docs: DataFrame, floor: float = 0.05) -> DataFrame:
         as_text("own").alias("fingerprint"),
         as_text("changed").alias("edited_fingerprint"),
         likeness("own", "changed", floor).alias("near_edited"),
-        likeness("own", "following", floor).alias("near_next"),
+        F.when(unlike, likeness("own_dense", "following_dense", floor)).otherwise(likeness("own", "following", floor)).alias("near_next"),
     )
