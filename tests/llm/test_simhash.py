@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tidelog.llm import simhash
 from tidelog.llm.shared import Workspace, components
 
+from .conftest import frame
+
 
 def plain_fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
@@ -49,6 +51,84 @@ def test_one_of_each(docs, rows):
     assert len(ids) == len(set(ids)) == simhash.near_duplicates(docs).select("component_id").distinct().count()
 
 
+def plain_wide(text, words=5, lanes=4):
+    """The wide fingerprint of a text and its number of shingles."""
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(found[k : k + words]) for k in range(len(found) - words + 1)] or ([" ".join(found)] if found else [])
+    whole = (1 << 64) - 1
+    out = 0
+    for q in range(lanes):
+        counts = [0] * 64
+        for shingle in shingles:
+            z = xxhash.xxh64_intdigest(shingle.encode(), 42)
+            if q:
+                z = z * simhash._ODD[q - 1] & whole
+                z ^= z >> 31
+                z = z * simhash._ODD[0] & whole
+                z ^= z >> 29
+            for b in range(64):
+                counts[b] += z >> b & 1
+        out |= sum(1 << (64 * q + b) for b in range(64) if 2 * counts[b] > len(shingles))
+    return out, len(shingles)
+
+
+def wide_link(a, b):
+    return (a[0] ^ b[0]).bit_count() <= 51 and min(a[1], b[1]) >= 0.8 * max(a[1], b[1])
+
+
+def plain_groups(texts):
+    """For each text the number of its group, by all pairs of wide fingerprints."""
+    prints = [plain_wide(t) for t in texts]
+    label = plain_components(list(dict.fromkeys(prints)), wide_link)
+    return [label[p] for p in prints]
+
+
+def test_wide_setting_against_all_pairs(spark):
+    rng = random.Random(4)
+    name = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(2, 7)))
+    texts = [None, "", "one", "one two three four five six", "six five four three two one"]
+    for _ in range(30):
+        words = [name() for _ in range(rng.randint(150, 400))]
+        texts.append(" ".join(words))
+        for changes in (1, 2, 4):
+            edited = list(words)
+            for at in rng.sample(range(len(words)), changes):
+                edited[at] = name()
+            texts.append(" ".join(edited))
+    rng.shuffle(texts)
+    want = plain_groups(texts)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(frame(spark, enumerate(texts)), simhash.COPIES).collect()}
+    least = {}
+    for k, group in enumerate(want):
+        least.setdefault(group, k)
+    assert got == {k: least[group] for k, group in enumerate(want)} and 30 <= len(least) <= 40
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    rng = random.Random(9)
+    text = " ".join("".join(rng.choices("aBcé", k=rng.randint(1, 9))) for _ in range(3000)) + "\t \n"
+    whole, n = simhash.text_fingerprints([text, "x " * 50, " " * 500, "y" * 500], 4)
+    for piece, chunk in ((64, 1 << 17), (100, 70), (1, 1)):
+        monkeypatch.setattr(simhash, "PIECE", piece)
+        monkeypatch.setattr(simhash, "CHUNK", chunk)
+        fps, sizes = simhash.text_fingerprints([text, "x " * 50, " " * 500, "y" * 500], 4)
+        assert (fps == whole).all() and (sizes == n).all()
+    assert int(whole[0, 0]) == plain_fingerprint(text) and n.tolist() == [2997, 47, 0, 1]
+
+
+def test_ties_of_other_columns(spark):
+    same = [(1, "a text of some words", "b"), (1, "a text of some words", "a"), (None, None, "c"), (None, None, "b")]
+    df = spark.createDataFrame(same, "doc_id long, text string, other string")
+    got = simhash.one_of_each(df).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, "a text of some words", "a"), (None, None, "b")], key=str)
+
+
+def test_hub_of_links(spark):
+    edges = [(0, k) for k in range(1, 2000)] + [(k, k + 5000) for k in range(1, 50)] + [(9000, 9001)]
+    got = components(spark.createDataFrame(edges, "u long, v long"), Workspace(spark)).collect()
+    assert len(got) == 2051 and all(r["component"] == (0 if r["node"] < 9000 else 9000) for r in got)
+
+
 def test_empty_and_no_ids(none, no_id):
     assert simhash.near_duplicates(none).count() == 0
     assert simhash.one_of_each(none).count() == 0

@@ -61,12 +61,28 @@ def forest(n: int, us: list[np.ndarray], vs: list[np.ndarray]) -> np.ndarray:
             return label
 
 
+HEAVY = 512
+
+
+def join_weighted(many: DataFrame, one: DataFrame, keys: list[str], weight: str, rows: int) -> DataFrame:
+    """``many`` joined with ``one``, which has a row a key and in ``weight`` how many of the ``rows`` of ``many`` hold it.
+
+    Keys of more than a ``HEAVY``-th of all rows, ``HEAVY`` of them at most, are broadcast, so that no task gets
+    all the rows of one; the rest are shuffled. Rows without a partner drop out; ``weight`` goes.
+    """
+    least = max(1, rows // HEAVY)
+    heavy = one.where(F.col(weight) > least).drop(weight)
+    hot = many.join(F.broadcast(heavy), keys)
+    cold = many.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(one.where(F.col(weight) <= least).drop(weight), keys)
+    return hot.unionByName(cold)
+
+
 def components(edges: DataFrame, ws: Workspace, tag: str = "components") -> DataFrame:
     """Connected components of ``edges(u, v)`` as ``(node, component)``, the smallest node naming each.
 
     Alternates large-star and small-star rounds (each node's larger, then smaller, neighbours move to its
     smallest neighbour) until the edge set stays the same. Rounds are written to the shared folder; minima
-    are partial aggregates, so a hub with a third of all edges is one row per task before the shuffle.
+    are partial aggregates, and what a hub's neighbours need to know of it is broadcast.
     Nodes without an edge to another node are absent.
     """
     edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
@@ -75,13 +91,12 @@ def components(edges: DataFrame, ws: Workspace, tag: str = "components") -> Data
     turn = 0
     while seen[0]:
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        small = (
-            small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(low.select("u", F.col("m").alias("v"))).distinct()
-        )
+        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n"))
+        large = join_weighted(both.where("v > u"), least, ["u"], "n", seen[0])
+        large = large.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = join_weighted(large, low, ["u"], "n", seen[0])
+        small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(low.select("u", F.col("m").alias("v"))).distinct()
         turn += 1
         edges = ws.save(small, f"{tag}_{turn}")
         ws.drop(f"{tag}_{turn - 1}")
