@@ -23,8 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component."""
-    return simhash.one_of_each(docs.select(*COLUMNS))
+    """One document of each group of near copies: five-word shingles, 0.8 of the fingerprints' bits."""
+    return simhash.one_of_each(docs.select(*COLUMNS), simhash.COPIES)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
