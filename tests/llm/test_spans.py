@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -133,27 +134,46 @@ def plain_signatures(spark, text):
     return set(spotsigs.with_signatures(one, "t", "s").first()["s"])
 
 
+def _next(rows):
+    """For each row, the text of the next document by descending id; of equal ids by the texts' hashes."""
+    signed = lambda t: (v := _h((t or "").encode())) - (1 << 64 if v >> 63 else 0)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), signed(r[1])))
+    return [(i, t or "", order[(k + 1) % len(order)][1] or "") for k, (i, t) in enumerate(order)]
+
+
+def _jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
 def test_edited_texts(spark, docs, none, no_id, rows):
-    got = spotsigs.compare_edited(docs).collect()
-    assert len(got) == len(rows)
-    order = sorted(rows, key=lambda r: -r[0])
-    twice = rows[-1]
-    follows = {i: order[(k + 1) % len(order)][1] or "" for k, (i, _) in enumerate(order)}
-    by_text = {}
-    for r in got:
-        text = dict(rows)[r["doc_id"]] or ""
-        if r["doc_id"] != twice[0]:
-            n = len(text) // 3
-            edited = text[: len(text) - n] + follows[r["doc_id"]][:n]
-            assert r["edited_sha256"] == sha(edited) and r["n_chars"] == len(text)
-            a, b = ({x[k : k + 8] for k in range(0, len(x), 8)} for x in (r["fingerprint"], r["edited_fingerprint"]))
-            want = len(a & b) / len(a | b) if a | b else 1.0
-            assert abs(r["near_edited"] - want) < 1e-12 or (want < 0.05 and r["near_edited"] == 0)
-        by_text.setdefault(text, set()).add(r["fingerprint"])
-    assert all(len(v) == 1 for v in by_text.values())
+    got = [tuple(r) for r in spotsigs.compare_edited(docs).collect()]
+    want = []
+    for i, text, follows in _next(rows):
+        n = len(text) // 3
+        edited = text[: len(text) - n] + follows[:n]
+        own, changed, after = (_signatures(x) for x in (text, edited, follows))
+        want.append((i, len(text), sha(edited), _hex(own), _hex(changed), _jaccard(own, changed), _jaccard(own, after)))
+    assert [r[:5] for r in sorted(got)] == [r[:5] for r in sorted(want)]
+    assert all(abs(x - y) < 1e-12 for a, b in zip(sorted(got), sorted(want), strict=True) for x, y in zip(a[5:], b[5:], strict=True))
     assert spotsigs.compare_edited(none).count() == 0 and spotsigs.compare_edited(no_id).count() == 3
 
 
+def test_ranges_of_ids(spark, monkeypatch):
+    texts = [(None, "no id")] + [(k * k % 10_007 if k % 3 else 77, f"text {k} of the {k % 50} words") for k in range(3000)]
+    df = frame(spark, texts)
+    for size in (1 << 28, 500):  # as many ranges as tasks ask for, and a range each 500 bytes
+        monkeypatch.setattr(spotsigs, "BUCKET_BYTES", size)
+        got = {(r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in spotsigs.compare_edited(df).collect()}
+        assert got == {(i, len(t), sha(t[: len(t) - len(t) // 3] + f[: len(t) // 3])) for i, t, f in _next(texts)}
+
+
+def test_halving(spark):
+    bounds = [-5, 0, 3, 9, 10, 400]
+    df = spark.createDataFrame([(x,) for x in (None, -9, -5, -4, 0, 1, 3, 9, 10, 11, 400, 401)], "x long")
+    got = [(r["x"], r["n"]) for r in df.select("x", spotsigs._below(bounds, F.col("x")).alias("n")).collect()]
+    assert got == [(x, 0 if x is None else sum(b < x for b in bounds)) for x, _ in got]
+
+
 def _h(*xs):
     import xxhash
 
@@ -163,34 +183,55 @@ def _h(*xs):
     return value
 
 
+def _hex(signatures):
+    return "".join(f"{x:08x}" for x in sorted(signatures))
+
+
 def _by_hand(words):
     hashed = [_h(w.encode()) for w in words]
-    anchors = [w in spotsigs.COMMON or ((v - (1 << 64) if v >> 63 else v) % spotsigs.SHARE == 0) for w, v in zip(words, hashed, strict=True)]
-    content = [v for v, a in zip(hashed, anchors, strict=True) if not a]
-    after = lambda p: [v for v, a in zip(hashed[p + 1 :], anchors[p + 1 :], strict=True) if not a][: spotsigs.CHAIN]
-    full = {_h(hashed[p], *after(p)) % (1 << 32) for p, a in enumerate(anchors) if a and len(after(p)) == spotsigs.CHAIN}
-    count = sum(a and len(after(p)) == spotsigs.CHAIN for p, a in enumerate(anchors))
-    if count >= spotsigs.FEW:
-        return full
-    return {_h(hashed[p], *after(p)) % (1 << 32) for p in range(len(words))} | {_h(v) % (1 << 32) for v in content or hashed}
+    anchors = [w in spotsigs.COMMON or v % spotsigs.SHARE == 0 for w, v in zip(words, hashed, strict=True)]
+    after = lambda p, n: [v for v, a in zip(hashed[p:], anchors[p:], strict=True) if not a][:n]
+    found = {_h(hashed[p], *after(p, spotsigs.CHAIN)) for p, a in enumerate(anchors) if a}
+    if not all(anchors):
+        found |= {_h(b"start", *after(0, n)) for n in range(1, spotsigs.CHAIN + 1)}
+    return {x % (1 << 32) for x in found}
+
+
+def _signatures(text):
+    import regex
+
+    words = [w for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w]
+    if not words:
+        return {_h(b"text", text.encode()) % (1 << 32)} if text else set()
+    return _by_hand(words)
 
 
 def test_signatures_by_hand(spark):
     few = "the quick brown fox of lazy dogs and cats sleep soundly".split()
     many = [w for k in range(40) for w in ("the", f"word{chr(97 + k % 26)}{chr(97 + k // 26)}", "of", "it", f"more{chr(97 + k % 26)}")]
-    for words in (few, many, ["the", "of"], ["single"]):
+    for words in (few, many, ["the", "of"], ["single"], ["single", "the"], ["two", "words"]):
         assert plain_signatures(spark, " ".join(words).upper() + "!") == _by_hand(words)
+    assert plain_signatures(spark, " ?! ") == {_h(b"text", b" ?! ") % (1 << 32)} and plain_signatures(spark, "") == set()
 
 
-def test_likeness_does_not_jump_at_few_signatures(spark):
-    name = lambda k: f"w{chr(97 + k % 26)}{chr(97 + k // 26)}q"
-    rich = " ".join(w for k in range(9) for w in ("the", *map(name, range(300 + 5 * k, 305 + 5 * k))))
-    bare = " ".join(w for w in map(name, range(100)) if _h(w.encode()) % spotsigs.SHARE)  # no anchors
-    long = " ".join(w for k in range(60) for w in ("the", name(200 + k)))
-    df = frame(spark, [(3, rich), (2, bare), (1, long)])
-    many = {r["doc_id"]: r["m"] for r in spotsigs.with_signatures(df, "text", "s", "m").collect()}
-    assert many == {3: True, 2: False, 1: True}
+def test_a_very_long_text_of_anchors(spark):
+    df = frame(spark, [(2, "the " * 250_000), (1, "the of " * 200_000)])
+    begun = time.monotonic()
     got = {r["doc_id"]: r for r in spotsigs.compare_edited(df).collect()}
-    assert all(got[k]["near_edited"] > 0.3 for k in (2, 3))  # two thirds stay; the rest makes 2 many and 3 few
-    twin = frame(spark, [(2, bare), (1, f"{bare} " + " ".join(w for k in range(9) for w in ("the", name(200 + k))))])
-    assert spotsigs.compare_edited(twin).where("doc_id = 2").first()["near_next"] > 0.6
+    assert time.monotonic() - begun < 30
+    assert got[2]["fingerprint"] == _hex({_h(_h(b"the")) % (1 << 32)}) and got[2]["near_next"] == 0.5 and got[2]["near_edited"] > 0
+
+
+def test_short_texts_keep_likeness(spark):
+    name = lambda k: f"w{chr(97 + k % 26)}{chr(97 + k // 26)}q"
+    texts = [(k, " ".join(name(17 * k + j) for j in range(9 + k))) for k in range(20)]
+    got = spotsigs.compare_edited(frame(spark, texts)).collect()
+    assert all(r["near_edited"] > 0.2 and r["near_next"] < 0.1 for r in got)
+
+
+def test_a_floor_prunes_only_below_it(spark):
+    sets = [(list(range(a)), list(range(a - c, a - c + b))) for a in (0, 1, 5, 40, 300) for b in (0, 1, 5, 40, 300) for c in (0, 1, 3)]
+    df = spark.createDataFrame(sets, "a array<long>, b array<long>")
+    for r in df.select("a", "b", spotsigs.likeness("a", "b").alias("x"), spotsigs.likeness("a", "b", 0.3).alias("y")).collect():
+        want = _jaccard(set(r["a"]), set(r["b"]))
+        assert abs(r["x"] - want) < 1e-12 and (abs(r["y"] - want) < 1e-12 or (r["y"] == 0 and want < 0.3))

@@ -1,20 +1,19 @@
 """SpotSigs fingerprints, in DataFrame functions alone.
 
-A signature is an anchor and the ``CHAIN`` content words that follow it, anchors between them skipped. Anchors
-are common words of four languages and, so that lists and texts in other tongues have some, the words whose
-hash falls in a fixed share. Words before a position are anchors or content, so the content that follows
-the k-th anchor, at position p, begins at content word p - k: one pass marks anchors, one collects content.
-A fingerprint is the sorted set of 32-bit signature hashes, eight hex digits each. Texts with fewer than
-``FEW`` signatures (short texts, lists, one word over and over) take every word as an anchor, with as many
-content words as follow, and their content words alone besides. Only sets of one kind are compared, so that
-likeness does not jump at ``FEW``: an edited text's fingerprint is of the kind of its text's, and a text and the
-next of another kind are compared by the denser sets of both. Texts without words take the hash of the text.
-
-Two sets are compared by partition of their lengths: sets whose partitions lie more than one apart cannot
-reach the floor and are given 0 unseen; others get their Jaccard likeness, by a hash set of the two.
-
-Defined results: a null text counts as empty, its set is empty and its fingerprint the empty string; two
-empty sets are alike (1), an empty and another are not (0); equal texts have equal fingerprints; among equal
+A signature is an anchor and the chain of the up to ``CHAIN`` content words that follow it, anchors between them
+skipped. Anchors are common words of four languages and, so that lists and texts in other tongues have some, the
+words whose hash falls in a fixed share; the start of a text is an anchor too, with chains of 1 to ``CHAIN`` content
+words, so that a text of few words has some. One rule holds for texts of all lengths. Words before a position are
+anchors or content, so the content that follows the k-th anchor, at position p, begins at content word p - k: one
+pass marks anchors, one collects content, and time is in proportion to a text's length. A fingerprint is the sorted
+set of 32-bit signature hashes, eight hex digits each.
+
+Two sets are compared by their Jaccard likeness, by a hash set of the two. Where a floor is given, they are compared by
+partition of their lengths: sets whose partitions lie more than one apart cannot reach it and are given 0 unseen.
+
+Defined results: a null text counts as empty, its set is empty and its fingerprint the empty string; a text of anchors
+alone has one signature for each different one; a text without words takes the hash of the text; two empty sets are
+alike (1), an empty and another are not (0); equal texts have equal fingerprints; among equal
 ids the order is that of the texts' hashes; a null id comes after all others; an only document is its own
 next; an empty table gives no rows; other columns are ignored.
 """
@@ -27,9 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHAIN = 3
-FEW = 8
 SHARE = 16
-MOST_BUCKETS = 4096
+BUCKET_BYTES = 1 << 28  # of text in a range of ids, where there are more ranges than tasks
 #: Common words of English, German, French and Spanish.
 COMMON = """
 the of and to in is that it for was
@@ -43,47 +41,51 @@ def _hashed(text: str) -> Column:
     return F.transform(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def with_signatures(df: DataFrame, text: str, out: str, many: str | None = None, chained: Column | None = None) -> DataFrame:
-    """Column ``out``: the sorted set of signatures (longs below 2**32) of the text column.
-
-    Column ``many``, where a name is given, tells the texts of ``FEW`` or more; ``chained`` says in their place
-    whether a text that has anchored chains takes these alone.
-    """
+def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Column ``out``: the sorted set of signatures (longs below 2**32) of the text column."""
     common = df.sparkSession.range(1).select(F.array(*[F.xxhash64(F.lit(w)) for w in COMMON]).alias("h")).first()["h"]
     anchor = lambda h: h.isin(common) | (F.pmod(h, F.lit(SHARE)) == 0)
     short = lambda c: F.pmod(c, F.lit(1 << 32))
     df = df.withColumn("_words", _hashed(text))
     df = df.withColumn("_content", F.filter("_words", lambda h: ~anchor(h)))
-    at = F.filter(F.transform("_words", lambda h, i: F.when(anchor(h), i).otherwise(F.lit(-1))), lambda i: i >= 0)
-    df = df.withColumn("_left", F.size("_content") - CHAIN).withColumn("_all", at).withColumn("_at", F.filter("_all", lambda p, k: p - k <= F.col("_left")))
-    link = lambda word, at: short(F.xxhash64(word, *[F.get("_content", at + n) for n in range(CHAIN)]))
-    chains = F.transform("_at", lambda p, k: link(F.get("_words", p), p - k))
-    # the content after position i begins at i less the anchors before it, one further if i is content; there are few anchors
-    before = lambda i: F.size(F.filter("_all", lambda p: p < i))
-    every = F.transform("_words", lambda h, i: link(h, i - before(i) + F.when(anchor(h), 0).otherwise(1)))
-    alone = F.transform(F.when(F.size("_content") > 0, F.col("_content")).otherwise(F.col("_words")), lambda h: short(F.xxhash64(h)))
-    bare = F.when(F.size("_words") > 0, F.concat(every, alone)).when(F.col(text) == "", F.array().cast("array<bigint>")).otherwise(F.array(short(F.xxhash64(F.lit("text"), text))))
-    found = F.when(F.size("_at") >= FEW if chained is None else chained & (F.size("_at") > 0), chains).otherwise(bare)
-    df = df.withColumn(many, F.size("_at") >= FEW) if many else df
-    return df.withColumn(out, F.array_sort(F.array_distinct(found))).drop("_words", "_content", "_left", "_all", "_at")
+    df = df.withColumn("_at", F.filter(F.transform("_words", lambda h, i: F.when(anchor(h), i).otherwise(F.lit(-1))), lambda i: i >= 0))
+    follow = lambda at, n: [F.get("_content", at + i) for i in range(n)]  # noqa: E731  # no word beyond the last; a hash passes over those
+    chains = F.transform("_at", lambda p, k: short(F.xxhash64(F.get("_words", p), *follow(p - k, CHAIN))))
+    starts = F.array(*[short(F.xxhash64(F.lit("start"), *follow(F.lit(0), n))) for n in range(1, CHAIN + 1)])
+    found = F.when(F.size("_content") > 0, F.concat(starts, chains)).when(F.size("_words") > 0, chains)
+    found = found.when(F.col(text) == "", F.array().cast("array<bigint>")).otherwise(F.array(short(F.xxhash64(F.lit("text"), text))))
+    return df.withColumn(out, F.array_sort(F.array_distinct(found))).drop("_words", "_content", "_at")
 
 
 def as_text(signatures: str) -> Column:
     return F.array_join(F.transform(signatures, lambda s: F.lpad(F.lower(F.hex(s)), 8, "0")), "")
 
 
-def likeness(a: str, b: str, floor: float) -> Column:
-    """Jaccard likeness of two sets, 0 where their lengths' partitions rule out the floor."""
+def likeness(a: str, b: str, floor: float = 0.0) -> Column:
+    """Jaccard likeness of two sets, 0 where their lengths' partitions rule out a floor."""
     x, y = F.size(a), F.size(b)
-    part = lambda n: F.floor(F.log(n.cast("double")) / math.log(1 / floor))
     both = F.size(F.array_intersect(a, b))
-    return (
-        F.when((x == 0) & (y == 0), 1.0)
-        .when((x == 0) | (y == 0), 0.0)
-        .when(F.abs(part(x) - part(y)) > 1, 0.0)
-        .when(F.least(x, y) < floor * F.greatest(x, y), 0.0)
-        .otherwise(both / (x + y - both))
-    )
+    found = F.when((x == 0) & (y == 0), 1.0).when((x == 0) | (y == 0), 0.0)
+    if floor > 0:
+        part = lambda n: F.floor(F.log(n.cast("double")) / math.log(1 / floor))
+        found = found.when(F.abs(part(x) - part(y)) > 1, 0.0).when(F.least(x, y) < floor * F.greatest(x, y), 0.0)
+    return found.otherwise(both / (x + y - both))
+
+
+def _below(bounds: list[int], of: Column) -> Column:
+    """How many of the sorted bounds lie below a number, by halving; 0 for null."""
+    if not bounds:
+        return F.lit(0)
+    table = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")  # a literal, once folded
+
+    def halve(span: Column, _: Column) -> Column:
+        mid = F.shiftright(span["lo"] + span["hi"], 1)
+        right = F.coalesce(F.get(table, mid) < of, F.lit(False))
+        half = F.when(right, F.struct((mid + 1).alias("lo"), span["hi"].alias("hi"))).otherwise(F.struct(span["lo"].alias("lo"), mid.alias("hi")))
+        return F.when(span["lo"] < span["hi"], half).otherwise(span)
+
+    whole = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+    return F.aggregate(F.array(*[F.lit(0)] * len(bounds).bit_length()), whole, halve, lambda span: span["lo"])
 
 
 def with_next(docs: DataFrame) -> tuple[DataFrame, Window]:
@@ -91,16 +93,15 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, Window]:
 
     The first row of each range is there a second time (``ghost``) as the last of the range before it, that
     of the first range as the last of the last; callers drop ghosts. Range bounds are approximate quantiles,
-    a fixed number of them, so ranges follow the ids' density and no row has to see another range.
+    as many as the bytes of text ask for, so ranges follow the ids' density and no row has to see another range.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    n = min(MOST_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     bounds = docs.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], F.lit(10 * n)).alias("q")).first()["q"] or []
-    bounds = sorted(set(bounds))
-    bucket = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b < F.col("doc_id"))) if bounds else F.lit(0)
-    docs = docs.withColumn("bucket", bucket)
-    first = sorted(docs.groupBy("bucket").agg(F.max("doc_id").alias("first")).collect(), reverse=True)  # MOST_BUCKETS rows at most
+    docs = docs.withColumn("bucket", _below(sorted(set(bounds)), F.col("doc_id").cast("long")))
+    first = sorted(docs.groupBy("bucket").agg(F.max("doc_id").alias("first")).collect(), reverse=True)  # a row a range
     rows = [(r["bucket"], r["first"], first[k - 1]["bucket"]) for k, r in enumerate(first)]
     ends = F.broadcast(spark.createDataFrame(rows, f"bucket int, first {docs.schema['doc_id'].dataType.simpleString()}, before int"))
     places = F.when(F.col("doc_id").eqNullSafe(F.col("first")), F.array(F.struct(F.col("bucket"), F.lit(0).alias("ghost")), F.struct(F.col("before").alias("bucket"), F.lit(1).alias("ghost"))))
@@ -109,7 +110,7 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, Window]:
     return dealt, Window.partitionBy("bucket").orderBy("ghost", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
 
 
-def compare_edited(docs: DataFrame, floor: float = 0.05) -> DataFrame:
+def compare_edited(docs: DataFrame, floor: float = 0.0) -> DataFrame:
     """Fingerprints of each text and of its edited text, and their likeness to that and to the next document's.
 
     The edited text is the text with its last third replaced by the beginning of the next document.
@@ -117,13 +118,8 @@ def compare_edited(docs: DataFrame, floor: float = 0.05) -> DataFrame:
     dealt, order = with_next(docs)
     third = F.floor(F.length("text") / 3).cast("int")
     df = dealt.withColumn("edited", F.concat(F.left("text", F.length("text") - third), F.left(F.lead("text").over(order), third)))
-    df = with_signatures(df, "text", "own", many="own_many")
-    df = with_signatures(df, "edited", "changed", chained=F.col("own_many"))
-    lead = lambda column: F.lead(column).over(order)
-    df = df.select("*", lead("own").alias("following"), lead("own_many").alias("following_many"), lead("text").alias("next_text")).where("ghost = 0")
-    unlike = F.col("own_many") != F.col("following_many")
-    for text, out in (("text", "own_dense"), ("next_text", "following_dense")):
-        df = with_signatures(df.withColumn("_dense", F.when(unlike, F.col(text))), "_dense", out, chained=F.lit(False))
+    df = with_signatures(with_signatures(df, "text", "own"), "edited", "changed")
+    df = df.withColumn("following", F.lead("own").over(order)).where("ghost = 0")
     return df.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
@@ -131,5 +127,5 @@ def compare_edited(docs: DataFrame, floor: float = 0.05) -> DataFrame:
         as_text("own").alias("fingerprint"),
         as_text("changed").alias("edited_fingerprint"),
         likeness("own", "changed", floor).alias("near_edited"),
-        F.when(unlike, likeness("own_dense", "following_dense", floor)).otherwise(likeness("own", "following", floor)).alias("near_next"),
+        likeness("own", "following", floor).alias("near_next"),
     )
