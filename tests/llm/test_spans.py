@@ -224,7 +224,7 @@ def test_a_very_long_text_of_anchors(spark):
 
 def test_short_texts_keep_likeness(spark):
     name = lambda k: f"w{chr(97 + k % 26)}{chr(97 + k // 26)}q"
-    texts = [(k, " ".join(name(17 * k + j) for j in range(9 + k))) for k in range(20)]
+    texts = [(k, " ".join(name(30 * k + j) for j in range(9 + k))) for k in range(20)]
     got = spotsigs.compare_edited(frame(spark, texts)).collect()
     assert all(r["near_edited"] > 0.2 and r["near_next"] < 0.1 for r in got)
 
