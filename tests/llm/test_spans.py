@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import time
 from collections import Counter
@@ -72,6 +73,36 @@ def test_weak_parts_only_where_they_co_occur(spark):
     assert got == {1: ["id", "key", "host"], 2: [], 3: [], 4: [], 5: ["id", "key"], 6: []}
 
 
+def plain_links(text):
+    """The weak spans whose complementary parts co-occur, all parts with all."""
+    base = plain_secrets(text)
+    found = [(m.start(), kind, m.end()) for kind, pattern in secrets.WEAK for m in re.finditer(pattern, text)]
+    weak = [w for w in found if not any(a < w[2] and w[0] < b for a, _, b in base)]
+    every = base + weak
+    kinds = lambda *names: [x for x in every if x[1] in names]
+    near = lambda x, y: 0 <= max(y[0] - x[2], x[0] - y[2]) <= secrets.SCOPE
+    pairs = [(x, y) for x in kinds("key", "assign", "hex") for y in kinds("id", "access", "host") if near(x, y)]
+    out = {z for pair in pairs for z in pair}
+    out |= {h for h in kinds("host") for z in out if z[1] in ("id", "access") and near(z, h)}
+    return {x for x in out if x[1] in ("id", "key", "host")}
+
+
+def test_links_against_all_pairs(spark):
+    rng = random.Random(6)
+    parts = ["user: bob", "client_id=abc", "AKIAABCDEFGH", "password: hunter22", "token=abcdefghijklmnop", "AbcdefGhijk1mnopqrstuvwx", "https://h.example.com/x", "db.example.com:5432", "0123456789abcdef0123", "é🙂"]
+    texts = []
+    for _ in range(150):
+        text = ""
+        for _ in range(rng.randint(1, 9)):
+            text += rng.choice(parts) + " " + "z " * rng.choice((0, 1, 40, 95, 99, 100, 101, 250))
+        texts.append(text)
+    texts += ["token=" + "Jw9" * 300 + " user: bob", "user: bob " + "y" * 300, "redis://:pw@h.example.com password: hunter22", "password: hunter22 " * 400 + "user: bob"]
+    order = ["assign", "access", "hex", "id", "key", "host"]
+    for r in secrets.report(frame(spark, enumerate(texts))).collect():
+        text = texts[r["doc_id"]]
+        assert r["spans"] == joined([*plain_secrets(text), *plain_links(text)], order)
+
+
 def test_redaction(spark, docs, rows):
     got = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
     assert secrets.redact(docs).columns == docs.columns and secrets.redact(docs).count() == len(rows)

@@ -2,10 +2,11 @@
 
 Base kinds are single patterns. Weak kinds (``id`` an access identifier, ``key`` a short or bare secret,
 ``host`` an endpoint) say little alone and are reported only when complementary parts co-occur: an
-interval join pairs identifiers and secrets of a text whose starts lie within ``SCOPE`` code points, base
-spans taking part as either side, and an endpoint joins where a paired part lies within its scope. Both sides
-are dealt to buckets of ``SCOPE``, an identifier to its own and both neighbours, so a bucket holds what
-fits into that much text and no text's parts are ever paired all with all.
+interval join pairs the secrets of a text with the identifiers and with the endpoints that lie within ``SCOPE``
+code points of them, between the end of one and the start of the other, base spans taking part as secrets or
+identifiers, and an endpoint joins where a paired identifier lies within its scope. Both sides are dealt to the
+buckets of ``SCOPE`` that they touch, one side with its scope, so a bucket holds what fits into that much text and no
+text's parts are ever paired all with all.
 
 Positions come from the pieces between matches: ``split`` gives their lengths, ``regexp_extract_all`` the
 matches', and running sums of the two (blocks of sums, then within a block) give each start. Documents without
@@ -78,41 +79,58 @@ def as_text(spans: str) -> Column:
 
 
 def _near(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of both that start within SCOPE of each other in one text, dealt by bucket; right is dealt thrice."""
-    bucket = F.floor(F.col("span.start") / SCOPE).cast("int")
-    a = left.withColumn("bucket", bucket).alias("a")
-    b = right.withColumn("bucket", F.explode(F.array(bucket - 1, bucket, bucket + 1))).alias("b")
+    """Rows of both with a gap of SCOPE at most between their spans, by the buckets that left touches and right reaches; some twice."""
+    start, end = F.col("span.start"), F.col("span.end")
+    bucket = lambda at: F.floor(at / SCOPE).cast("int")
+    a = left.withColumn("bucket", F.explode(F.sequence(bucket(start), bucket(end)))).alias("a")
+    b = right.withColumn("bucket", F.explode(F.sequence(bucket(start - SCOPE), bucket(end + SCOPE)))).alias("b")
     on = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.h") == F.col("b.h")) & (F.col("a.bucket") == F.col("b.bucket"))
-    return a.join(b, on & (F.abs(F.col("a.span.start") - F.col("b.span.start")) <= SCOPE) & ((F.col("a.span.end") <= F.col("b.span.start")) | (F.col("b.span.end") <= F.col("a.span.start"))))
+    gap = F.greatest(F.col("b.span.start") - F.col("a.span.end"), F.col("a.span.start") - F.col("b.span.end"))
+    return a.join(b, on & gap.between(0, SCOPE))
 
 
 def _linked(found: DataFrame) -> DataFrame:
     """``(doc_id, h, links)``: the weak spans of each text whose parts co-occur."""
     parts = lambda *columns: found.select("doc_id", "h", F.explode(F.concat(*columns)).alias("span"))
-    pairs = _near(parts("key", "assign", "hex"), parts("id", "access"))
+    pairs = _near(parts("key", "assign", "hex"), parts("id", "access", "host"))
     pairs = pairs.select("a.doc_id", "a.h", F.explode(F.array("a.span", "b.span")).alias("span")).distinct()
-    hosts = _near(pairs, parts("host")).select("b.doc_id", "b.h", "b.span").distinct()
+    hosts = _near(pairs.where(F.col("span.kind").isin("id", "access")), parts("host")).select("b.doc_id", "b.h", "b.span").distinct()
     weak = pairs.union(hosts).where(F.col("span.kind").isin([w[0] for w in WEAK]))
     return weak.groupBy("doc_id", "h").agg(F.collect_set("span").alias("links"))
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """A row for each row of ``docs(doc_id, text)``: ``doc_id``, ``h`` (the text's hash), spans ``assign``, ``access``, ``hex`` and ``links``."""
-    ws = Workspace(docs.sparkSession)
-    df = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+PARTS = [*(b[0] for b in BASE), *(w[0] for w in WEAK)]
+PARTNERS = "size(id) + size(access) + size(host) > 0"
+COMPLETE = f"{PARTNERS} and size(key) + size(assign) + size(hex) > 0"
+
+
+def _with_parts(df: DataFrame) -> DataFrame:
+    """Columns of base spans and of weak spans, and ``h``, for each row of ``df(doc_id, text)``; texts are not null."""
     for kind, pattern, group, least in BASE:
         df = _with_spans(df, kind, kind, pattern, group, least)
     df = _with_spans(df, "id", *WEAK[0], 0, 0)
-    some = (F.size("id") > 0) | (F.size("access") > 0)
-    df = _with_spans(df, "key", *WEAK[1], 0, 0, given=some)
-    df = _with_spans(df, "host", *WEAK[2], 0, 0, given=some & (F.size("key") + F.size("assign") + F.size("hex") > 0))
+    df = _with_spans(df, "host", *WEAK[2], 0, 0)
+    df = _with_spans(df, "key", *WEAK[1], 0, 0, given=F.expr(PARTNERS))
     clear = lambda c: F.filter(c, lambda w: ~F.exists(F.concat("assign", "access", "hex"), lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
-    df = df.select("doc_id", F.xxhash64("text").alias("h"), *[b[0] for b in BASE], *[F.when(some, clear(w[0])).otherwise(F.array().cast(SPAN)).alias(w[0]) for w in WEAK])
-    found = ws.save(df, "spans")
-    parts = found.where((F.size("id") + F.size("access") > 0) & (F.size("key") + F.size("assign") + F.size("hex") > 0)).dropDuplicates(["doc_id", "h"])
-    links = _linked(parts).withColumnsRenamed({"doc_id": "_doc", "h": "_h"})
-    joined = found.join(links, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("h") == F.col("_h")), "left")
-    return joined.select("doc_id", "h", *[b[0] for b in BASE], F.coalesce("links", F.array().cast(SPAN)).alias("links"))
+    some = F.expr(COMPLETE)
+    weak = {w[0]: F.when(some, clear(w[0])).otherwise(F.array().cast(SPAN)) for w in WEAK}
+    return df.withColumns(weak | {"h": F.xxhash64("text")})
+
+
+def _with_links(found: DataFrame) -> DataFrame:
+    """Column ``links`` in place of the weak spans; only rows that may have some are joined."""
+    may = F.expr(COMPLETE)
+    links = _linked(found.where(may).select("doc_id", "h", *PARTS).dropDuplicates(["doc_id", "h"])).withColumnsRenamed({"doc_id": "_doc", "h": "_h"})
+    joined = found.where(may).join(links, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("h") == F.col("_h")), "left").drop("_doc", "_h")
+    joined = joined.withColumn("links", F.coalesce("links", F.array().cast(SPAN)))
+    return joined.unionByName(found.where(~may).withColumn("links", F.array().cast(SPAN))).drop(*[w[0] for w in WEAK])
+
+
+def scan(docs: DataFrame) -> DataFrame:
+    """A row for each row of ``docs(doc_id, text)``: ``doc_id``, ``h`` (the text's hash), spans ``assign``, ``access``, ``hex`` and ``links``."""
+    df = _with_parts(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    found = Workspace(docs.sparkSession).save(df.select("doc_id", "h", *PARTS), "spans")
+    return _with_links(found).select("doc_id", "h", *[b[0] for b in BASE], "links")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -123,12 +141,16 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span of ``text`` replaced by the mark and ``n_chars``, where there is one, counted anew; columns and rows stay."""
-    spans = scan(docs).select("doc_id", "h", F.array_sort(F.concat(*[b[0] for b in BASE], "links")).alias("spans"))
-    spans = spans.where(F.size("spans") > 0).dropDuplicates(["doc_id", "h"])
-    same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("s.h"))
-    df = docs.alias("d").join(spans.alias("s"), same, "left")
-    text = F.col("d.text")
+    """``docs`` with every span of ``text`` replaced by the mark and ``n_chars``, where there is one, counted anew; columns and rows stay.
+
+    Texts are written once beside their spans; only those that may hold linked parts are shuffled.
+    """
+    rest = [c for c in docs.columns if c != "text"]
+    row = F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_row")
+    df = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("text").isNull().alias("_null"), row)
+    df = _with_links(Workspace(docs.sparkSession).save(_with_parts(df), "parts"))
+    df = df.withColumn("_spans", F.array_sort(F.concat(*[b[0] for b in BASE], "links")))
+    text = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(done: Column, span: Column) -> Column:
@@ -137,17 +159,10 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         inside = F.struct(F.greatest(done["at"], span["end"]).alias("at"), done["out"].alias("out"))
         return F.when(span["start"] >= done["at"], after).otherwise(inside)
 
-    clean = F.aggregate("s.spans", start, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
-    new = F.when(F.col("s.h").isNotNull(), clean).otherwise(text)
-    df = df.select(*[new.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns], F.col("s.h").isNotNull().alias(own := _fresh(docs)))
-    if "n_chars" in docs.columns:
-        df = df.withColumn("n_chars", F.when(F.col(own), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return df.select(*docs.columns)
-
-
-def _fresh(df: DataFrame) -> str:
-    """A column name that the frame doesn't have."""
-    name = "changed"
-    while name in {c.lower() for c in df.columns}:
-        name += "_"
-    return name
+    clean = F.aggregate("_spans", start, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+    changed = F.size("_spans") > 0
+    df = df.withColumn("_new", F.when(F.col("_null"), F.lit(None)).when(changed, clean).otherwise(text))
+    out = {c: F.col("_row")[c] for c in rest} | {"text": F.col("_new")}
+    if "n_chars" in rest:
+        out["n_chars"] = F.when(changed, F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(out["n_chars"])
+    return df.select(*[out[c].alias(c) for c in docs.columns])
