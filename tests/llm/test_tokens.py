@@ -99,6 +99,6 @@ def test_word_round_trip(docs, none, no_id, rows):
 
 def test_tree_equals_one_pass():
     coder, rng = bpe.word_coder(WORDS), random.Random(4)
-    for _ in range(150):
-        symbols = "".join(rng.choices("theinsraoé"[: rng.randint(2, 9)], k=rng.randint(65, 700)))
+    for n in [*(rng.randint(65, 700) for _ in range(150)), bpe.THREADED, 40_000]:
+        symbols = "".join(rng.choices("theinsraoé"[: rng.randint(2, 9)], k=n))
         assert coder.tree(symbols) == coder._merge(symbols, True)

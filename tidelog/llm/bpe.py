@@ -1,8 +1,8 @@
 """BPE encoding and decoding with word ends; long unsplit text by tree concatenation.
 
 A text is normalised and cut into words as the library does; each different word is merged once a worker.
-A word of more than ``LEAF`` symbols is halved until its parts are short, the parts are encoded in parallel
-(a batch of the library's), and neighbours are joined upward: a window of tokens around the join, one a
+A word of more than ``LEAF`` symbols is halved until its parts are short, the parts are encoded as a batch of the
+library's, by its threads where the word has ``THREADED`` symbols or more, and neighbours are joined upward: a window of tokens around the join, one a
 side at first and twice as many each time, is encoded afresh until its two ends agree with what stands
 beside it. Two tokens agree when their joint text encodes to just the two; an encoding whose neighbours all
 agree is the encoding of the whole, so the joined parts equal those of one pass.
@@ -23,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .tokens import BYTE_LETTERS, Cutter, _Memory, byte_level, load
+from .tokens import BYTE_LETTERS, Cutter, _Memory, byte_level, load, threads
 
 LEAF = 64
+THREADED = 1 << 14
 #: The pattern that the vocabulary file names, over classes of letters L, digits D and others O; what it does not match is dropped.
 WORD_SPLIT = r"L+|'(?:s|t|re|ve|m|ll|d)|D|O+"
 
@@ -72,7 +73,8 @@ class WordCoder:
         parts = [symbols]
         while len(parts[0]) > LEAF:
             parts = [half for p in parts for half in (p[: len(p) // 2], p[len(p) // 2 :])]
-        inner = self.inner.encode_batch([[p] for p in parts[:-1]], is_pretokenized=True, add_special_tokens=False)
+        with threads(len(symbols) >= THREADED):
+            inner = self.inner.encode_batch([[p] for p in parts[:-1]], is_pretokenized=True, add_special_tokens=False)
         level = [e.ids for e in inner] + [self._merge(parts[-1], True)]
         while len(level) > 1:
             n = len(level) // 2

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain
 
@@ -40,6 +42,17 @@ def _byte_letters() -> dict[int, str]:
 BYTE_LETTERS = _byte_letters()
 
 
+@contextmanager
+def threads(on: bool) -> Iterator[None]:
+    """Let the library use its threads within, where one piece of text is worth them."""
+    before = os.environ["TOKENIZERS_PARALLELISM"]
+    os.environ["TOKENIZERS_PARALLELISM"] = "true" if on else before
+    try:
+        yield
+    finally:
+        os.environ["TOKENIZERS_PARALLELISM"] = before
+
+
 def byte_level(text: str) -> str:
     return text.encode().decode("latin-1").translate(BYTE_LETTERS)
 
