@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import math
 import random
 
+import numpy as np
 import pytest
 
 from tidelog.llm import toxicity
@@ -66,3 +68,40 @@ def test_edges(spark, none, no_id, docs, rows):
     assert toxicity.judged(none, labels, ["low_quality", "toxic"]).count() == 0
     odd = spark.createDataFrame([(None, 1, 1), (3, None, 1), (3, 1, 1), (3, 0, 1)], "doc_id long, low_quality int, toxic int")
     assert toxicity.judged(no_id, odd, ["low_quality", "toxic"]).count() == 3
+
+
+def _plain_linear(x, y):
+    """Logistic regression of all columns as one dense table, by the same steps."""
+    w, b = np.zeros(x.shape[1]), math.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))
+    first, second = np.zeros(x.shape[1] + 1), np.full(x.shape[1] + 1, 1e-12)
+    for t in range(1, toxicity.ROUNDS + 1):
+        gap = (1 / (1 + np.exp(-(x @ w + b))) - y) / len(y)
+        grad = np.append(x.T @ gap + toxicity.RIDGE * w, gap.sum())
+        first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2
+        step = 0.2 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-6)
+        w, b = w - step[:-1], b - step[-1]
+    return lambda z: 1 / (1 + np.exp(-(z @ w + b)))
+
+
+def test_against_a_plain_chain():
+    """The same features, folds and labels in dense tables: equal probabilities of new texts, equal threshold."""
+    rng = np.random.default_rng(7)
+    x = (rng.random((300, 40)) < 0.2).astype(float)
+    labels = np.column_stack([x[:, 0] + x[:, 1] > 0, x[:, 2] + x[:, 0] * x[:, 3] > 0]).astype(int)
+    labels ^= rng.random(labels.shape) < 0.05
+    folds = rng.integers(0, toxicity.FOLDS, len(x))
+    new = (rng.random((50, 40)) < 0.2).astype(float)
+    rows = lambda m: [np.flatnonzero(r).tolist() for r in m]
+    chain = toxicity.fit_chain(["a", "b"], np.arange(40), rows(x), labels, folds)
+    got = chain.probabilities(rows(new))
+    unseen, known = np.zeros((len(x), 0)), np.zeros((len(new), 0))
+    for c in range(2):
+        y, p = labels[:, c].astype(float), np.zeros(len(x))
+        for f in range(toxicity.FOLDS):
+            out = folds == f
+            p[out] = _plain_linear(np.column_stack([x, unseen])[~out], y[~out])(np.column_stack([x, unseen])[out])
+        known = np.column_stack([known, _plain_linear(np.column_stack([x, unseen]), y)(np.column_stack([new, known]))])
+        unseen = np.column_stack([unseen, p])
+    assert np.abs(got - known).max() < 1e-6
+    best = [t for t in sorted(set(unseen[:, 1])) if labels[unseen[:, 1] >= t, 1].mean() >= toxicity.PRECISION]
+    assert not best or (unseen[:, 1] >= chain.threshold).sum() == (unseen[:, 1] >= best[0]).sum()

@@ -8,8 +8,8 @@ Features are a text's words and the beginnings of its words (4 to 6 letters, whi
 hashed to ``BUCKETS``; at most ``FEATURES`` are kept, those whose presence tells most about a category, by
 ``TELLS`` standard deviations at least. Training reads a bounded sample: the ``SAMPLE`` labelled rows with the
 least hashes of their ids, and of those that share the least hash of three words (copies, mostly) one, lest the words of
-a much copied text tell. Everything else, the documents that are scored and their whole texts, has no bound. The rejection threshold of each category is
-the least one whose out-of-fold precision reaches ``PRECISION``.
+a much copied text tell. Everything else, the documents that are scored and their whole texts, has no bound. The rejection threshold, of the last
+category, is the least one whose out-of-fold precision reaches ``PRECISION``.
 
 Defined results: a null or empty text has no features and gets the models' base rate; a document without a
 label is scored like any other; a category with one class in the sample gets that class's rate for all;
@@ -97,12 +97,12 @@ def train_linear(row: np.ndarray, col: np.ndarray, y: np.ndarray, n_features: in
 
 @dataclass
 class Chain:
-    """Linear models in order: weights of kept features, weights of earlier probabilities, intercept, threshold."""
+    """Linear models in order: weights of kept features, weights of earlier probabilities, intercept; the last one's threshold."""
 
     names: list[str]
     kept: np.ndarray
     models: list[tuple[np.ndarray, np.ndarray, float]]
-    thresholds: list[float]
+    threshold: float
 
     def probabilities(self, rows: list[list[int]]) -> np.ndarray:
         out = np.zeros((len(rows), len(self.models)))
@@ -118,7 +118,7 @@ def fit_chain(names: list[str], kept: np.ndarray, rows: list[list[int]], labels:
     row = np.repeat(np.arange(n), [len(r) for r in rows])
     col = np.array([k for r in rows for k in r], np.int64)
     unseen = np.zeros((n, 0))
-    models, thresholds = [], []
+    models = []
     for c in range(len(names)):
         y, p = labels[:, c].astype(float), np.zeros(n)
         for f in range(FOLDS):
@@ -129,9 +129,8 @@ def fit_chain(names: list[str], kept: np.ndarray, rows: list[list[int]], labels:
                 w, v, b = train_linear(renumber[row[own]], col[own], y[~out], len(kept), unseen[~out])
                 p[out] = _sigmoid(np.bincount(row, w[col], minlength=n) + unseen @ v + b)[out]
         models.append(train_linear(row, col, y, len(kept), unseen))
-        thresholds.append(_threshold(p, y))
         unseen = np.column_stack([unseen, p])
-    return Chain(names, kept, models, thresholds)
+    return Chain(names, kept, models, _threshold(unseen[:, -1], labels[:, -1].astype(float)))
 
 
 def _threshold(p: np.ndarray, y: np.ndarray) -> float:
@@ -213,7 +212,7 @@ def score(docs: DataFrame, chain: Chain | None, names: list[str]) -> DataFrame:
         known = _Known(chain.kept) if chain else None
         for batch in found:
             p = chain.probabilities([places(known, x.as_py()) for x in batch.column(1)]) if chain else np.zeros((batch.num_rows, len(names)))
-            gone = p[:, -1] >= chain.thresholds[-1] if chain else np.zeros(batch.num_rows, bool)
+            gone = p[:, -1] >= chain.threshold if chain else np.zeros(batch.num_rows, bool)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(p[:, k]) for k in range(len(names))), pa.array(gone)], names=kinds.names)
 
     return docs.select("doc_id", "text").mapInArrow(batches, kinds)
@@ -233,6 +232,6 @@ def acceptable(docs: DataFrame, labels: DataFrame, names: list[str]) -> DataFram
         known = _Known(chain.kept)
         for batch in found:
             p = chain.probabilities([places(known, x.as_py()) for x in batch.column("text")])
-            yield batch.filter(pa.array(p[:, -1] < chain.thresholds[-1]))
+            yield batch.filter(pa.array(p[:, -1] < chain.threshold))
 
     return docs.mapInArrow(batches, docs.schema) if chain else docs
