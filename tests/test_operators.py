@@ -117,3 +117,19 @@ def test_flagship(spark):
 
     assert __spark_entry__.entry(spark).count() == 6
     assert "flagship_changes_by_table" in __spark_entry__.queries() and "flagship_changes_by_table" in __spark_entry__.oracle_sql()
+
+
+def test_double_text_of_all_sizes(spark):
+    """Small, large, zero, missing and non-finite numbers, against the SQL of the query."""
+    import duckdb
+
+    from tidelog.plans.decode_queries import DOUBLE_SQL
+
+    values = [None, 0.0, -0.5, 1e-3, 9.999e-4, 1e-5, 1.25e-10, -3.5e-7, 9999999.0, 1e7, 12345678.5, -1e10, 1.5e16, 1e22, 1.7976931348623157e308, float("nan"), float("inf"), float("-inf"), 100.0, 123456.789]
+    con = duckdb.connect()
+    con.execute("create table events (event_id bigint, value double)")
+    con.executemany("insert into events values (?, ?)", list(enumerate(values)))
+    want = dict(con.sql(DOUBLE_SQL).fetchall())
+    df = spark.createDataFrame(list(enumerate(values)), "event_id long, value double")
+    assert {r["event_id"]: r["txt"] for r in df.selectExpr("event_id", "cast(value as string) as txt").collect()} == want
+    assert want[9] == "1.0E7" and want[5] == "1.0E-5" and want[10] == "1.23456785E7"

@@ -102,9 +102,18 @@ def binary_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", F.lower(F.hex(F.unbase64(F.base64(name)))).alias("hex_text"), F.base64(name).alias("b64"), F.lower(F.hex(F.encode("c_name", "UTF-16BE"))).alias("utf16"))
 
 
-@query("f11_double_text", "SELECT event_id, CAST(value AS VARCHAR) AS txt FROM events WHERE value >= 0.001 AND value < 10000000")
+#: The digits of the shortest text and the power of ten of the first of them, then the form by that power.
+DOUBLE_SQL = """WITH t AS (SELECT event_id, value, CAST(ABS(value) AS VARCHAR) AS s FROM events),
+p AS (SELECT event_id, value, s, REGEXP_EXTRACT(s, '^([0-9]+)', 1) AS whole, REGEXP_EXTRACT(s, '\\.([0-9]+)', 1) AS part, COALESCE(TRY_CAST(REGEXP_EXTRACT(s, 'e([-+]?[0-9]+)', 1) AS INTEGER), 0) AS e FROM t),
+q AS (SELECT event_id, value, s, RTRIM(LTRIM(whole || part, '0'), '0') AS digits, CASE WHEN whole = '0' THEN e - 1 - (LENGTH(part) - LENGTH(LTRIM(part, '0'))) ELSE e + LENGTH(whole) - 1 END AS power FROM p)
+SELECT event_id, CASE WHEN value IS NULL THEN NULL WHEN ISNAN(value) THEN 'NaN' ELSE (CASE WHEN value < 0 THEN '-' ELSE '' END) ||
+CASE WHEN ISINF(value) THEN 'Infinity' WHEN value = 0 THEN '0.0' WHEN ABS(value) >= 0.001 AND ABS(value) < 10000000 THEN s
+ELSE SUBSTR(digits, 1, 1) || '.' || CASE WHEN LENGTH(digits) > 1 THEN SUBSTR(digits, 2) ELSE '0' END || 'E' || power END END AS txt FROM q"""
+
+
+@query("f11_double_text", DOUBLE_SQL)
 def double_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.events(spark, sf_dir).where("value >= 0.001 and value < 10000000").select("event_id", F.col("value").cast("string").alias("txt"))
+    return d.events(spark, sf_dir).select("event_id", F.col("value").cast("string").alias("txt"))
 
 
 DECIMALS = Static("decs", "txt string, scale int, hex string", (("1.5", 1, "0F"), ("-1", 0, "FF"), ("128", 0, "0080"), ("0.00", 2, "00"), ("1E+3", 0, "03E8"), ("-32768", 0, "8000"), ("x", None, None)))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidelog.functions import errors
 from tidelog.operators import doctor, scans
 from tidelog.plans.registry import query
 from tidelog.sources import derived as d
@@ -102,9 +103,9 @@ def overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doctor.overlapping(d.logs(spark, sf_dir), 20000, 40000).select("thread", "seq", "first_scn", "next_scn")
 
 
-@query("j8_position_in_log", f"WITH {d.ROWS_SQL}, {d.LOGS_SQL} SELECT e.event_id, l.seq FROM e JOIN logs l ON l.thread = e.con_id AND e.scn >= l.first_scn AND e.scn < l.next_scn WHERE e.event_id % 10 = 0")
+@query("j8_position_in_log", f"WITH {d.ROWS_SQL}, {d.LOGS_SQL} SELECT e.event_id, l.seq FROM e JOIN logs l ON l.thread = e.con_id AND e.scn >= l.first_scn AND e.scn < l.next_scn")
 def position_in_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = d.data_rows(spark, sf_dir).where("event_id % 10 = 0").withColumn("thread", F.col("con_id"))
+    rows = d.data_rows(spark, sf_dir).withColumn("thread", F.col("con_id"))
     return doctor.locate(rows, d.logs(spark, sf_dir), 5000).select("event_id", "seq")
 
 
@@ -234,15 +235,36 @@ def ops_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event("transaction-discarded", "end_code = 36").unionByName(event("transaction-open", "end_code is null"))
 
 
-ERRORS = Static("errs", "ora long, class string", ((1555, "STALE_READ"), (8181, "STALE_READ"), (1466, "LAYOUT_CHANGED"), (3113, "CONNECTION"), (12541, "CONNECTION"), (942, "MISSING_OBJECT"), (7, "OTHER")))
+CLASSES_SQL = """SELECT CAST(range AS BIGINT) AS ora,
+CASE WHEN range IN (1031, 942, 1017, 28000, 1045) THEN 'CDC-5002' WHEN range IN (310, 334, 1289, 1291, 1368, 1013) THEN 'CDC-1002' WHEN range IN (1284, 308, 1285, 16226) THEN 'CDC-2002'
+WHEN range IN (28, 31, 3113, 3114, 3135, 12170, 12541, 12514, 12516, 12528, 12537, 12543, 1033, 1034, 1089, 1090, 1092, 1109, 16331, 17002, 17008, 17410, 17800, 25408, 4068) THEN 'CDC-1001'
+WHEN range IN (1555, 8181) THEN 'CDC-8001' END AS code,
+CASE WHEN range IN (310, 334, 1289, 1291, 1368, 1013) THEN 'mine again' WHEN range IN (1555, 8181) THEN 'split' WHEN range = 1466 THEN 'wait'
+WHEN range IN (28, 31, 3113, 3114, 3135, 12170, 12541, 12514, 12516, 12528, 12537, 12543, 1033, 1034, 1089, 1090, 1092, 1109, 16331, 17002, 17008, 17410, 17800, 25408, 4068) THEN 'retry' ELSE 'stop' END AS action FROM RANGE(1, 32768)"""
 
 
-@query("r9_k18_error_classes", f"WITH {ERRORS.sql} SELECT ora, class, CASE class WHEN 'STALE_READ' THEN 'split' WHEN 'LAYOUT_CHANGED' THEN 'wait' WHEN 'CONNECTION' THEN 'retry' ELSE 'stop' END AS action FROM errs")
+@query("r9_k18_error_classes", CLASSES_SQL)
 def error_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("ora")
-    kind = F.when(n.isin(1555, 8181), "STALE_READ").when(n == 1466, "LAYOUT_CHANGED").when(n.isin(3113, 3114, 3135, 12541, 12514, 12170), "CONNECTION").when(n == 942, "MISSING_OBJECT").otherwise("OTHER")
-    action = F.when(kind == "STALE_READ", "split").when(kind == "LAYOUT_CHANGED", "wait").when(kind == "CONNECTION", "retry").otherwise("stop")
-    return ERRORS.df(spark).select("ora", kind.alias("class"), action.alias("action"))
+    """Every number that an error of the source may have."""
+    rows = spark.range(1, 32768).withColumnRenamed("id", "ora")
+    code, action = errors.classify(F.col("ora"))
+    return rows.select("ora", code.alias("code"), action.alias("action"))
+
+
+WRAPPED = Static("wrapped", "id long, message string, ora long", (
+    (1, "ORA-00604: error occurred at recursive SQL level 1 ORA-01284: file cannot be opened ORA-00308: cannot open", 1284), (2, "ORA-00604: error occurred at recursive SQL level 1", 604), (3, "IO error", None),
+    (4, "ORA-03113: end-of-file", 3113), (5, "ORA-00604: x ORA-00604: y ORA-12541: z", 12541), (6, None, None),
+))
+
+
+@query("r9_effective_code", f"WITH {WRAPPED.sql} SELECT id, ora FROM wrapped")
+def effective_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return WRAPPED.df(spark).select("id", errors.effective_code(F.col("message")).alias("ora"))
+
+
+@query("r9_error_codes", "SELECT substr(x, 1, 8) AS code, substr(x, 10) AS name, substr(x, 1, 5) = 'CDC-1' AS goes_on FROM (SELECT UNNEST(STRING_SPLIT('CDC-1001 transient-database,CDC-1002 mining-step-retry,CDC-2001 log-gap,CDC-2002 log-purged,CDC-3001 decode,CDC-3002 corruption,CDC-3003 lob-too-large,CDC-4001 buffer-exhausted,CDC-4002 journal-corruption,CDC-4003 mining-stalled,CDC-4004 transaction-too-old,CDC-5001 topology,CDC-5002 privilege,CDC-6001 dictionary-unavailable,CDC-6002 unsupported-ddl,CDC-6003 schema-mismatch,CDC-6004 name-collision,CDC-7001 orphan-release-violation,CDC-7002 orphan-transaction,CDC-7003 resume-floor-violation,CDC-8001 snapshot-too-old', ',')) AS x)")
+def error_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return errors.codes(spark)
 
 
 @query("r11_workload_ledger", f"WITH {d.SURVIVORS_SQL} SELECT con_id, user_id, sqn, CAST(COUNT(*) AS BIGINT) AS ops, CAST(SUM(CASE WHEN op_code = 1 THEN 1 ELSE 0 END) AS BIGINT) AS inserts, CAST(SUM(CASE WHEN op_code = 3 THEN 1 ELSE 0 END) AS BIGINT) AS updates, CAST(SUM(CASE WHEN op_code = 2 THEN 1 ELSE 0 END) AS BIGINT) AS deletes FROM sv GROUP BY con_id, user_id, sqn")

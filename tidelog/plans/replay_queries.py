@@ -242,8 +242,8 @@ def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gap.groupBy("part").agg(F.count("*").alias("due"))
 
 
-@query("j11_large_value_reselect", f"WITH {d.SURVIVORS_SQL} SELECT a.event_id, MAX(b.event_id) AS found FROM sv a LEFT JOIN sv b ON b.tab = a.tab AND b.user_id = a.user_id AND b.commit_scn <= a.commit_scn AND b.event_id % 3 = 0 WHERE a.event_id % 7 = 1 GROUP BY a.event_id")
+@query("j11_large_value_reselect", f"WITH {d.SURVIVORS_SQL} SELECT a.event_id, MAX(b.event_id) AS found FROM sv a LEFT JOIN sv b ON b.tab = a.tab AND b.user_id = a.user_id AND b.commit_scn <= a.commit_scn AND b.event_id % 3 = 0 GROUP BY a.event_id")
 def reselect(spark: SparkSession, sf_dir: str) -> DataFrame:
     sv = survivors(spark, sf_dir).select("tab", "user_id", "commit_scn", "event_id")
     upto = Window.partitionBy("tab", "user_id").orderBy("commit_scn").rangeBetween(Window.unboundedPreceding, 0)
-    return sv.withColumn("found", F.max(F.when(F.col("event_id") % 3 == 0, F.col("event_id"))).over(upto)).where("event_id % 7 = 1").select("event_id", "found")
+    return sv.withColumn("found", F.max(F.when(F.col("event_id") % 3 == 0, F.col("event_id"))).over(upto)).select("event_id", "found")
