@@ -65,3 +65,41 @@ def test_flat_records(spark):
         assert json.loads(rows[0]["value"])["V"] == "x" and json.loads(rows[0]["value"])["table"] == "P1.APP.T"
     assert told["true"] == [("I", "1"), (None, "1"), ("I", "2"), (None, "9")]
     assert told["false"] == [("I", "1"), (None, "1"), ("I", "2"), ("D", "9")]
+
+
+COLUMNS = [("ID", "NUMBER", 9, 0), ("AMOUNT", "NUMBER", 12, 2), ("NAME", "VARCHAR2", -1, -1), ("BORN", "DATE", -1, -1), ("SEEN", "TIMESTAMP(6)", -1, 6), ("RATIO", "BINARY_DOUBLE", -1, -1), ("BITS", "RAW", -1, -1), ("NOTE", "CLOB", -1, -1)]
+LAYOUTS = [("P1", "APP", "T", 1, 0, True, COLUMNS[:3], ["ID"]), ("P1", "APP", "T", 2, 100, True, COLUMNS, ["ID"]), ("P1", "APP", "NOKEY", 1, 0, True, COLUMNS[:3], []), ("P1", "APP", "OLD", 1, 50, True, COLUMNS[:3], ["ID"])]
+TYPED = (
+    "insert into \"APP\".\"T\"(\"ID\",\"AMOUNT\",\"NAME\",\"BORN\",\"SEEN\",\"RATIO\",\"BITS\",\"NOTE\") values ('7','012.50','q\"x',TO_DATE('1970-01-02 00:00:01', 'YYYY-MM-DD HH24:MI:SS'),TO_TIMESTAMP('1970-01-01 00:00:00.000005'),'1.5E+010',HEXTORAW('00ff'),EMPTY_CLOB())"
+)
+
+
+def _block(column, *edits):
+    lines = "".join(f" buf := '{text}'; dbms_lob.write(loc, {len(text)}, {at}, buf);" for at, text in edits)
+    return f'DECLARE loc CLOB; buf VARCHAR2(6000); BEGIN select "{column}" into loc from "APP"."T" where "ID" = \'7\' for update;{lines} END;'
+
+
+def test_layouts_type_values_by_position(spark):
+    layouts = spark.createDataFrame(LAYOUTS, "pdb string, owner string, tab string, version long, valid_from long, exact boolean, columns array<struct<name:string,type:string,precision:int,scale:int>>, key array<string>")
+    log = [
+        row(1, 6), row(2, 1, sql='insert into "APP"."T"("ID","AMOUNT","NAME") values (\'1\',\'1.50\',NULL)', rid="A"), row(3, 1, sql='insert into "APP"."T"("ID","BITS") values (\'1\',HEXTORAW(\'00\'))', rid="B"),
+        row(4, 1, sql='insert into "APP"."T"("ID") values (\'1.5\')', rid="C"), row(5, 1, sql='insert into "APP"."OLD"("ID") values (\'1\')', rid="D", tab="OLD"), row(6, 1, sql='insert into "APP"."NOKEY"("ID") values (\'1\')', rid="E", tab="NOKEY"), row(7, 7),
+        row(101, 6, sqn=2), row(102, 1, sqn=2, sql=TYPED, rid="F"), row(103, 10, sqn=2, sql=_block("NOTE", (1, "hello "), (7, "world")), rid="F"), row(104, 7, sqn=2),
+        row(111, 6, sqn=3), row(112, 10, sqn=3, sql=_block("NOTE", (1, "anew")), rid="F"), row(113, 5, sqn=3, sql="TRUNCATE TABLE app.t", rid=None), row(114, 7, sqn=3),
+    ]
+    raw = spark.createDataFrame(log, RAW_ROW)
+    got = capture(raw, options=Options.of({"decode_error": "dlq", "truncates": "true"}), layouts=layouts)
+    assert sorted((r["tab"], r["exception"]) for r in got.dead.collect()) == [("NOKEY", "the table has no key"), ("OLD", "no layout at this position"), ("T", "column BITS is not in the layout"), ("T", "column ID is no NUMBER")]
+    records = got.records.orderBy("commit_scn", "event_index", "sub").collect()
+    told = [json.loads(r["value"]) for r in records]
+    assert told[0]["after"] == {"ID": 1, "AMOUNT": "1.5", "NAME": None} and records[0]["key"] == '{"ID":1}' and records[0]["headers"]["cdc.schema_version"] == "1"
+    assert told[1]["after"] == {"ID": 7, "AMOUNT": "12.5", "NAME": 'q"x', "BORN": 86_401_000, "SEEN": 5, "RATIO": 1.5e10, "BITS": "AP8=", "NOTE": "hello world"} and records[1]["headers"]["cdc.schema_version"] == "2"
+    assert [t["op"] for t in told] == ["c", "c", "t"] or [t["op"] for t in told] == ["c", "c", "u", "t"]
+    keyed = capture(raw, options=Options.of({"decode_error": "dlq", "keyless": "rowid", "decimals": "DOUBLE", "temporals": "ISO_STRING", "large_values": "skip"}), layouts=layouts).records.orderBy("commit_scn", "event_index").collect()
+    assert [r["key"] for r in keyed if "NOKEY" in r["topic"]] == ['{"ROWID":"E"}']
+    typed = json.loads(keyed[-1]["value"])["after"]
+    assert typed["AMOUNT"] == 12.5 and typed["BORN"] == "1970-01-02T00:00:01" and typed["SEEN"] == "1970-01-01T00:00:00.000005" and typed["NOTE"] == ""
+    flat = capture(raw, options=Options.of({"decode_error": "dlq", "format": "flat"}), layouts=layouts).records.where("commit_scn = 7").collect()
+    assert [json.loads(r["value"])["AMOUNT"] for r in flat] == ["1.5"]
+    with pytest.raises(ValueError, match="large_values"):
+        capture(raw, options=Options.of({"large_values": "reselect"}), layouts=layouts)

@@ -65,3 +65,69 @@ def test_data_source_prunes_files_by_position(spark, log, tmp_path):
     reader = _Reader(str(tmp_path), ["scn"])
     list(reader.pushFilters([GreaterThanOrEqual(("scn",), 3500), LessThan(("scn",), 5000)]))
     assert [p.value.rsplit("/", 1)[1] for p in reader.partitions()] == ["3000-6000.json"]
+
+
+def test_raw_rows_to_records_equal_the_batch_capture(spark, tmp_path):
+    """Rows that share a position, statements that go on over a restart, undo, rollback, dead letters."""
+    from tidelog.functions.types import RAW_ROW
+    from tidelog.options import Options
+    from tidelog.plans.capture import capture
+    from tidelog.streaming import capture as stream_capture
+
+    from .test_capture import KEYS, LOG, NOW, row
+
+    def at(scn, ssn, op, sql=None, rid=None, undo=0, csf=0):
+        made = dict(zip(RAW_ROW.fieldNames(), row(scn, op, sqn=9, sql=sql, rid=rid, undo=undo, csf=csf), strict=True))
+        return tuple({**made, "RS_ID": f"0x{scn:08d} ", "SSN": ssn, "TIMESTAMP": NOW}.values())
+
+    many = [at(50, 0, 6)] + [at(51, n, 1, f'insert into "APP"."T"("ID","V") values (\'{n}\',\'v\')', f"R{n}") for n in range(1, 200)]
+    many += [at(51, 300, 2, 'delete from "APP"."T" where "ID" = \'7\'', "R7", undo=1), at(51, 301, 255, "Unsupported", "R9"), at(52, 0, 7)]
+    options = Options.of({"large_values": "skip", "decode_error": "dlq"})
+    whole = [*LOG, *many]
+    want = capture(spark.createDataFrame(whole, RAW_ROW), KEYS, options)
+    source, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "state"))
+    for k, (low, high) in enumerate(((0, 2), (2, 9), (9, 130), (130, len(whole)))):
+        part = list(reversed(whole[low:high]))  # a batch is sorted by address, whatever its order
+        spark.createDataFrame(part, RAW_ROW).coalesce(1).write.json(f"{source}/part={k}")
+        stream = stream_capture.changes(sinks.log_stream(spark, source, RAW_ROW, files=1), options)
+        sinks.run_available(stream, checkpoint, stream_capture.sink(out, KEYS, options))
+    told = lambda df: sorted((r["topic"], r["key"] or "", r["value"] or "", r["event_index"], r["sub"], str(sorted(r["headers"].items()))) for r in df.collect())
+    assert told(spark.read.parquet(f"{out}/records")) == told(want.records)
+    assert sorted(r["exception"] for r in spark.read.parquet(f"{out}/dead").collect()) == sorted(r["exception"] for r in want.dead.collect()) == ["unsupported statement"] or want.dead.count() == 1
+    with pytest.raises(ValueError, match="large_values"):
+        stream_capture.changes(spark.createDataFrame(LOG, RAW_ROW), Options())
+
+
+def test_a_large_transaction_is_released_in_slices():
+    """A million changes of one transaction: state is only appended to, and rows go out some at a time."""
+
+    class Held:
+        def __init__(self):
+            self.lists, self.puts = [], 0
+
+        def exists(self):
+            return bool(self.lists)
+
+        def get(self):
+            return (row for part in self.lists for row in part)
+
+        def appendList(self, rows):
+            self.lists.append(rows)
+            self.puts += 1
+
+        def clear(self):
+            self.lists = []
+
+    import pandas as pd
+
+    machine = assembly.Assembler(assembly.KEY, assembly.CHANGE)
+    machine.rows = Held()
+    columns = assembly.CHANGE.fieldNames()
+    for part in range(10):
+        rows = pd.DataFrame([("a", part * 20_000 + k, 5, 1, False, "T", f"R{k % 50}", 0.5) for k in range(20_000)], columns=columns)
+        assert list(machine.handleInputRows((1, 2, 3), iter([rows]), None)) == []
+    assert machine.rows.puts == 10
+    ends = pd.DataFrame([("b", 0, 6, 1, True, "T", "R3", 0.5), ("b", 1, 6, 7, False, None, None, None)], columns=columns)
+    out = list(machine.handleInputRows((1, 2, 3), iter([ends]), None))
+    assert max(map(len, out)) <= assembly.OUT_ROWS and sum(map(len, out)) == 199_999 == out[0]["event_count"][0]
+    assert pd.concat(out)["event_index"].tolist() == list(range(199_999)) and not machine.rows.exists()

@@ -1,87 +1,131 @@
 """Transaction assembly on a stream: state by transaction, released by its commit, not by time.
 
-The batch twin is :func:`tidelog.operators.transactions.committed`; both give the same rows for the same log.
-Open transactions live in the state store (RocksDB) and its checkpoints, so a long one needs no journal of
-its own and survives a restart.
+The batch twins are :func:`tidelog.operators.transactions.committed` and :func:`tidelog.plans.capture.capture`; the same log gives
+the same rows. Open transactions live in the state store (RocksDB) and its checkpoints, so a long one needs no journal of
+its own and survives a restart. A batch's rows are appended to their transaction's list and never rewritten; undo
+rows are matched when the commit comes, in two walks over the list: the first notes which statements stand (a number
+each, no rows), the second sends them on, some at a time.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidelog.functions.codes import COMMIT, ROLLBACK, START
+from tidelog.functions.types import _fields
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 KEY = ["con_id", "user_id", "sqn"]
-CHANGE = T.StructType([T.StructField("scn", T.LongType()), T.StructField("op_code", T.IntegerType()), T.StructField("tab", T.StringType()), T.StructField("rid", T.StringType()), T.StructField("value", T.DoubleType())])
-MINED = T.StructType([*(T.StructField(k, T.LongType()) for k in KEY), T.StructField("scn", T.LongType()), T.StructField("op_code", T.IntegerType()), T.StructField("tab", T.StringType()), T.StructField("rid", T.StringType()), T.StructField("undo", T.BooleanType()), T.StructField("value", T.DoubleType())])
-RELEASED = T.StructType(
-    [*(T.StructField(k, T.LongType()) for k in KEY), *CHANGE.fields, T.StructField("commit_scn", T.LongType()), T.StructField("event_index", T.LongType()), T.StructField("event_count", T.LongType()), T.StructField("outcome", T.StringType())]
-)
-FIELDS = CHANGE.fieldNames()
+ORDER = ["rs_id", "ssn", "scn"]  # address of the record, place in it, position: rows share positions
+OUT_ROWS = 10_000
+CHANGE = T.StructType([*_fields("rs_id:string ssn:long scn:long op_code:int undo:boolean tab:string rid:string"), T.StructField("value", T.DoubleType())])
+MINED = T.StructType([*(T.StructField(k, T.LongType()) for k in KEY), *CHANGE.fields])
+#: What of a raw row is kept while its transaction is open; ``csf`` marks a statement that goes on in the next row.
+RAW_CHANGE = _fields("rs_id:string ssn:long scn:long op_code:int undo:boolean csf:int thread:int owner:string tab:string username:string rid:string pdb:string ts:string sql:string")
+PLACE = _fields("commit_scn:long commit_ts:string event_index:long event_count:long collection_order:long outcome:string")
+
+
+def _whole(rows: Iterator[dict]) -> Iterator[dict]:
+    """Statements: a row, or a row and those that continue it; one that never ends is left out."""
+    first: dict | None = None
+    for row in rows:
+        if first is None:
+            first = row
+        else:
+            first = {**first, "sql": (first["sql"] or "") + (row["sql"] or "")}
+        if not row.get("csf"):
+            yield first
+            first = None
 
 
 class Assembler(StatefulProcessor):
-    """Buffers changes, lets undo rows take back the latest change of their row id, and releases at a commit.
+    """Keeps rows in order of their addresses and releases what stands of them at a commit.
 
     With ``max_age_ms`` a transaction whose first row is older in processing time is given up: one row
     with outcome ``discarded`` goes out and its later rows count as a new transaction.
     """
 
-    def __init__(self, max_age_ms: int | None = None):
-        self.max_age_ms = max_age_ms
+    def __init__(self, key: list[str], change: T.StructType, max_age_ms: int | None = None):
+        self.key, self.change, self.max_age_ms = key, change, max_age_ms
+        self.fields = change.fieldNames()
+        self.columns = [*key, *self.fields, *PLACE.fieldNames()]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.changes = handle.getListState("changes", CHANGE)
+        self.rows = handle.getListState("rows", self.change)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        buffered = [dict(zip(FIELDS, x, strict=True)) for x in self.changes.get()]
-        opened = bool(buffered)
-        out: list[pd.DataFrame] = []
-        for row in pd.concat(rows).sort_values("scn").to_dict("records"):
+        held = self.rows.exists()
+        fresh: list[dict] = []
+        given = pd.concat(rows).sort_values(ORDER, kind="stable")
+        for row in given[self.fields].astype(object).where(given[self.fields].notna(), None).to_dict("records"):
             op = int(row["op_code"])
-            if op == START:
-                continue
             if op == COMMIT:
-                out += self._released(key, buffered, int(row["scn"]))
-                buffered = []
-            elif op == ROLLBACK:
-                buffered = []
-            elif row["undo"]:
-                at = next((k for k in range(len(buffered) - 1, -1, -1) if buffered[k]["rid"] == row["rid"]), None)
-                if at is not None:
-                    del buffered[at]
-            else:
-                buffered.append({"scn": int(row["scn"]), "op_code": op, "tab": row["tab"], "rid": row["rid"], "value": float(row["value"])})
-        if buffered:
-            self.changes.put([tuple(b[f] for f in FIELDS) for b in buffered])
-            if self.max_age_ms and not opened:
+                yield from self._released(key, held, fresh, row)
+            if op in (COMMIT, ROLLBACK):
+                if held:
+                    self.rows.clear()
+                held, fresh = False, []
+            elif op != START:
+                fresh.append(row)
+        if fresh:
+            if self.max_age_ms and not held:
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.max_age_ms)
-        else:
-            self.changes.clear()
-        yield from out
+            self.rows.appendList([tuple(row[f] for f in self.fields) for row in fresh])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = len(list(self.changes.get()))
+        held = sum(1 for _ in self.rows.get())
         if held:
-            self.changes.clear()
-            yield pd.DataFrame([{**dict(zip(KEY, key, strict=True)), **dict.fromkeys(FIELDS), "commit_scn": None, "event_index": 0, "event_count": held, "outcome": "discarded"}], columns=RELEASED.fieldNames())
-
-    def _released(self, key, buffered: list[dict], commit: int) -> list[pd.DataFrame]:
-        rows = [{**dict(zip(KEY, key, strict=True)), **b, "commit_scn": commit, "event_index": k, "event_count": len(buffered), "outcome": "committed"} for k, b in enumerate(buffered)]
-        return [pd.DataFrame(rows, columns=RELEASED.fieldNames())] if rows else []
+            self.rows.clear()
+            yield self._frame([{**dict(zip(self.key, key, strict=True)), "event_index": 0, "event_count": held, "outcome": "discarded"}])
+
+    def _statements(self, held: bool, fresh: list[dict]) -> Iterator[dict]:
+        stored = (dict(zip(self.fields, row, strict=True)) for row in self.rows.get()) if held else ()
+        return _whole(chain(stored, fresh))
+
+    def _released(self, key, held: bool, fresh: list[dict], commit: dict) -> Iterator[pd.DataFrame]:
+        stands = bytearray()
+        by_row: dict[str, list[int]] = {}
+        for n, row in enumerate(self._statements(held, fresh)):
+            standing = by_row.setdefault(row["rid"], [])
+            stands.append(not row["undo"])
+            if not row["undo"]:
+                standing.append(n)
+            elif standing:
+                stands[standing.pop()] = False
+        count, event, out = sum(stands), 0, []
+        by_table: Counter[tuple] = Counter()
+        for n, row in enumerate(self._statements(held, fresh)):
+            if stands[n]:
+                table = (row.get("owner"), row["tab"])
+                by_table[table] += 1
+                place = {"commit_scn": int(commit["scn"]), "commit_ts": commit.get("ts"), "event_index": event, "event_count": count, "collection_order": by_table[table], "outcome": "committed"}
+                out.append({**dict(zip(self.key, key, strict=True)), **row, **place})
+                event += 1
+                if len(out) >= OUT_ROWS:
+                    yield self._frame(out)
+                    out = []
+        if out:
+            yield self._frame(out)
+
+    def _frame(self, rows: list[dict]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=self.columns)
 
     def close(self) -> None:
         pass
 
 
-def assemble(mined: DataFrame, max_age_ms: int | None = None) -> DataFrame:
-    """Surviving changes of committed transactions of a streaming log of the ``MINED`` shape."""
+def assemble(mined: DataFrame, max_age_ms: int | None = None, key: list[str] = KEY, change: T.StructType = CHANGE) -> DataFrame:
+    """Surviving changes of committed transactions of a streaming log of ``key`` and ``change`` columns."""
     mined.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    return mined.groupBy(*KEY).transformWithStateInPandas(Assembler(max_age_ms), RELEASED, "Append", "ProcessingTime" if max_age_ms else "None")
+    released = T.StructType([*(T.StructField(k, T.LongType()) for k in key), *change.fields, *PLACE.fields])
+    rows = mined.select(*[F.col(k).cast("long").alias(k) for k in key], *change.fieldNames())
+    return rows.groupBy(*key).transformWithStateInPandas(Assembler(key, change, max_age_ms), released, "Append", "ProcessingTime" if max_age_ms else "None")

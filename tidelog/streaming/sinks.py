@@ -28,20 +28,25 @@ def idempotent(folder: str, floor: str | None = "commit_scn") -> Callable[[DataF
     """Writes each batch to a folder named after it, so that a batch that is run again replaces itself.
 
     With ``floor`` a batch whose least value lies below the greatest one of the earlier batches of its container stops the query.
+    Each batch leaves the greatest values so far, a row a container, beside the folder; only the last batch's are read.
     """
+    floors = f"{folder.rstrip('/')}_floor"
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         batch.persist()
         try:
-            if floor and number:
-                earlier = [f"{folder}/batch={k}" for k in range(number)]
-                done = spark.read.schema(batch.schema).option("ignoreMissingFiles", "true").parquet(*[p for p in earlier if _exists(spark, p)] or [folder])
-                high = done.groupBy("con_id").agg(F.max(floor).alias("high"))
-                below = batch.join(high, "con_id").where(F.col(floor) < F.col("high"))
-                if not below.isEmpty():
+            if floor:
+                own = batch.groupBy("con_id").agg(F.min(floor).alias("low"), F.max(floor).alias("high"))
+                last = f"{floors}/batch={number - 1}"
+                kept = spark.read.schema("con_id long, high long").parquet(last) if number and _exists(spark, last) else spark.createDataFrame([], "con_id long, high long")
+                both = own.withColumn("con_id", F.col("con_id").cast("long")).alias("o").join(kept.alias("k"), "con_id", "full")
+                if not both.where(F.col("o.low") < F.col("k.high")).isEmpty():
                     raise FloorError(f"batch {number} holds a {floor} below those handed over")
+                highest = both.select("con_id", F.greatest("o.high", "k.high").cast("long").alias("high"))
             batch.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+            if floor:
+                highest.coalesce(1).write.mode("overwrite").parquet(f"{floors}/batch={number}")
         finally:
             batch.unpersist()
 
