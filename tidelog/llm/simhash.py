@@ -306,8 +306,18 @@ def links(fps: DataFrame, ws: Workspace, setting: Setting = BITS_4) -> DataFrame
         )
     )
     dealt = cut.withColumn("meet", F.explode(meet)).select("key", F.col("meet.pair").alias("pair"), "node", "size", F.col("meet.side").alias("side"), *setting.columns)
-    dealt = dealt.repartition("key", "pair").sortWithinPartitions("key", "pair")
-    return dealt.mapInArrow(_link_batches(setting, SETTLE), "u long, v long")
+    dealt = dealt.repartition("key", "pair").sortWithinPartitions("key", "pair", "node")  # the least node of a group is its root
+    return _starred(dealt.mapInArrow(_link_batches(setting, SETTLE), "u long, v long"))
+
+
+def _starred(edges: DataFrame) -> DataFrame:
+    """The same components in fewer edges: each node's least root, and its other roots joined with that one.
+
+    A node has a root at most in each list that it is in, so the sets are bounded; the roots of a group are few and
+    their edges the same from all of its nodes.
+    """
+    roots = edges.groupBy("u").agg(F.min("v").alias("m"), F.collect_set("v").alias("roots"))
+    return roots.select(F.explode(F.array_union(F.array("u"), "roots")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def near_duplicates(docs: DataFrame, setting: Setting = BITS_4) -> DataFrame:
