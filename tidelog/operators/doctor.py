@@ -118,6 +118,44 @@ def coverage(logs: DataFrame, position: int) -> DataFrame:
     return first.join(holes, "thread", "left").select("thread", "from_seq", ((F.col("_first") <= position) & F.col("holes").isNull()).alias("covered"), F.coalesce("holes", F.lit(0)).alias("holes"))
 
 
+def first_available(logs: DataFrame, position: int) -> DataFrame:
+    """One row ``position, resume``: the least position from a given one on from which every log of every thread is there.
+
+    ``resume`` is the position itself where nothing is lacking, and null where no later start is whole or no log ends
+    after it. Log metadata has a row a log.
+    """
+    by_seq = Window.partitionBy("thread").orderBy("seq")
+    later = logs.where(F.col("next_scn") > position).withColumn("_b", F.lag("seq").over(by_seq))
+    lacking = F.when(F.col("deleted"), F.col("next_scn")).when(F.col("_b").isNull() | (F.col("seq") - F.col("_b") > 1), F.col("first_scn"))
+    least = later.agg(F.greatest(F.lit(position), F.max(lacking)).alias("_least")).withColumn("_k", F.lit(1))
+    both = later.withColumn("_k", F.lit(1)).join(F.broadcast(least), "_k")  # one row
+    start = F.min(F.when(~F.col("deleted") & (F.col("first_scn") >= F.col("_least")), F.col("first_scn")))
+    return both.agg(F.lit(position).cast("long").alias("position"), F.when(F.max("_least") == position, F.lit(position).cast("long")).otherwise(start).alias("resume"))
+
+
+def resnapshot_plan(logs: DataFrame, captured: DataFrame, position: int, named: list[str], skip_unlisted: bool = False) -> DataFrame:
+    """One row ``position, resume, unknown, unlisted, plan``: what a new snapshot of named tables does to a stored position.
+
+    ``captured(tab)`` has a row a captured table; names match in either case. Tables that are not named would lose
+    their changes in a gap, so a move past it is refused unless that is allowed.
+    """
+    wanted = sorted({n.strip().upper() for n in named})
+    held = F.collect_set(F.upper("tab"))
+    tables = captured.agg(
+        F.array_join(F.array_sort(F.array_except(F.lit(wanted).cast("array<string>"), held)), ",").alias("unknown"),
+        F.array_join(F.array_sort(F.collect_set(F.when(~F.upper("tab").isin(wanted), F.col("tab")))), ",").alias("unlisted"),
+    ).withColumn("_k", F.lit(1))
+    one = first_available(logs, position).withColumn("_k", F.lit(1)).join(F.broadcast(tables), "_k").drop("_k")  # one row each
+    plan = (
+        F.when(F.col("unknown") != "", "refused: not captured")
+        .when(F.col("resume") == F.col("position"), "signal")
+        .when(F.col("resume").isNull(), "refused: no later start")
+        .when((F.col("unlisted") != "") & ~F.lit(skip_unlisted), "refused: unlisted tables")
+        .otherwise("signal and move")
+    )
+    return one.select(F.lit(position).cast("long").alias("position"), "resume", "unknown", "unlisted", plan.alias("plan"))
+
+
 def window_end(logs: DataFrame, start: int, n: int) -> DataFrame:
     """The least over threads of the end of the n-th log from a position."""
     later = logs.where(F.col("next_scn") > start)

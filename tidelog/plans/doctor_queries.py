@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions import errors
-from tidelog.operators import doctor, scans
+from tidelog.operators import doctor, ops, scans
 from tidelog.plans.registry import query
 from tidelog.sources import derived as d
 from tidelog.sources.static import Static
@@ -132,6 +132,26 @@ def position_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return targets.withColumn("plan", plan)
 
 
+#: Positions and tables of the plans that the query asks for, and whether unlisted tables may lose a gap.
+RESNAPSHOTS = [(2000, ["items", "CARTS "], False), (2000, ["ITEMS"], False), (30000, ["ITEMS"], True), (30000, ["ITEMS", "NOTES"], False), (101500, ["ITEMS"], False)]
+_ASKED_SQL = ", ".join(f"({p}::BIGINT, {[n.strip().upper() for n in names]}, {skip})" for p, names, skip in RESNAPSHOTS)
+RESNAPSHOT_SQL = f"""WITH {d.LOGS_SQL}, c AS (SELECT DISTINCT CASE WHEN event_id % 2 = 0 THEN 'ITEMS' ELSE 'CARTS' END AS tab FROM events), ask AS (SELECT * FROM (VALUES {_ASKED_SQL}) AS v(position, named, skip)),
+cand AS (SELECT a.position, a.position AS p FROM ask a UNION SELECT a.position, l.first_scn FROM ask a JOIN logs l ON l.first_scn >= a.position AND NOT l.deleted),
+lack AS (SELECT position, MAX(next_scn) AS s FROM ask JOIN logs ON next_scn > position AND deleted GROUP BY position),
+seqs AS (SELECT thread, first_scn, next_scn, seq - LAG(seq) OVER (PARTITION BY thread ORDER BY seq) AS step FROM logs),
+jump AS (SELECT position, MAX(first_scn) AS s FROM ask JOIN seqs ON step > 1 AND first_scn > position GROUP BY position),
+late AS (SELECT position, MAX(f) AS s FROM ask JOIN (SELECT thread, MIN(first_scn) AS f FROM logs GROUP BY thread) ON f > position GROUP BY position),
+r AS (SELECT a.position, a.named, a.skip, (SELECT MIN(p) FROM cand WHERE cand.position = a.position AND p >= GREATEST(a.position, COALESCE((SELECT s FROM lack WHERE lack.position = a.position), 0), COALESCE((SELECT s FROM jump WHERE jump.position = a.position), 0), COALESCE((SELECT s FROM late WHERE late.position = a.position), 0))) AS resume,
+  COALESCE((SELECT STRING_AGG(n, ',' ORDER BY n) FROM (SELECT UNNEST(a.named) AS n) WHERE n NOT IN (SELECT tab FROM c)), '') AS unknown, COALESCE((SELECT STRING_AGG(tab, ',' ORDER BY tab) FROM c WHERE NOT LIST_CONTAINS(a.named, tab)), '') AS unlisted FROM ask a)
+SELECT position, resume, unknown, unlisted, CASE WHEN unknown <> '' THEN 'refused: not captured' WHEN resume = position THEN 'signal' WHEN resume IS NULL THEN 'refused: no later start' WHEN unlisted <> '' AND NOT skip THEN 'refused: unlisted tables' ELSE 'signal and move' END AS plan FROM r"""
+
+
+@query("r6_resnapshot_plan", RESNAPSHOT_SQL)
+def resnapshot_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captured = d.data_rows(spark, sf_dir).select("tab").distinct()
+    return reduce(DataFrame.unionByName, [doctor.resnapshot_plan(d.logs(spark, sf_dir), captured, *asked) for asked in RESNAPSHOTS])
+
+
 @query("w11_log_window", f"WITH {d.LOGS_SQL}, r AS (SELECT thread, next_scn, ROW_NUMBER() OVER (PARTITION BY thread ORDER BY seq) AS n FROM logs WHERE next_scn > 15000) SELECT MIN(next_scn) AS window_end FROM r WHERE n = 3")
 def log_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doctor.window_end(d.logs(spark, sf_dir), 15000, 3)
@@ -199,7 +219,12 @@ LAGS = Static("lags", "id long, behind_ms long, steps long, timeouts long, repla
 
 @query("r2_t7_lag_causes", f"WITH {LAGS.sql} SELECT id, causes FROM lags")
 def lag_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = doctor.explain_lag(LAGS.df(spark))
+    return ranked_causes(LAGS.df(spark))
+
+
+def ranked_causes(lags: DataFrame) -> DataFrame:
+    """``id, causes``: the causes of each pair of samples as one text, best first."""
+    ranked = doctor.explain_lag(lags)
     return ranked.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "cause"))), lambda x: x["cause"]), ",").alias("causes"))
 
 
@@ -235,6 +260,33 @@ def ops_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event("transaction-discarded", "end_code = 36").unionByName(event("transaction-open", "end_code is null"))
 
 
+RECORDS_SQL = f"""WITH {d.ROWS_SQL}, {SIGNALS.sql}, z AS (SELECT con_id, user_id, sqn, MIN(scn) AS a, MAX(scn) AS b, COUNT(*) AS n, EPOCH_US(MIN(ts)) // 1000 AS t0, EPOCH_US(MAX(ts)) // 1000 AS t1, con_id || '.' || user_id || '.' || sqn AS xid FROM e GROUP BY ALL), j AS (SELECT z.*, tx.end_code, tx.end_scn FROM z JOIN tx USING (con_id, user_id, sqn))
+SELECT CAST(1 AS INTEGER) AS v, 'transaction-discarded' AS type, t1 AS ts_ms, 'db' AS server, a AS resume_scn, 'xid=' || xid || ';con_id=' || con_id || ';user=' || user_id || ';first_scn=' || a || ';last_scn=' || b || ';events=' || n || CASE WHEN t1 > t0 THEN ';age_ms=' || (t1 - t0) ELSE '' END AS details FROM j WHERE end_code IS NULL AND user_id % 3 = 0
+UNION ALL SELECT 1, 'transaction-orphan-released', t1, 'db', a, 'xid=' || xid || ';con_id=' || con_id || ';first_scn=' || a || ';last_scn=' || b || ';events=' || n || ';reason=absent' FROM j WHERE end_code IS NULL AND user_id % 3 <> 0
+UNION ALL SELECT 1, 'transaction-split', t1, 'db', NULL, 'xid=' || xid || ';commit_scn=' || end_scn || ';events=' || n || ';kafka_transactions=' || ((n + 1) // 2) FROM j WHERE end_code = 7 AND n > 2
+UNION ALL SELECT 1, 'signal-ack', 0, 'db', NULL, CASE WHEN kind = 'unreadable' THEN '' ELSE 'id=' || (body::JSON ->> 'id') || ';type=' || (body::JSON ->> 'type') || ';' END || 'outcome=' || CASE kind WHEN 'unknown' THEN 'unknown' WHEN 'unreadable' THEN 'invalid' ELSE 'ok' END FROM signals"""
+
+
+@query("s16_ops_event_records", RECORDS_SQL)
+def ops_event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of aged, orphaned and split transactions and of signals as records; details as one text."""
+    rows = d.data_rows(spark, sf_dir)
+    ms = lambda c: F.unix_millis(F.to_timestamp(c))
+    sizes = rows.groupBy(*d.TX).agg(F.min("scn").alias("a"), F.max("scn").alias("b"), F.count("*").alias("n"), ms(F.min("ts")).alias("t0"), ms(F.max("ts")).alias("t1"))
+    tx = sizes.join(d.transactions(rows), d.TX).withColumn("xid", F.concat_ws(".", *d.TX))
+    c, none = F.col, F.lit(None)
+    open_, done = tx.where("end_code is null"), tx.where("end_code = 7 and n > 2")
+    own = {"xid": c("xid"), "con_id": c("con_id"), "first_scn": c("a"), "last_scn": c("b"), "events": c("n")}
+    aged = ops.records(open_.where("user_id % 3 = 0"), "transaction-discarded", "db", c("t1"), c("a"), **own, user=c("user_id"), age_ms=F.when(c("t1") > c("t0"), c("t1") - c("t0")))
+    gone = ops.records(open_.where("user_id % 3 <> 0"), "transaction-orphan-released", "db", c("t1"), c("a"), **own, reason=F.lit("absent"), client_id=none)
+    split = ops.records(done, "transaction-split", "db", c("t1"), none, xid=c("xid"), commit_scn=c("end_scn"), events=c("n"), kafka_transactions=F.expr("(n + 1) div 2"))
+    said = signals(spark, sf_dir).select("*", F.get_json_object("body", "$.id").alias("id"), F.get_json_object("body", "$.type").alias("said"))
+    outcome = F.when(c("kind") == "unknown", "unknown").when(c("kind") == "unreadable", "invalid").otherwise("ok")
+    acks = ops.records(said, "signal-ack", "db", F.lit(0), none, id=c("id"), type=c("said"), outcome=outcome)
+    text = F.array_join(F.transform(F.map_entries("details"), lambda p: F.concat_ws("=", p["key"], p["value"])), ";")
+    return reduce(DataFrame.unionByName, [aged, gone, split, acks]).withColumn("details", text)
+
+
 CLASSES_SQL = """SELECT CAST(range AS BIGINT) AS ora,
 CASE WHEN range IN (1031, 942, 1017, 28000, 1045) THEN 'CDC-5002' WHEN range IN (310, 334, 1289, 1291, 1368, 1013) THEN 'CDC-1002' WHEN range IN (1284, 308, 1285, 16226) THEN 'CDC-2002'
 WHEN range IN (28, 31, 3113, 3114, 3135, 12170, 12541, 12514, 12516, 12528, 12537, 12543, 1033, 1034, 1089, 1090, 1092, 1109, 16331, 17002, 17008, 17410, 17800, 25408, 4068) THEN 'CDC-1001'
@@ -315,7 +367,11 @@ _RULES_SQL = " UNION ALL ".join(
 
 @query("r1_preflight_rules", f"WITH {d.LOGS_SQL}, {SETTINGS.sql}, {CATALOG.sql}, {GRANTS.sql}, {TOPICS.sql} {_RULES_SQL}")
 def preflight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    settings, catalog, grants, topics = (x.df(spark) for x in (SETTINGS, CATALOG, GRANTS, TOPICS))
+    return findings_of(d.logs(spark, sf_dir), *(x.df(spark) for x in (SETTINGS, CATALOG, GRANTS, TOPICS)))
+
+
+def findings_of(logs: DataFrame, settings: DataFrame, catalog: DataFrame, grants: DataFrame, topics: DataFrame) -> DataFrame:
+    """``rule, severity, object`` of all rules over a database's log metadata, settings, columns, grants and topics."""
     found = [doctor.findings(r, settings, F.lit(sev), F.col("name"), (F.col("name") == n) & F.expr(bad)) for r, n, sev, bad in SCALAR_RULES]
     other = settings.select(F.col("name").alias("other"), F.col("value").alias("least"))
     pairs = settings.join(other, F.col("name") != F.col("other"))
@@ -326,6 +382,6 @@ def preflight(spark: SparkSession, sf_dir: str) -> DataFrame:
     found.append(doctor.findings("DOC-4", grants, F.lit("blocking"), F.col("privilege"), ~F.col("held")))
     found.append(doctor.findings("DOC-21", grants, F.lit("warning"), F.col("pdb"), ~F.col("open_saved")))
     found.append(doctor.findings("DOC-17", topics, F.when(F.col("policy").isNull(), "blocking").otherwise("warning"), F.col("topic"), ~F.col("policy").eqNullSafe(F.col("wanted"))))
-    busy = doctor.hourly(d.logs(spark, sf_dir)).where("logs > 1").select("thread").distinct()
+    busy = doctor.hourly(logs).where("logs > 1").select("thread").distinct()
     found.append(doctor.findings("DOC-9", busy, F.lit("warning"), F.col("thread"), F.lit(True)))
     return reduce(DataFrame.unionByName, found)

@@ -177,7 +177,11 @@ def journal_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("a14_journal_summary", f"WITH {JOURNAL.sql} SELECT xid, CAST(COUNT(DISTINCT chunk) AS BIGINT) AS chunks, CAST(COUNT(DISTINCT generation) AS BIGINT) AS generations, CAST(SUM(events) AS BIGINT) AS events, CAST(SUM(bytes) AS BIGINT) AS bytes FROM journal GROUP BY xid")
 def journal_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return JOURNAL.df(spark).groupBy("xid").agg(F.count_distinct("chunk").alias("chunks"), F.count_distinct("generation").alias("generations"), F.sum("events").alias("events"), F.sum("bytes").alias("bytes"))
+    return chunks_by_transaction(JOURNAL.df(spark))
+
+
+def chunks_by_transaction(journal: DataFrame) -> DataFrame:
+    return journal.groupBy("xid").agg(F.count_distinct("chunk").alias("chunks"), F.count_distinct("generation").alias("generations"), F.sum("events").alias("events"), F.sum("bytes").alias("bytes"))
 
 
 ACTIVE = Static("active", "xid string", (("a",), ("d",)))
@@ -185,8 +189,13 @@ ACTIVE = Static("active", "xid string", (("a",), ("d",)))
 
 @query("j16_journaled_transactions", f"WITH {JOURNAL.sql}, {ACTIVE.sql} SELECT DISTINCT j.xid, EXISTS (SELECT 1 FROM active a WHERE a.xid = j.xid) AS active FROM journal j")
 def journaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flag = ACTIVE.df(spark).withColumn("_a", F.lit(True))
-    return JOURNAL.df(spark).select("xid").distinct().join(flag, "xid", "left").select("xid", F.col("_a").isNotNull().alias("active"))
+    return with_activity(JOURNAL.df(spark), ACTIVE.df(spark))
+
+
+def with_activity(journal: DataFrame, active: DataFrame) -> DataFrame:
+    """Journaled transactions, and whether the database still knows them."""
+    flag = active.select("xid").distinct().withColumn("_a", F.lit(True))
+    return journal.select("xid").distinct().join(flag, "xid", "left").select("xid", F.col("_a").isNotNull().alias("active"))
 
 
 @query("j13_k14_orphans", f"WITH {d.ROWS_SQL} SELECT con_id, user_id, sqn FROM tx WHERE end_code IS NULL AND user_id % 3 <> 0 AND user_id % 5 <> 0 AND start_scn < 50000")

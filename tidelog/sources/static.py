@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SQL = {"long": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
 
@@ -30,6 +31,11 @@ class Static:
     def df(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(self.rows), self.schema)
 
+    def read(self, spark: SparkSession, folder: str, *without: str) -> DataFrame:
+        """A user's table of this name and these columns, in place of the literals."""
+        columns = [f.split() for f in self.schema.split(", ")]
+        return spark.read.parquet(f"{folder}/{self.name}.parquet").select(*[F.col(n).cast(k) for n, k in columns if n not in without])
+
     @property
     def sql(self) -> str:
         fields = [f.split() for f in self.schema.split(", ")]
