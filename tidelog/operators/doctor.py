@@ -118,6 +118,18 @@ def coverage(logs: DataFrame, position: int) -> DataFrame:
     return first.join(holes, "thread", "left").select("thread", "from_seq", ((F.col("_first") <= position) & F.col("holes").isNull()).alias("covered"), F.coalesce("holes", F.lit(0)).alias("holes"))
 
 
+def position_plans(logs: DataFrame, targets: DataFrame, stored: int, allow_skip: bool = False) -> DataFrame:
+    """``target, plan``: whether a stored position may move to each target; a move forward skips changes."""
+    ends = logs.agg(F.min(F.when(~F.col("deleted"), F.col("first_scn"))).alias("low"), F.max("first_scn").alias("high")).withColumn("_k", F.lit(1))
+    plan = (
+        F.when(F.col("target") > F.col("high"), "beyond the end")
+        .when(F.col("target") < F.col("low"), "redo is gone")
+        .when((F.col("target") > stored) & ~F.lit(allow_skip), "needs allow-skip")
+        .otherwise("ok")
+    )
+    return targets.withColumn("_k", F.lit(1)).join(F.broadcast(ends), "_k").select("target", plan.alias("plan"))  # one row of ends
+
+
 def first_available(logs: DataFrame, position: int) -> DataFrame:
     """One row ``position, resume``: the least position from a given one on from which every log of every thread is there.
 

@@ -126,10 +126,8 @@ def redo_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("r5_r6_position_plans", f"WITH {d.LOGS_SQL}, t(target) AS (VALUES (CAST(500 AS BIGINT)), (30000), (999999999)), m AS (SELECT MIN(CASE WHEN NOT deleted THEN first_scn END) AS low, MAX(first_scn) AS high FROM logs) SELECT target, CASE WHEN target > high THEN 'beyond the end' WHEN target < low THEN 'redo is gone' WHEN target > 20000 THEN 'needs allow-skip' ELSE 'ok' END AS plan FROM t, m")
 def position_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ends = d.logs(spark, sf_dir).agg(F.min(F.when(~F.col("deleted"), F.col("first_scn"))).alias("low"), F.max("first_scn").alias("high")).first()
     targets = spark.createDataFrame([(500,), (30000,), (999999999,)], "target long")
-    plan = F.when(F.col("target") > ends["high"], "beyond the end").when(F.col("target") < ends["low"], "redo is gone").when(F.col("target") > 20000, "needs allow-skip").otherwise("ok")
-    return targets.withColumn("plan", plan)
+    return doctor.position_plans(d.logs(spark, sf_dir), targets, 20000)
 
 
 #: Positions and tables of the plans that the query asks for, and whether unlisted tables may lose a gap.
