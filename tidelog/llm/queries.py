@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, pii, secrets, simhash, spotsigs, token_counts, token_files, toxicity, vectors
+from . import alignment, bpe, packing, pii, secrets, simhash, spotsigs, token_counts, token_files, toxicity, vectors
 from .shared import Workspace, table
 
 
@@ -69,6 +69,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_packing": op2_packing,
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
+    "op13_alignment": op13_alignment,
 }
 #: SQL knows neither the tokenizers nor the hashes of the others, which tests hold against plain versions.
 ORACLE_SQL: dict[str, str] = {
