@@ -11,7 +11,7 @@ from tidelog.llm.queries import ORACLE_SQL, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_its_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "benchmark"):
         con.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     df = QUERIES[name](spark, sf_dir)
     want = con.sql(ORACLE_SQL[name])

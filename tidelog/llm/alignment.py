@@ -8,9 +8,7 @@ any text is read, names for each A id the B id of the same bytes, so such a grou
 count them in a vector as long as the vocabulary, and a document keeps only its own counts by A id. The
 links of all other groups are pairs, which are counted by a shuffle; frequent pairs are broadcast.
 
-Texts are cut at single spaces between characters that are not white space. No vocabulary entry of B holds a space
-behind another character and no pre-token of A does, both are proven from the files, so the pieces encode as they do
-in the whole text, and a worker remembers the alignment of each different piece.
+A worker remembers A's pre-tokens; texts of ``TOGETHER`` bytes are aligned at once.
 
 Defined results: texts that are null, empty, or whose joined A or B bytes differ from space and text have no tokens
 (zeros and an empty digest); special strings are plain text; repeated rows and ids and null ids each get a row;
@@ -20,22 +18,21 @@ an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import Workspace, join_weighted
-from .tokens import BYTE_LETTERS, _Memory, byte_coder
+from .tokens import BYTE_LETTERS, byte_coder
 
 SPACE = "▁"
-BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+TOGETHER = 1 << 20
 IDS = T.ArrayType(T.IntegerType())
 PAIRS = T.ArrayType(T.StructType([T.StructField(c, T.IntegerType()) for c in "abn"]))
 
@@ -65,11 +62,12 @@ class Aligner:
         self.coder = byte_coder(path_a)
         self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a, self.bytes_b = byte_pieces(self.coder.tokenizer), sentence_pieces(self.model)
-        self.ordinary = [i for i in range(len(self.bytes_b)) if not (self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i))]
-        #: B's merges stay within a run of spaces and what follows it.
-        self.cut = not any(SPACE in self.model.id_to_piece(i).lstrip(SPACE) for i in range(len(self.bytes_b))) and self.model.encode("a") == self.model.encode("b a")[-len(self.model.encode("a")) :]
+        self.length_a, self.length_b = (np.array([len(x or b"") for x in own]) for own in (self.bytes_a, self.bytes_b))
+        special = lambda i: self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i)
+        self.ordinary = [i for i in range(len(self.bytes_b)) if not special(i)]
         self.same = self.identity()
-        self.memory = _Memory(self.align, {})
+        numbers = range(max(len(self.bytes_a), len(self.bytes_b)))
+        self.digits, self.digits_bar, self.digits_end = (np.array([f"{i}{mark}".encode() for i in numbers]) for mark in ",|;")
 
     def identity(self) -> np.ndarray:
         """For each A id the B id of the same bytes, -1 where there is none; of entries with the same bytes a character's own comes before a byte's."""
@@ -78,49 +76,51 @@ class Aligner:
             by_bytes.setdefault(self.bytes_b[i], i)
         return np.array([by_bytes.get(x, -1) if x else -1 for x in self.bytes_a], np.int32)
 
-    def encode(self, text: str) -> tuple[list[int], list[int]]:
-        a: list[int] = []
-        for word in self.coder.cutter.segment(" " + text):
-            a += np.frombuffer(self.coder.memory[word] if word not in self.coder.cutter.special else b"".join(np.array([t.id], self.coder.dtype).tobytes() for t in self.coder.merge(word)), self.coder.dtype).tolist()
-        return a, self.model.encode(text, num_threads=1)
+    def ids_a(self, text: str) -> bytes:
+        return b"".join(map(self.coder.memory.__getitem__, self.coder.cutter.segment(" " + text)))
 
-    def align(self, text: str) -> tuple | None:
-        """``(number of A tokens, of B tokens, groups, their text, A ids of identity groups, (a, b) links of others)``; None where bytes differ."""
-        a, b = self.encode(text)
-        of_a, of_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        want = (" " + text).encode()
-        if None in of_a or b"".join(of_a) != want or b"".join(of_b) != want:
-            return None
-        ends_a, ends_b = np.cumsum([len(x) for x in of_a]), np.cumsum([len(x) for x in of_b])
-        ends = np.intersect1d(ends_a, ends_b)
-        groups, plain, pairs = [], [], []
-        from_a = from_b = 0
-        for to_a, to_b in zip(np.searchsorted(ends_a, ends, "right").tolist(), np.searchsorted(ends_b, ends, "right").tolist(), strict=True):
-            groups.append(",".join(map(str, a[from_a:to_a])) + "|" + ",".join(map(str, b[from_b:to_b])))
-            if to_a == from_a + 1 and to_b == from_b + 1 and self.same[a[from_a]] == b[from_b]:
-                plain.append(a[from_a])
-            else:  # no entry has no bytes, so one token of each side ends here
-                pairs.append((a[to_a - 1], b[to_b - 1]))
-            from_a, from_b = to_a, to_b
-        return len(a), len(b), len(groups), ";".join(groups), plain, pairs
-
-    def document(self, text: str | None) -> tuple | None:
-        """As ``align``, with counts of identity groups by A id and of other links by pair, and the digest of the groups."""
+    def tokens(self, text: str | None, ids_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of both sides; none where their bytes are not those of the text."""
+        none = np.zeros(0, np.int64)
         if not text:
-            return None
-        parts = [self.memory[x] for x in BETWEEN.split(text)] if self.cut and SPACE not in text else [None]
-        if None in parts:
-            parts = [self.align(text)]
-            if parts[0] is None:
-                return None
-        plain: Counter = Counter()
-        pairs: Counter = Counter()
-        for p in parts:
-            plain.update(p[4])
-            if p[5]:
-                pairs.update(p[5])
-        digest = hashlib.sha256(";".join([p[3] for p in parts]).encode()).hexdigest()
-        return sum(p[0] for p in parts), sum(p[1] for p in parts), sum(p[2] for p in parts), digest, plain, pairs
+            return none, none
+        a, b = np.frombuffer(self.ids_a(text), self.coder.dtype).astype(np.int64), np.array(ids_b, np.int64)
+        want = (" " + text).encode()
+        same = b"".join([self.bytes_a[i] or b"" for i in a.tolist()]) == want and b"".join([self.bytes_b[i] for i in ids_b]) == want
+        return (a, b) if same else (none, none)
+
+    def batch(self, texts: list[str | None]) -> list[pa.Array]:
+        """Columns ``n_a, n_b, n_groups, groups_sha256, plain, n_plain, pairs`` of some texts, all at once."""
+        both = list(map(self.tokens, texts, self.model.encode([t or "" for t in texts], num_threads=1)))
+        counts = np.array([(len(a), len(b)) for a, b in both], np.int64).reshape(-1, 2)
+        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*both, strict=True))
+        of_a = np.repeat(np.arange(len(both)), counts[:, 0])
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        meet = np.zeros((2, int(ends_a[-1]) + 1 if len(a) else 1), bool)  # no entry has no bytes, so ends differ on a side
+        meet[0, ends_a] = meet[1, ends_b] = True
+        both_end = meet.all(axis=0)
+        last_a, last_b = both_end[ends_a], both_end[ends_b]
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        size_a, size_b = np.bincount(group_a, minlength=0), np.bincount(group_b, minlength=0)
+        link_a, link_b, doc = a[last_a], b[last_b], of_a[last_a]
+        plain = (size_a == 1) & (size_b == 1) & (self.same[link_a] == link_b)
+        before_a, before_b = np.cumsum(size_a), np.cumsum(size_b) - size_b
+        text = np.zeros(len(a) + len(b), self.digits.dtype)  # numbers and what follows them, padded
+        text[np.arange(len(a)) + before_b[group_a]] = np.where(last_a, self.digits_bar[a], self.digits[a])
+        text[np.arange(len(b)) + before_a[group_b]] = np.where(last_b, self.digits_end[b], self.digits[b])
+        raw, width = text.tobytes(), text.dtype.itemsize
+        stops = (np.cumsum(counts.sum(axis=1)) * width).tolist()
+        digests = [hashlib.sha256(raw[x:y].translate(None, b"\0")[:-1]).hexdigest() if y > x else "" for x, y in zip([0, *stops[:-1]], stops, strict=True)]
+        groups = np.bincount(doc, minlength=len(both))
+        keys, times = np.unique(doc[plain] * len(self.same) + link_a[plain], return_counts=True)
+        starts = pa.array(np.searchsorted(keys, np.arange(len(both) + 1) * len(self.same)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(starts, pa.array(x.astype(np.int32))) for x in (keys % len(self.same), times)]
+        wide = len(self.same) * len(self.bytes_b)
+        keys, times = np.unique((doc[~plain] * len(self.same) + link_a[~plain]) * len(self.bytes_b) + link_b[~plain], return_counts=True)
+        starts = pa.array(np.searchsorted(keys, np.arange(len(both) + 1) * wide).astype(np.int32))
+        fields = [keys // len(self.bytes_b) % len(self.same), keys % len(self.bytes_b), times]
+        pairs = pa.ListArray.from_arrays(starts, pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in fields], ["a", "b", "n"]))
+        return [pa.array(counts[:, 0]), pa.array(counts[:, 1]), pa.array(groups), pa.array(digests, pa.string()), *lists, pairs]
 
 
 @lru_cache(maxsize=1)
@@ -134,18 +134,15 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     ``plain`` holds A ids of identity groups and ``n_plain`` how often each stands; ``pairs`` the links of other groups.
     """
     fields = ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "plain", "n_plain", "pairs"]
-    pair_type = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int32())]))
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(path_a, path_b)
         for batch in found:
-            rows = [both.document(x.as_py()) or (0, 0, 0, "", {}, {}) for x in batch.column(1)]
-            columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
-            columns.append(pa.array([r[3] for r in rows], pa.string()))
-            columns.append(pa.array([list(r[4]) for r in rows], pa.list_(pa.int32())))
-            columns.append(pa.array([list(r[4].values()) for r in rows], pa.list_(pa.int32())))
-            columns.append(pa.array([[{"a": a, "b": b, "n": n} for (a, b), n in r[5].items()] for r in rows], pair_type))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=fields)
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            starts = np.append(np.flatnonzero(np.append(True, size[1:] // TOGETHER != size[:-1] // TOGETHER)), len(size))
+            for x, y in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                part = batch.slice(x, y - x)
+                yield pa.RecordBatch.from_arrays([part.column(0), *both.batch(part.column(1).to_pylist())], names=fields)
 
     shape = T.StructType().add("doc_id", docs.schema["doc_id"].dataType)
     for c in fields[1:4]:

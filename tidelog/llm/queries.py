@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, packing, pii, secrets, simhash, spotsigs, token_counts, token_files, toxicity, vectors
+from . import alignment, bitfunnel, bpe, packing, pii, repeats, secrets, simhash, spotsigs, token_counts, token_files, toxicity, vectors
 from .shared import Workspace, table
 
 
@@ -69,6 +69,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(table(spark, sf_dir, "documents"), length=100)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitfunnel.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -84,10 +92,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
+    "op11_suffix_array_dedup": op11_suffix_array_dedup,
+    "op12_ranked_search": op12_ranked_search,
     "op13_alignment": op13_alignment,
 }
 #: SQL knows neither the tokenizers nor the hashes of the others, which tests hold against plain versions.
 ORACLE_SQL: dict[str, str] = {
+    "op12_ranked_search": r"""
+WITH lower AS (SELECT row_number() OVER () AS r, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+d AS (SELECT r, doc_id, term, COUNT(*) AS tf FROM (SELECT r, doc_id, UNNEST(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM lower) GROUP BY ALL),
+n AS (SELECT r, SUM(tf) AS n FROM d GROUP BY r),
+s AS (SELECT COUNT(*) AS docs, SUM(n) AS terms FROM n),
+m AS (SELECT n.r, CAST(75 + (25 * n.n * s.docs) // s.terms AS BIGINT) AS m FROM n, s),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * s.docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w FROM d, s GROUP BY term, s.docs),
+i AS (SELECT row_number() OVER () AS q, item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM benchmark),
+q AS (SELECT q, item_id, UNNEST(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i),
+c AS (SELECT q.q, q.item_id, d.r, d.doc_id, SUM(w.w * ((1000000000 * d.tf) // (1000 * d.tf + 12 * m.m))) AS score FROM q JOIN d USING (term) JOIN w USING (term) JOIN m ON m.r = d.r GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM c WHERE score > 0) WHERE rank <= 20""",
     "op4_embedding_near_dedup": """
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 u AS MATERIALIZED (SELECT * FROM v WHERE len(e) > 0 AND len([x for x in e if x IS NULL OR NOT isfinite(x)]) = 0 AND len([x for x in e if x <> 0]) > 0),
