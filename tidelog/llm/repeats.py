@@ -170,7 +170,7 @@ class _Runs:
             total[tail:] = np.maximum(total[tail:], BLOCK + 1)
         last = int(done.sum())
         ask = done & ((rows[1] >= 0) | (total >= 2))
-        block = np.maximum(rows[1], 0) * (1 << 32) + (place + told) // BLOCK
+        block = np.maximum(rows[1], 0).astype(np.int64) * (1 << 32) + (place + told) // BLOCK
         out.append(self._rows(PIECE, [x[ask] for x in rows], block[ask], ((rows[1] >= 0) | (total > BLOCK))[ask]))
         self.told = 0 if final else (int(self.told) if len(at) == 1 else 0) + max(0, last - tail)
         self.held = None if final else tuple(x[last:] for x in rows)
