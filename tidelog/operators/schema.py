@@ -72,6 +72,13 @@ def ddl_kind(ddl: Column) -> Column:
     return out.otherwise("UNKNOWN")
 
 
+def new_name(ddl: Column) -> Column:
+    """The name that a statement gives a table, null for other statements; a name in quotes keeps its case."""
+    text = F.regexp_replace(ddl, r"(?s)/\*.*?\*/|--[^\n]*", " ")
+    found = F.regexp_extract(text, r"(?is)^\s*(?:alter\s+table\s.*?\s|)rename\s+(?:[^\s]+\s+)?to\s+(\"[^\"]+\"|[\w$#]+)\s*;?\s*$", 1)
+    return F.when(found.startswith('"'), F.regexp_replace(found, '"', "")).when(found != "", F.upper(found))
+
+
 def cuts_step(kind: Column, captured: Column) -> Column:
     """Whether a statement ends a reading step: any table made or dropped, a captured one renamed or repartitioned."""
     return kind.isin("CREATE_TABLE", "DROP_TABLE") | (kind.isin("PARTITION", "RENAME_TABLE") & captured)

@@ -50,10 +50,32 @@ def _joined(rows: DataFrame) -> DataFrame:
     return whole.where("_open = 0").select(*TX, "x.*", "sql")
 
 
+def _wanted(options: Options) -> Column:
+    """Whether the table of a row with its full name in ``_name`` is captured."""
+    return scans.table_selected("_name", options.include, options.exclude, pdb="pdb", pdbs=options.containers)
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_name", F.concat_ws(".", "pdb", "owner", "tab"))
+
+
+def log_layouts(raw: DataFrame, dictionary: DataFrame, options: Options = Options(), start: int = 0, quiet: int | None = None, joined: DataFrame | None = None) -> DataFrame:
+    """Layouts of the captured tables (``operators.layouts.REPLAYED``) by readings of the dictionary and the log's own statements.
+
+    ``options.include`` and ``exclude`` say which tables; see ``operators.layouts.replayed``.
+    """
+    plain = _plain(raw)
+    ddl = _named(_joined(plain.where(F.col("op_code") == codes.DDL)).where("owner is not null and tab is not null"))
+    captured = ddl.withColumn("_captured", _wanted(options)).drop("_name")
+    readings = _named(dictionary).where(_wanted(options)).drop("_name")
+    read = readings.where("read_ts is not null").select(F.col("read_ts").alias("ts"), F.col("read_scn").alias("scn"))
+    times = plain.select("ts", "scn").unionByName(read).groupBy("ts").agg(F.min("scn").alias("scn"))
+    return lay.replayed(captured, readings, times, start, "_captured", quiet, joined)
+
+
 def _kept(rows: DataFrame, options: Options) -> DataFrame:
-    name = F.concat_ws(".", "pdb", "owner", "tab")
-    wanted = scans.table_selected("_name", options.include, options.exclude, pdb="pdb", pdbs=options.containers)
-    rows = rows.withColumn("_name", name)
+    wanted = _wanted(options)
+    rows = _named(rows)
     control = F.col("op_code").isin(*codes.TX_CODES)
     rows_of = [c for c in codes.ROW_CODES if c not in LARGE_CODES or options.large_values != LargeMode.SKIP]
     kept = F.col("op_code").isin(rows_of)
@@ -172,11 +194,14 @@ def rendered(parsed: DataFrame, keys: dict[str, list[str]], options: Options, se
     return Captured(records.select(topic.alias("topic"), "key", F.when(F.col("has_value"), value).alias("value"), *place), dead)
 
 
-def capture(raw: DataFrame, keys: dict[str, list[str]] | None = None, options: Options = Options(), server: str = "server", layouts: DataFrame | None = None) -> Captured:
+def capture(raw: DataFrame, keys: dict[str, list[str]] | None = None, options: Options = Options(), server: str = "server", layouts: DataFrame | None = None, dictionary: DataFrame | None = None, start: int = 0) -> Captured:
     """Records of the surviving changes of committed transactions.
 
-    ``layouts`` (``operators.layouts.LAYOUT``) type the values and name the keys; without them ``keys`` has the key columns by ``OWNER.TABLE``.
+    ``layouts`` (``operators.layouts.LAYOUT``) type the values and name the keys; so does ``dictionary``, readings of it from which and from
+    the log's statements the layouts are made (``log_layouts``). Without either ``keys`` has the key columns by ``OWNER.TABLE``.
     """
+    if layouts is None and dictionary is not None:
+        layouts = log_layouts(raw, dictionary, options, start).select(*lay.LAYOUT_COLUMNS)
     if options.large_values in (LargeMode.RESELECT, LargeMode.TOPIC):
         raise ValueError(f"large_values: {options.large_values} reads the source or writes topics of its own; see the queries j11_ and s14_")
     rows = _kept(_joined(_plain(raw)), options)
