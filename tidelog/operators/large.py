@@ -18,6 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tidelog.functions.redo import apply_edits
 
 OUT_ROWS = 10_000
+IN_ROWS = 64  # rows of an Arrow batch that are held as Python values at a time
 
 
 def _fold_groups(rows: DataFrame, by: list[str], order: str, more: list[T.StructField], fold: Callable[[list[dict]], Iterable[dict]]) -> DataFrame:
@@ -26,7 +27,7 @@ def _fold_groups(rows: DataFrame, by: list[str], order: str, more: list[T.Struct
     arrow = to_arrow_schema(shape)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        each = (row for batch in batches for row in batch.to_pylist())
+        each = (row for batch in batches for at in range(0, batch.num_rows, IN_ROWS) for row in batch.slice(at, IN_ROWS).to_pylist())
         for key, group in groupby(each, key=lambda r: tuple(r[c] for c in by)):
             for out in fold(list(group)):
                 yield dict(zip(by, key, strict=True)) | out
