@@ -41,7 +41,7 @@ GRAM = 24
 STRETCH = 1 << 20
 COMBINED = 1 << 18  # pieces of a task whose copies are taken out together
 HEAVY, SALTS = 1024, 64
-BLOCK = 512
+BLOCK = 128
 FLUSH = 1 << 16  # different pieces of a run held while its size is not known
 SORTED_BYTES = 1 << 20  # of pieces whose suffixes are sorted together
 LEAST_ID = -(1 << 63)
