@@ -94,7 +94,8 @@ def test_layouts_type_values_by_position(spark):
     told = [json.loads(r["value"]) for r in records]
     assert told[0]["after"] == {"ID": 1, "AMOUNT": "1.5", "NAME": None} and records[0]["key"] == '{"ID":1}' and records[0]["headers"]["cdc.schema_version"] == "1"
     assert told[1]["after"] == {"ID": 7, "AMOUNT": "12.5", "NAME": 'q"x', "BORN": 86_401_000, "SEEN": 5, "RATIO": 1.5e10, "BITS": "AP8=", "NOTE": "hello world"} and records[1]["headers"]["cdc.schema_version"] == "2"
-    assert [t["op"] for t in told] == ["c", "c", "t"] or [t["op"] for t in told] == ["c", "c", "u", "t"]
+    # the edit of the third transaction leaves a part of a value whose rest is not known: the record has no column for it
+    assert [t["op"] for t in told] == ["c", "c", "u", "t"] and told[2]["after"] == {"ID": 7}
     keyed = capture(raw, options=Options.of({"decode_error": "dlq", "keyless": "rowid", "decimals": "DOUBLE", "temporals": "ISO_STRING", "large_values": "skip"}), layouts=layouts).records.orderBy("commit_scn", "event_index").collect()
     assert [r["key"] for r in keyed if "NOKEY" in r["topic"]] == ['{"ROWID":"E"}']
     typed = json.loads(keyed[-1]["value"])["after"]

@@ -133,3 +133,32 @@ def test_double_text_of_all_sizes(spark):
     df = spark.createDataFrame(list(enumerate(values)), "event_id long, value double")
     assert {r["event_id"]: r["txt"] for r in df.selectExpr("event_id", "cast(value as string) as txt").collect()} == want
     assert want[9] == "1.0E7" and want[5] == "1.0E-5" and want[10] == "1.23456785E7"
+
+
+LOGS = "thread long, seq long, first_scn long, next_scn long, deleted boolean"
+
+
+def test_moves_are_refused_where_a_log_of_any_thread_is_lacking(spark):
+    from tidelog.operators import doctor
+
+    def plan(target, *logs, **more):
+        return doctor.position_plans(spark.createDataFrame(logs, LOGS), spark.createDataFrame([(target,)], "target long"), 1000, **more).first()["plan"]
+
+    assert plan(20, (1, 1, 0, 200, False), (2, 1, 0, 200, True)) == "redo is gone"
+    middle = [(1, 1, 0, 100, False), (1, 2, 100, 150, True), (1, 3, 150, 200, False)]
+    assert plan(120, *middle) == plan(50, *middle) == "redo is gone" and plan(150, *middle) == "ok"
+    newest = [(1, 1, 0, 100, False), (1, 2, 100, 200, False)]
+    assert plan(150, *newest) == "ok" and plan(201, *newest) == "beyond the end"
+    assert plan(50, (1, 1, 0, 100, False), (1, 3, 150, 200, False)) == "redo is gone"  # a number that is not listed
+    assert plan(160, *newest, (2, 7, 170, 200, False)) == "redo is gone" and plan(170, *newest, (2, 7, 170, 200, False)) == "ok"
+    far = [(1, 1, 0, 2**63 - 1, False)]
+    now = spark.createDataFrame([(5000,)], "current long")
+    assert plan(2000, *far, current=now) == "needs allow-skip" and plan(2000, *far, current=now, allow_skip=True) == "ok" and plan(5001, *far, current=now) == "beyond the end"
+
+
+def test_coverage_tells_of_every_thread(spark):
+    from tidelog.operators import doctor
+
+    logs = [(1, 1, 0, 100, False), (1, 2, 100, 200, False), (2, 1, 0, 100, True), (2, 2, 100, 200, True), (3, 1, 0, 100, False), (3, 2, 100, 150, True), (3, 3, 150, 200, False), (4, 1, 0, 40, False), (5, 1, 0, 100, False), (5, 2, 100, 200, True), (6, 4, 60, 200, False)]
+    got = {r["thread"]: tuple(r)[1:] for r in doctor.coverage(spark.createDataFrame(logs, LOGS), 50).collect()}
+    assert got == {1: (1, True, 0), 2: (None, False, 2), 3: (1, False, 1), 4: (None, False, 0), 5: (1, False, 1), 6: (4, False, 0)}

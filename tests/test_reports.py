@@ -75,7 +75,7 @@ def test_reports_follow_the_tables(spark, tmp_path, capsys):
     assert main(["explain-lag", "--data", data]) == 0
     out = capsys.readouterr().out
     assert "KAFKA" in out and "MINING" not in out
-    rq.JOURNAL.df(spark).where("xid = 'c'").write.parquet(f"{data}/journal.parquet")
+    spark.createDataFrame([("c", 1, 1, 1, 9, 90)], rq.JOURNAL.schema).write.parquet(f"{data}/journal.parquet")
     assert main(["journal", "--data", data]) == 0
     out = capsys.readouterr().out
     assert "|c " in out and "|a " not in out

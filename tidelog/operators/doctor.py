@@ -111,19 +111,40 @@ def one_copy(copies: DataFrame) -> DataFrame:
 
 
 def coverage(logs: DataFrame, position: int) -> DataFrame:
-    """By thread whether present logs run from a position on without a hole: ``thread, from_seq, covered, holes``."""
-    present = logs.where("not deleted").where(F.col("next_scn") > position)
-    holes = sequence_gaps(present).groupBy("thread").agg(F.sum("missing").alias("holes"))
-    first = present.groupBy("thread").agg(F.min("seq").alias("from_seq"), F.min("first_scn").alias("_first"))
-    return first.join(holes, "thread", "left").select("thread", "from_seq", ((F.col("_first") <= position) & F.col("holes").isNull()).alias("covered"), F.coalesce("holes", F.lit(0)).alias("holes"))
+    """By thread whether its logs run from a position to its newest without a hole: ``thread, from_seq, covered, holes``.
+
+    ``from_seq`` is the first that is there, ``holes`` how many are not, deleted or never listed. A thread none of whose logs
+    reaches the position is not covered.
+    """
+    needed = F.col("next_scn") > position
+    by = logs.groupBy("thread").agg(
+        F.min(F.when(needed & ~F.col("deleted"), F.col("seq"))).alias("from_seq"),
+        F.min(F.when(needed, F.col("first_scn"))).alias("_first"),
+        (F.max("seq") - F.min(F.when(needed, F.col("seq"))) + 1 - F.count_if(needed & ~F.col("deleted"))).alias("_holes"),
+    )
+    holes = F.coalesce("_holes", F.lit(0))
+    return by.select("thread", "from_seq", (F.coalesce(F.col("_first") <= position, F.lit(False)) & (holes == 0)).alias("covered"), holes.alias("holes"))
+
+
+def least_whole(logs: DataFrame) -> DataFrame:
+    """One row ``least``: the least position from which all logs of all threads are there, up to the newest of each."""
+    before = F.lag("seq").over(Window.partitionBy("thread").orderBy("seq"))
+    lacking = F.when(F.col("deleted"), F.col("next_scn")).when(F.col("_b").isNull() | (F.col("seq") - F.col("_b") > 1), F.col("first_scn"))
+    return logs.withColumn("_b", before).agg(F.max(lacking).alias("least"))
 
 
-def position_plans(logs: DataFrame, targets: DataFrame, stored: int, allow_skip: bool = False) -> DataFrame:
-    """``target, plan``: whether a stored position may move to each target; a move forward skips changes."""
-    ends = logs.agg(F.min(F.when(~F.col("deleted"), F.col("first_scn"))).alias("low"), F.max("first_scn").alias("high")).withColumn("_k", F.lit(1))
+def position_plans(logs: DataFrame, targets: DataFrame, stored: int, allow_skip: bool = False, current: DataFrame | None = None) -> DataFrame:
+    """``target, plan``: whether a stored position may move to each target; a move forward skips changes.
+
+    ``current`` has the database's position in one row ``current``; without it that is the end of the newest log. A target is refused
+    where it lies beyond that, or where from it on a log of any thread is lacking.
+    """
+    if current is None:
+        current = logs.agg(F.max(F.when(F.col("next_scn") < 2**63 - 1, F.col("next_scn")).otherwise(F.col("first_scn"))).alias("current"))
+    ends = least_whole(logs).withColumn("_k", F.lit(1)).join(current.withColumn("_k", F.lit(1)), "_k")
     plan = (
-        F.when(F.col("target") > F.col("high"), "beyond the end")
-        .when(F.col("target") < F.col("low"), "redo is gone")
+        F.when(F.col("target") > F.col("current"), "beyond the end")
+        .when(F.col("least").isNull() | (F.col("target") < F.col("least")), "redo is gone")
         .when((F.col("target") > stored) & ~F.lit(allow_skip), "needs allow-skip")
         .otherwise("ok")
     )

@@ -95,3 +95,12 @@ def key_source(override: Column, primary: Column, unique: Column, policy: str) -
     """Where the record key comes from: an override, the primary key, the first unique index without nullable columns, a policy."""
     rest = {"ROWID": F.lit("ROWID"), "NONE": F.lit("NONE"), "FAIL": F.lit("ERROR")}[policy]
     return F.when(override.isNotNull(), "OVERRIDE").when(primary.isNotNull(), "PRIMARY_KEY").when(unique.isNotNull(), "UNIQUE_INDEX").otherwise(rest)
+
+
+def startup_verdict(stored: Column, current: Column, last_ddl: Column, resume: Column) -> Column:
+    """Whether a stored layout may be gone on with: the same, gone, or changed by a DDL that is still ahead; anything else was missed.
+
+    Positions map to times within ten seconds, so a DDL that close to the resume time counts as ahead.
+    """
+    ahead = F.coalesce(last_ddl > resume - F.expr("INTERVAL 10 SECONDS"), F.lit(False))
+    return F.when(current.isNull(), "dropped since").when(stored == current, "same").when(ahead, "explained").otherwise("stop")

@@ -72,6 +72,7 @@ class Options:
     decode_error: DecodeErrorAction = DecodeErrorAction.FAIL
     max_age_ms: int | None = None
     max_age_action: AgeAction = AgeAction.FAIL
+    orphan_ms: int | None = None
     orphan_action: OrphanAction = OrphanAction.FAIL
     decimals: str = "PRECISE"
     temporals: str = "ADAPTIVE"
@@ -84,6 +85,8 @@ class Options:
             found.append("snapshot_chunk_rows: at least 1000")
         if self.max_age_ms is not None and self.max_age_ms < 1:
             found.append("max_age_ms: positive or none")
+        if self.orphan_ms is not None and self.orphan_ms < 1:
+            found.append("orphan_ms: positive or none")
         if self.decimals not in ("PRECISE", "STRING", "DOUBLE"):
             found.append("decimals: PRECISE, STRING or DOUBLE")
         if self.temporals not in ("ADAPTIVE", "ISO_STRING"):
@@ -107,7 +110,7 @@ class Options:
                 given[name] = type(default)(text.lower())
             elif isinstance(default, bool):
                 given[name] = text.lower() == "true"
-            elif isinstance(default, int) or name == "max_age_ms":
+            elif isinstance(default, int) or name in ("max_age_ms", "orphan_ms"):
                 given[name] = int(text)
             elif isinstance(default, str):
                 given[name] = text

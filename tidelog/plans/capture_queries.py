@@ -36,10 +36,10 @@ def capture_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "capture_flat",
-    f"""WITH {d.SURVIVORS_SQL} SELECT {_KEY} AS key, CASE op_code WHEN 1 THEN 'I' WHEN 2 THEN 'D' ELSE 'U' END AS op_type, 'P1.APP.' || tab AS table_name, CAST({CENTS_SQL} AS VARCHAR) AS value, CAST(scn AS VARCHAR) AS scn FROM sv WHERE {_READ} AND user_id % 10 <> 3 AND tab = 'ITEMS'""",
+    f"""WITH {d.SURVIVORS_SQL} SELECT {_KEY} AS key, CASE op_code WHEN 1 THEN 'I' WHEN 2 THEN 'D' ELSE 'U' END AS op_type, 'P1.APP.' || tab AS table_name, CAST({CENTS_SQL} AS VARCHAR) AS value, CAST(scn AS VARCHAR) AS scn FROM sv WHERE {_READ} AND user_id % 10 <> 3""",
 )
 def capture_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    options = Options.of({"decode_error": "dlq", "format": "flat", "tombstones": "false", "include": r"P1\.APP\.ITEMS", "exclude_users": "U3"})
+    options = Options.of({"decode_error": "dlq", "format": "flat", "tombstones": "false", "include": r"P1\.APP\.(ITEMS|CARTS)", "exclude_users": "U3"})
     records = capture(raw_log(spark, sf_dir, statements=False), KEYS, options).records
     return records.select("key", _at("op_type").alias("op_type"), _at("table").alias("table_name"), _at("VALUE").alias("value"), _at("scn").alias("scn"))
 

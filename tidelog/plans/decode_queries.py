@@ -9,7 +9,7 @@ from tidelog.functions import redo, values
 from tidelog.operators import large
 from tidelog.plans.registry import query
 from tidelog.sources import derived as d
-from tidelog.sources.static import Static
+from tidelog.sources.portable import B, Portable, Q, choice, text
 
 
 def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,31 +41,40 @@ def error_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.groupBy(F.when(F.col("p.error").isNotNull(), "dead letter").otherwise("continue").alias("route")).agg(F.count("*").alias("n"))
 
 
-LITERALS = Static("lits", "sql string, kind string, value string", (
-    ("insert into \"A\".\"T\"(\"C\") values (NULL)", "NULL", None), ("insert into \"A\".\"T\"(\"C\") values ('1.5E+010')", "STRING", "1.5E+010"), ("insert into \"A\".\"T\"(\"C\") values (TO_DATE('2026-01-02 03:04:05', 'YYYY-MM-DD HH24:MI:SS'))", "TO_DATE", "2026-01-02 03:04:05"),
-    ("insert into \"A\".\"T\"(\"C\") values (TO_TIMESTAMP_TZ('2026-01-02 03:04:05.5 +05:30'))", "TO_TIMESTAMP_TZ", "2026-01-02 03:04:05.5 +05:30"), ("insert into \"A\".\"T\"(\"C\") values (HEXTORAW('beef'))", "HEXTORAW", "beef"), ("insert into \"A\".\"T\"(\"C\") values (EMPTY_CLOB())", "EMPTY_CLOB", ""),
-    ("insert into \"A\".\"T\"(\"C\") values (UNISTR('n\\00E1r \\D83D\\DE42 \\\\'))", "STRING", "nár 🙂 \\"), ("insert into \"A\".\"T\"(\"C\") values (SYSDATE)", None, None), ("insert into \"A\".\"T\"(\"C\") values ('a') extra", None, None), ("insert into \"A\".\"T\"(\"C\",\"D\") values ('a')", None, None),
-))
+_N = "event_id"
+_INTO = lambda value: text('"insert into "', "CHR(34)", '"A"', "CHR(34)", '"."', "CHR(34)", '"T"', "CHR(34)", '"("', "CHR(34)", '"C"', "CHR(34)", '") values ("') + " || " + value + " || ')'"
+LITERALS = Portable("lits", "events", {"id": _N, "sql": choice(
+    _N, _INTO("'NULL'"), _INTO(text(Q, '"1."', _N, '"E+010"', Q)), _INTO(text('"TO_DATE("', Q, '"2026-01-"', f"LPAD(CAST(1 + {_N} % 28 AS STRING), 2, '0')", '" 03:04:05"', Q, '","', Q, '"YYYY-MM-DD HH24:MI:SS"', Q, '")"')),
+    _INTO(text('"TO_TIMESTAMP_TZ("', Q, '"2026-01-02 03:04:05."', _N, '" +05:30"', Q, '")"')), _INTO(text('"HEXTORAW("', Q, f"HEX({_N} + 256)", Q, '")"')), _INTO("'EMPTY_CLOB()'"),
+    _INTO(text('"UNISTR("', Q, '"n"', B, '"00E1"', _N, '" "', B, '"D83D"', B, '"DE42"', Q, '")"')), _INTO("'SYSDATE'"), _INTO(text(Q, _N, Q)) + " || ' extra'", _INTO(text(Q, _N, Q, '","', Q, '"b"', Q)),
+)})
 
 
-@query("f2_f3_literals", f"WITH {LITERALS.sql} SELECT sql, kind, value FROM lits")
+@query(
+    "f2_f3_literals",
+    """SELECT event_id AS id, CASE event_id % 10 WHEN 0 THEN 'NULL' WHEN 1 THEN 'STRING' WHEN 2 THEN 'TO_DATE' WHEN 3 THEN 'TO_TIMESTAMP_TZ' WHEN 4 THEN 'HEXTORAW' WHEN 5 THEN 'EMPTY_CLOB' WHEN 6 THEN 'STRING' END AS kind,
+    CASE event_id % 10 WHEN 1 THEN '1.' || event_id || 'E+010' WHEN 2 THEN STRFTIME(DATE '2026-01-01' + CAST(event_id % 28 AS INTEGER), '%Y-%m-%d') || ' 03:04:05' WHEN 3 THEN '2026-01-02 03:04:05.' || event_id || ' +05:30' WHEN 4 THEN PRINTF('%X', event_id + 256) WHEN 5 THEN '' WHEN 6 THEN 'ná' || event_id || ' 🙂' END AS value FROM events""",
+)
 def literals(spark: SparkSession, sf_dir: str) -> DataFrame:
     lit = F.try_element_at(F.col("p.sets"), F.lit("C"))
-    return LITERALS.df(spark).withColumn("p", redo.parse_redo("sql")).select("sql", lit["kind"].alias("kind"), lit["value"].alias("value"))
+    return LITERALS.df(spark, sf_dir).withColumn("p", redo.parse_redo("sql")).select("id", lit["kind"].alias("kind"), lit["value"].alias("value"))
 
 
-TEXTS = Static("texts", "id long, hex_in string, ts_in string, ym string, ds string, num string, rid string", (
-    (1, " beef", "2026-01-02 03:04:05", "+0012-03", "+00005 04:03:02.123456", "0010.500", "AAA#R1"), (2, "bee", "2026-13-02 03:04:05", "-1-02", "-00000 00:00:01", "-0.00", "#X"), (3, "", "bad", "x", "1 2", "100", "BBB"), (4, None, None, None, None, None, None),
-))
+_K = "o_orderkey"
+TEXTS = Portable("texts", "orders", {"id": _K, "hex_in": choice(_K, f"' ' || HEX({_K} * 256 + 4096)", f"HEX({_K} % 16)", "''", "NULL", "'xyz1'"), "ts_in": choice(_K, "SUBSTR(CAST(o_orderdate AS STRING), 1, 10) || ' 01:02:03'", "'2026-13-02 03:04:05'", "'bad'", "NULL"),
+    "ym": choice(_K, text('"+"', f"{_K} % 50", '"-"', f"{_K} % 12"), text('"-"', f"{_K} % 50", '"-0"', f"{_K} % 10"), "'x'", "NULL"), "ds": choice(_K, text('"+"', f"{_K} % 90", '" 04:03:0"', f"{_K} % 10", '".5"'), text('"-"', f"{_K} % 90", '" 00:00:01"'), "'1 2'", "NULL"),
+    "num": choice(_K, text('"00"', f"{_K}", '".500"'), "'-0.00'", text(f"{_K}", '".0"'), "NULL"), "rid": choice(_K, text('"AAA"', _K, '"#R1"'), "'#X'", text('"B"', _K), "NULL")})
 
 
 @query(
     "f4_f5_f7_f9_f17_scalars",
-    f"""WITH {TEXTS.sql} SELECT id, CASE WHEN REGEXP_MATCHES(TRIM(hex_in), '^([0-9A-Fa-f]{{2}})*$') THEN UPPER(TRIM(hex_in)) END AS hex_out, TRY_CAST(ts_in AS TIMESTAMP) AS ts_out,
-    CASE id WHEN 1 THEN 147 WHEN 2 THEN -14 END AS months, CASE id WHEN 1 THEN CAST(446582123456 AS BIGINT) WHEN 2 THEN -1000000 END AS micros, CASE id WHEN 1 THEN '10.5' WHEN 2 THEN '0' WHEN 3 THEN '100' END AS number, CASE id WHEN 1 THEN 'AAA' WHEN 3 THEN 'BBB' END AS rowid FROM texts""",
+    """SELECT o_orderkey AS id, CASE o_orderkey % 5 WHEN 0 THEN CASE WHEN LENGTH(PRINTF('%X', o_orderkey * 256 + 4096)) % 2 = 0 THEN PRINTF('%X', o_orderkey * 256 + 4096) END WHEN 2 THEN '' END AS hex_out,
+    CASE WHEN o_orderkey % 4 = 0 THEN DATE_TRUNC('day', o_orderdate) + INTERVAL '1 hour 2 minutes 3 seconds' END AS ts_out, CAST(CASE o_orderkey % 4 WHEN 0 THEN o_orderkey % 50 * 12 + o_orderkey % 12 WHEN 1 THEN -(o_orderkey % 50 * 12 + o_orderkey % 10) END AS INTEGER) AS months,
+    CASE o_orderkey % 4 WHEN 0 THEN (o_orderkey % 90 * 86400 + 14580 + o_orderkey % 10) * 1000000 + 500000 WHEN 1 THEN -(o_orderkey % 90 * 86400 + 1) * 1000000 END AS micros,
+    CASE o_orderkey % 4 WHEN 0 THEN o_orderkey || '.5' WHEN 1 THEN '0' WHEN 2 THEN CAST(o_orderkey AS VARCHAR) END AS number, CASE o_orderkey % 4 WHEN 0 THEN 'AAA' || o_orderkey WHEN 2 THEN 'B' || o_orderkey END AS rowid FROM orders""",
 )
 def scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TEXTS.df(spark).select(
+    return TEXTS.df(spark, sf_dir).select(
         "id", F.hex(values.hex_bytes(F.col("hex_in"))).alias("hex_out"), values.local_time(F.col("ts_in")).alias("ts_out"), values.months(F.col("ym")).cast("int").alias("months"),
         values.interval_micros(F.col("ds")).alias("micros"), values.canonical_number(F.col("num")).alias("number"), values.rowid_part(F.col("rid")).alias("rowid"),
     )
@@ -116,21 +125,30 @@ def double_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.events(spark, sf_dir).select("event_id", F.col("value").cast("string").alias("txt"))
 
 
-DECIMALS = Static("decs", "txt string, scale int, hex string", (("1.5", 1, "0F"), ("-1", 0, "FF"), ("128", 0, "0080"), ("0.00", 2, "00"), ("1E+3", 0, "03E8"), ("-32768", 0, "8000"), ("x", None, None)))
+DECIMALS = Portable("decs", "orders", {"id": _K, "txt": choice(_K, text(f"{_K} % 12", '"."', f"{_K} % 10"), text('"-"', f"{_K} % 12", '"."', f"{_K} % 10"), text(f"{_K} % 3", '"E+2"'), "'x'")})
 
 
-@query("f10_variable_decimals", f"WITH {DECIMALS.sql} SELECT txt, scale, hex FROM decs")
+@query(
+    "f10_variable_decimals",
+    """WITH u AS (SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN o_orderkey % 12 * 10 + o_orderkey % 10 WHEN 1 THEN -(o_orderkey % 12 * 10 + o_orderkey % 10) WHEN 2 THEN o_orderkey % 3 * 100 END AS u, CASE o_orderkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 0 END AS scale FROM orders)
+    SELECT id, CAST(scale AS INTEGER) AS scale, CASE WHEN u < 128 AND u >= -128 THEN PRINTF('%02X', (u + 256) % 256) ELSE PRINTF('%04X', (u + 65536) % 65536) END AS hex FROM u""",
+)
 def variable_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return DECIMALS.df(spark).select("txt", values.variable_decimal("txt").alias("v")).select("txt", "v.scale", F.hex("v.value").alias("hex"))
+    return DECIMALS.df(spark, sf_dir).select("id", values.variable_decimal("txt").alias("v")).select("id", "v.scale", F.hex("v.value").alias("hex"))
 
 
-OFFSETS = Static("offs", "doc string, scn long", (('{"scn":"120","pending":[{"scn":110},{"scn":130}]}', 110), ('{"scn":"90","pending":[]}', 90)))
+def _offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored position for each order, with two, one or no pending transactions."""
+    key = F.col("o_orderkey")
+    pending = F.when(key % 3 == 0, F.array(key + 60, key + 70 - key % 40)).when(key % 3 == 1, F.array(key + 1)).otherwise(F.array().cast("array<bigint>"))
+    scn = F.when(key % 3 == 0, key + 50).otherwise(key).cast("string")
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(key.alias("id"), F.to_json(F.struct(scn.alias("scn"), F.transform(pending, lambda p: F.struct(p.alias("scn"))).alias("pending"))).alias("doc"))
 
 
-@query("f25_offset_documents", f"WITH {OFFSETS.sql} SELECT doc, scn FROM offs")
+@query("f25_offset_documents", "SELECT o_orderkey AS id, CASE o_orderkey % 3 WHEN 0 THEN LEAST(o_orderkey + 50, o_orderkey + 70 - o_orderkey % 40) ELSE o_orderkey END AS scn FROM orders")
 def offset_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.from_json("doc", "scn string, pending array<struct<scn:long>>")
-    return OFFSETS.df(spark).select("doc", F.array_min(F.concat(F.array(p["scn"].cast("long")), F.transform(p["pending"], lambda x: x["scn"]))).alias("scn"))
+    return _offsets(spark, sf_dir).select("id", F.array_min(F.concat(F.array(p["scn"].cast("long")), F.transform(p["pending"], lambda x: x["scn"]))).alias("scn"))
 
 
 @query("f20_human_texts", "SELECT o_orderkey, CASE WHEN b < 1048576 THEN (b // 1024)::VARCHAR || ' KiB' WHEN b < 1073741824 THEN (b // 1048576)::VARCHAR || ' MiB' WHEN b % 1073741824 = 0 THEN (b // 1073741824)::VARCHAR || ' GiB' ELSE FORMAT('{:.1f}', FLOOR(b / 1073741824.0::DOUBLE * 10 + 0.5) / 10) || ' GiB' END AS size, CASE WHEN m < 60 THEN m::VARCHAR || ' min' WHEN m % 60 = 0 THEN (m // 60)::VARCHAR || ' h' ELSE (m // 60)::VARCHAR || ' h ' || (m % 60)::VARCHAR || ' min' END AS age FROM (SELECT o_orderkey, o_orderkey * o_orderkey * 1048576 // 64 AS b, o_orderkey % 500 AS m FROM orders)")
@@ -139,14 +157,20 @@ def human_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", values.human_bytes(key * key * 16384).alias("size"), values.human_minutes(key % 500).alias("age"))
 
 
-BLOCK = """DECLARE loc_c CLOB; buf_c VARCHAR2(100); loc_num NUMBER; BEGIN select "NOTE" into loc_c from "APP"."T" where "ID" = '7' for update; buf_c := 'hello'; dbms_lob.write(loc_c, 5, 1, buf_c); dbms_lob.erase(loc_c, 2, 2); dbms_lob.trim(loc_c, 4); END;"""
-BLOCKS = Static("blocks", "sql string, kinds string, where_id string", ((BLOCK, "write,erase,trim", "7"), (BLOCK.replace("5, 1", "4, 1"), None, None), ("DECLARE x NUMBER; nothing", None, None)))
+def _block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A block for each order that writes, erases and trims, or is broken."""
+    key = F.col("o_orderkey").cast("string")
+    size = F.length(key)
+    head = F.concat(F.lit('DECLARE loc_c CLOB; buf_c VARCHAR2(100); loc_num NUMBER; BEGIN select "NOTE" into loc_c from "APP"."T" where "ID" = \''), key, F.lit("' for update; buf_c := '"), key, F.lit("'; dbms_lob.write(loc_c, "))
+    amount = F.when(F.col("o_orderkey") % 3 == 1, size + 1).otherwise(size)
+    whole = F.concat(head, amount.cast("string"), F.lit(", 1, buf_c); dbms_lob.erase(loc_c, 2, 2); dbms_lob.trim(loc_c, 4); END;"))
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 2, F.concat(F.lit("DECLARE x NUMBER; nothing "), key)).otherwise(whole).alias("sql"))
 
 
-@query("f19_large_blocks", f"WITH {BLOCKS.sql} SELECT sql, kinds, where_id FROM blocks")
+@query("f19_large_blocks", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'write,erase,trim' END AS kinds, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderkey AS VARCHAR) END AS where_id, CASE WHEN o_orderkey % 3 = 0 THEN LENGTH(CAST(o_orderkey AS VARCHAR)) END AS amount FROM orders")
 def large_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = BLOCKS.df(spark).withColumn("p", redo.parse_large_block("sql"))
-    return p.select("sql", F.array_join(F.transform("p.edits", lambda e: e["edit"]), ",").alias("kinds"), F.try_element_at(F.col("p.where"), F.lit("ID"))["value"].alias("where_id"))
+    p = _block(spark, sf_dir).withColumn("p", redo.parse_large_block("sql"))
+    return p.select("o_orderkey", F.array_join(F.transform("p.edits", lambda e: e["edit"]), ",").alias("kinds"), F.try_element_at(F.col("p.where"), F.lit("ID"))["value"].alias("where_id"), F.get("p.edits", F.lit(0))["amount"].alias("amount"))
 
 
 @query("f18_large_edits", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE RPAD(LEFT('base', CASE WHEN o_orderkey % 3 = 0 THEN 4 ELSE 2 END), 5, ' ') || 'x' || o_orderstatus END AS value, o_orderkey % 3 <> 2 AS known FROM orders")

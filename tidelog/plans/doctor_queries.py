@@ -11,6 +11,7 @@ from tidelog.functions import errors
 from tidelog.operators import doctor, ops, scans
 from tidelog.plans.registry import query
 from tidelog.sources import derived as d
+from tidelog.sources.portable import Portable, choice
 from tidelog.sources.static import Static
 
 SAMPLE_SQL = """mr AS (SELECT CAST(1 + user_id % 2 AS BIGINT) AS container, 'APP' AS owner, CASE WHEN event_type = 'click' THEN NULL ELSE 'T' || CAST(user_id % 6 AS VARCHAR) END AS tab,
@@ -119,15 +120,37 @@ def one_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doctor.one_copy(copy(1, F.col("seq") % 3 != 0).unionByName(copy(2, F.col("seq") % 2 == 0)))
 
 
-@query("r3_redo_coverage", f"WITH {d.LOGS_SQL}, p AS (SELECT thread, seq, first_scn, LAG(seq) OVER (PARTITION BY thread ORDER BY seq) AS b FROM logs WHERE NOT deleted AND next_scn > 30000), h AS (SELECT thread, MIN(seq) AS from_seq, MIN(first_scn) AS f, SUM(CASE WHEN seq - b > 1 THEN seq - b - 1 ELSE 0 END) AS holes FROM p GROUP BY thread) SELECT thread, from_seq, f <= 30000 AND holes = 0 AS covered, CAST(holes AS BIGINT) AS holes FROM h")
+#: For SQL: each sequence number of a thread up to its newest, and whether its log is there. Plans are told from these, one number at a time.
+_EVERY_LOG = f"""{d.LOGS_SQL}, top AS (SELECT thread, MIN(seq) AS low, MAX(seq) AS high FROM logs GROUP BY thread),
+every AS (SELECT t.thread, s.seq, l.first_scn, l.next_scn, l.seq IS NOT NULL AND NOT l.deleted AS here FROM top t, LATERAL (SELECT UNNEST(GENERATE_SERIES(t.low, t.high)) AS seq) s LEFT JOIN logs l ON l.thread = t.thread AND l.seq = s.seq)"""
+
+
+@query(
+    "r3_redo_coverage",
+    f"""WITH {_EVERY_LOG}, p(position) AS (SELECT CAST(MAX(event_id) * 8 + 1000 AS BIGINT) FROM events),
+    f AS (SELECT t.thread, (SELECT MIN(seq) FROM every e, p WHERE e.thread = t.thread AND e.next_scn > position) AS start FROM top t)
+    SELECT f.thread, (SELECT MIN(seq) FROM every e, p WHERE e.thread = f.thread AND e.here AND e.next_scn > position) AS from_seq,
+      EXISTS (SELECT 1 FROM every e, p WHERE e.thread = f.thread AND e.here AND e.first_scn <= position AND e.next_scn > position) AND NOT EXISTS (SELECT 1 FROM every e WHERE e.thread = f.thread AND e.seq >= f.start AND NOT e.here) AS covered,
+      (SELECT COUNT(*) FROM every e WHERE e.thread = f.thread AND e.seq >= f.start AND NOT e.here) AS holes FROM f""",
+)
 def redo_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return doctor.coverage(d.logs(spark, sf_dir), 30000)
+    position = d.events(spark, sf_dir).agg(F.max("event_id") * 8 + 1000).first()[0]  # the position that the report is asked for
+    return doctor.coverage(d.logs(spark, sf_dir), position)
 
 
-@query("r5_r6_position_plans", f"WITH {d.LOGS_SQL}, t(target) AS (VALUES (CAST(500 AS BIGINT)), (30000), (999999999)), m AS (SELECT MIN(CASE WHEN NOT deleted THEN first_scn END) AS low, MAX(first_scn) AS high FROM logs) SELECT target, CASE WHEN target > high THEN 'beyond the end' WHEN target < low THEN 'redo is gone' WHEN target > 20000 THEN 'needs allow-skip' ELSE 'ok' END AS plan FROM t, m")
+@query(
+    "r5_r6_position_plans",
+    f"""WITH {_EVERY_LOG}, now AS (SELECT MAX(event_id) * 10 + 1000 AS current FROM events), t AS (SELECT DISTINCT first_scn + 5 AS target FROM logs UNION SELECT 500 UNION SELECT 9999999999)
+    SELECT target, CASE WHEN target > current THEN 'beyond the end'
+      WHEN EXISTS (SELECT 1 FROM top WHERE NOT EXISTS (SELECT 1 FROM every e WHERE e.thread = top.thread AND e.here AND e.first_scn <= target AND e.next_scn > target)) THEN 'redo is gone'
+      WHEN EXISTS (SELECT 1 FROM every e JOIN every x ON x.thread = e.thread AND x.seq > e.seq AND NOT x.here WHERE e.here AND e.first_scn <= target AND e.next_scn > target) THEN 'redo is gone'
+      WHEN target > 20000 THEN 'needs allow-skip' ELSE 'ok' END AS plan FROM t, now""",
+)
 def position_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    targets = spark.createDataFrame([(500,), (30000,), (999999999,)], "target long")
-    return doctor.position_plans(d.logs(spark, sf_dir), targets, 20000)
+    logs = d.logs(spark, sf_dir)
+    targets = logs.select((F.col("first_scn") + 5).alias("target")).union(spark.createDataFrame([(500,), (9999999999,)], "target long")).distinct()
+    current = d.events(spark, sf_dir).agg((F.max("event_id") * 10 + 1000).alias("current"))
+    return doctor.position_plans(logs, targets, 20000, current=current)
 
 
 #: Positions and tables of the plans that the query asks for, and whether unlisted tables may lose a gap.
@@ -215,9 +238,22 @@ LAGS = Static("lags", "id long, behind_ms long, steps long, timeouts long, repla
 ))
 
 
-@query("r2_t7_lag_causes", f"WITH {LAGS.sql} SELECT id, causes FROM lags")
+#: A pair of samples an event.
+SAMPLES = Portable("lags", "events", {
+    "id": "event_id", "behind_ms": "event_id * 37 % 60000", "steps": "event_id % 4", "timeouts": "CASE WHEN event_id % 13 = 0 THEN 2 ELSE 0 END", "replays": "CASE WHEN event_id % 17 = 0 THEN 1 ELSE 0 END", "step_ms": "event_id * 31 % 12000",
+    "fill_before": "CAST(event_id % 21 AS DOUBLE) / 20", "fill_after": "CAST(event_id % 11 AS DOUBLE) / 10", "scn_growth": "event_id % 3", "events": "event_id * 911 % 400000", "open_tx": "event_id % 6", "spilled_bytes": "CASE WHEN event_id % 29 = 0 THEN 7 ELSE 0 END",
+})
+
+
+@query(
+    "r2_t7_lag_causes",
+    f"""WITH {SAMPLES.sql}, f AS (SELECT *, LEAST(fill_before, fill_after) >= {doctor.QUEUE_FULL} AS is_full FROM lags),
+    c AS (SELECT id, 'KAFKA' AS cause, 1 + fill_after AS score FROM f WHERE is_full UNION ALL SELECT id, 'LARGE_TRANSACTION', CASE WHEN spilled_bytes > 0 THEN 1.2 ELSE 0.9 END FROM f WHERE spilled_bytes > 0 OR (events >= {doctor.LARGE_EVENTS} AND open_tx IN (1, 2, 3))
+      UNION ALL SELECT id, 'MINING', CASE WHEN timeouts > 0 THEN 1.4 ELSE LEAST(1.3, GREATEST(0.6, step_ms / 8000.0)) END FROM f WHERE timeouts > 0 OR (NOT is_full AND step_ms >= 5000) UNION ALL SELECT id, 'LAG_REPLAY', 1.1 FROM f WHERE replays > 0)
+    SELECT id, COALESCE((SELECT STRING_AGG(cause, ',' ORDER BY score DESC, cause) FROM c WHERE c.id = f.id), CASE WHEN behind_ms >= {doctor.LAG_MS} OR timeouts > 0 OR is_full OR (scn_growth > 0 AND steps = 0) THEN 'UNCLEAR' ELSE 'NONE' END) AS causes FROM f""",
+)
 def lag_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranked_causes(LAGS.df(spark))
+    return ranked_causes(SAMPLES.df(spark, sf_dir))
 
 
 def ranked_causes(lags: DataFrame) -> DataFrame:
@@ -231,12 +267,13 @@ def catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/customer.parquet").groupBy("c_nationkey").agg(F.count("*").alias("n"), (F.count("*") > 0).alias("present"))
 
 
-DESTS = Static("dests", "id long, valid boolean, local boolean, name string", ((3, True, True, "c"), (1, False, True, "a"), (2, True, True, "b"), (4, True, False, "d")))
+#: A destination a supplier, some of each nation's in use and on its machine.
+DESTS = Portable("dests", "supplier", {"site": "s_nationkey", "id": "s_suppkey", "valid": "s_acctbal > 0", "local": "s_suppkey % 3 <> 1"})
 
 
-@query("archive_destination", f"WITH {DESTS.sql} SELECT MIN(id) AS dest FROM dests WHERE valid AND local")
+@query("archive_destination", "SELECT s_nationkey AS site, (SELECT s.s_suppkey FROM supplier s WHERE s.s_nationkey = n.s_nationkey AND s.s_acctbal > 0 AND s.s_suppkey % 3 <> 1 ORDER BY s.s_suppkey LIMIT 1) AS dest FROM (SELECT DISTINCT s_nationkey FROM supplier) n")
 def archive_destination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return DESTS.df(spark).agg(F.min(F.when(F.col("valid") & F.col("local"), F.col("id"))).alias("dest"))
+    return DESTS.df(spark, sf_dir).groupBy("site").agg(F.min(F.when(F.col("valid") & F.col("local"), F.col("id"))).alias("dest"))
 
 
 SIGNALS = Static("signals", "body string, kind string, tables string", (('{"id":"1","type":"snapshot","data":{"tables":["A","B"]}}', "snapshot", "A,B"), ('{"id":"2","type":"log-state"}', "log-state", None), ('{"id":"3","type":"dance"}', "unknown", None), ("nonsense", "unreadable", None)))
@@ -244,11 +281,20 @@ SIGNALS = Static("signals", "body string, kind string, tables string", (('{"id":
 SIGNAL_TYPES = ["snapshot", "snapshot-pause", "snapshot-resume", "snapshot-stop", "refresh-tables", "log-state"]
 
 
-@query("s17_signals", f"WITH {SIGNALS.sql} SELECT body, kind, tables FROM signals")
-def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def read_signals(bodies: DataFrame) -> DataFrame:
+    """Signals with what they command: ``kind``, and the tables they name."""
     p = F.from_json("body", "id string, type string, data struct<tables:array<string>>")
     kind = F.when(p["type"].isNull(), "unreadable").when(p["type"].isin(SIGNAL_TYPES), p["type"]).otherwise("unknown")
-    return SIGNALS.df(spark).select("body", kind.alias("kind"), F.when(p["data"]["tables"].isNotNull(), F.array_join(p["data"]["tables"], ",")).alias("tables"))
+    return bodies.select("*", kind.alias("kind"), F.when(p["data"]["tables"].isNotNull(), F.array_join(p["data"]["tables"], ",")).alias("tables"))
+
+
+@query("s17_signals", "SELECT o_orderkey AS id, CASE o_orderkey % 5 WHEN 0 THEN 'snapshot' WHEN 1 THEN 'snapshot-stop' WHEN 2 THEN 'refresh-tables' WHEN 3 THEN 'unknown' ELSE 'unreadable' END AS kind, CASE WHEN o_orderkey % 5 = 0 THEN 'T' || o_custkey || ',' || o_orderstatus END AS tables FROM orders")
+def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A signal an order."""
+    key = F.col("o_orderkey")
+    body = F.to_json(F.struct(key.cast("string").alias("id"), F.when(key % 5 == 0, "snapshot").when(key % 5 == 1, "snapshot-stop").when(key % 5 == 2, "refresh-tables").otherwise("dance").alias("type"), F.when(key % 5 == 0, F.struct(F.array(F.concat(F.lit("T"), F.col("o_custkey").cast("string")), F.col("o_orderstatus")).alias("tables"))).alias("data")))
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(key.alias("id"), F.when(key % 5 == 4, F.concat(F.lit("nonsense "), key.cast("string"))).otherwise(body).alias("body"))
+    return read_signals(rows).select("id", "kind", "tables")
 
 
 @query("s16_ops_events", f"WITH {d.ROWS_SQL} SELECT 'transaction-discarded' AS type, con_id, user_id, sqn, start_scn AS at FROM tx WHERE end_code = 36 UNION ALL SELECT 'transaction-open', con_id, user_id, sqn, start_scn FROM tx WHERE end_code IS NULL")
@@ -278,43 +324,47 @@ def ops_event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     aged = ops.records(open_.where("user_id % 3 = 0"), "transaction-discarded", "db", c("t1"), c("a"), **own, user=c("user_id"), age_ms=F.when(c("t1") > c("t0"), c("t1") - c("t0")))
     gone = ops.records(open_.where("user_id % 3 <> 0"), "transaction-orphan-released", "db", c("t1"), c("a"), **own, reason=F.lit("absent"), client_id=none)
     split = ops.records(done, "transaction-split", "db", c("t1"), none, xid=c("xid"), commit_scn=c("end_scn"), events=c("n"), kafka_transactions=F.expr("(n + 1) div 2"))
-    said = signals(spark, sf_dir).select("*", F.get_json_object("body", "$.id").alias("id"), F.get_json_object("body", "$.type").alias("said"))
+    said = read_signals(SIGNALS.df(spark).select("body")).select("*", F.get_json_object("body", "$.id").alias("id"), F.get_json_object("body", "$.type").alias("said"))
     outcome = F.when(c("kind") == "unknown", "unknown").when(c("kind") == "unreadable", "invalid").otherwise("ok")
     acks = ops.records(said, "signal-ack", "db", F.lit(0), none, id=c("id"), type=c("said"), outcome=outcome)
     text = F.array_join(F.transform(F.map_entries("details"), lambda p: F.concat_ws("=", p["key"], p["value"])), ";")
     return reduce(DataFrame.unionByName, [aged, gone, split, acks]).withColumn("details", text)
 
 
-CLASSES_SQL = """SELECT CAST(range AS BIGINT) AS ora,
+CLASSES_SQL = """SELECT l_orderkey, l_linenumber, CAST(range AS BIGINT) AS ora,
 CASE WHEN range IN (1031, 942, 1017, 28000, 1045) THEN 'CDC-5002' WHEN range IN (310, 334, 1289, 1291, 1368, 1013) THEN 'CDC-1002' WHEN range IN (1284, 308, 1285, 16226) THEN 'CDC-2002'
 WHEN range IN (28, 31, 3113, 3114, 3135, 12170, 12541, 12514, 12516, 12528, 12537, 12543, 1033, 1034, 1089, 1090, 1092, 1109, 16331, 17002, 17008, 17410, 17800, 25408, 4068) THEN 'CDC-1001'
 WHEN range IN (1555, 8181) THEN 'CDC-8001' END AS code,
 CASE WHEN range IN (310, 334, 1289, 1291, 1368, 1013) THEN 'mine again' WHEN range IN (1555, 8181) THEN 'split' WHEN range = 1466 THEN 'wait'
-WHEN range IN (28, 31, 3113, 3114, 3135, 12170, 12541, 12514, 12516, 12528, 12537, 12543, 1033, 1034, 1089, 1090, 1092, 1109, 16331, 17002, 17008, 17410, 17800, 25408, 4068) THEN 'retry' ELSE 'stop' END AS action FROM RANGE(1, 32768)"""
+WHEN range IN (28, 31, 3113, 3114, 3135, 12170, 12541, 12514, 12516, 12528, 12537, 12543, 1033, 1034, 1089, 1090, 1092, 1109, 16331, 17002, 17008, 17410, 17800, 25408, 4068) THEN 'retry' ELSE 'stop' END AS action FROM (SELECT l_orderkey, l_linenumber, 1 + (l_orderkey * 7 + l_linenumber * 4096) % 32767 AS range FROM lineitem)"""
 
 
 @query("r9_k18_error_classes", CLASSES_SQL)
 def error_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every number that an error of the source may have."""
-    rows = spark.range(1, 32768).withColumnRenamed("id", "ora")
+    """An error number for each line, over all that a source may have."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("ora", (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 4096) % 32767 + 1)
     code, action = errors.classify(F.col("ora"))
-    return rows.select("ora", code.alias("code"), action.alias("action"))
+    return rows.select("l_orderkey", "l_linenumber", F.col("ora").cast("long").alias("ora"), code.alias("code"), action.alias("action"))
 
 
-WRAPPED = Static("wrapped", "id long, message string, ora long", (
-    (1, "ORA-00604: error occurred at recursive SQL level 1 ORA-01284: file cannot be opened ORA-00308: cannot open", 1284), (2, "ORA-00604: error occurred at recursive SQL level 1", 604), (3, "IO error", None),
-    (4, "ORA-03113: end-of-file", 3113), (5, "ORA-00604: x ORA-00604: y ORA-12541: z", 12541), (6, None, None),
-))
+_CODE = "'ORA-' || LPAD(CAST(700 + o_orderkey % 30000 AS STRING), 5, '0') || ': it failed'"
+#: A message an order: a code within one or two recursive ones, alone, none at all.
+WRAPPED = Portable("wrapped", "orders", {"id": "o_orderkey", "message": choice("o_orderkey", f"'ORA-00604: error occurred at recursive SQL level 1 ' || {_CODE} || ' ORA-00308: cannot open'", "'ORA-00604: error occurred at recursive SQL level 1'", "'IO error ' || o_orderstatus", _CODE, f"'ORA-00604: x ORA-00604: y ' || {_CODE}", "NULL")})
 
 
-@query("r9_effective_code", f"WITH {WRAPPED.sql} SELECT id, ora FROM wrapped")
+@query("r9_effective_code", "SELECT o_orderkey AS id, CAST(CASE WHEN o_orderkey % 6 IN (0, 3, 4) THEN 700 + o_orderkey % 30000 WHEN o_orderkey % 6 = 1 THEN 604 END AS BIGINT) AS ora FROM orders")
 def effective_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return WRAPPED.df(spark).select("id", errors.effective_code(F.col("message")).alias("ora"))
+    return WRAPPED.df(spark, sf_dir).select("id", errors.effective_code(F.col("message")).alias("ora"))
+
+
+_CODES = "CDC-1001 transient-database,CDC-1002 mining-step-retry,CDC-2001 log-gap,CDC-2002 log-purged,CDC-3001 decode,CDC-3002 corruption,CDC-3003 lob-too-large,CDC-4001 buffer-exhausted,CDC-4002 journal-corruption,CDC-4003 mining-stalled,CDC-4004 transaction-too-old,CDC-5001 topology,CDC-5002 privilege,CDC-6001 dictionary-unavailable,CDC-6002 unsupported-ddl,CDC-6003 schema-mismatch,CDC-6004 name-collision,CDC-7001 orphan-release-violation,CDC-7002 orphan-transaction,CDC-7003 resume-floor-violation,CDC-8001 snapshot-too-old"
 
 
-@query("r9_error_codes", "SELECT substr(x, 1, 8) AS code, substr(x, 10) AS name, substr(x, 1, 5) = 'CDC-1' AS goes_on FROM (SELECT UNNEST(STRING_SPLIT('CDC-1001 transient-database,CDC-1002 mining-step-retry,CDC-2001 log-gap,CDC-2002 log-purged,CDC-3001 decode,CDC-3002 corruption,CDC-3003 lob-too-large,CDC-4001 buffer-exhausted,CDC-4002 journal-corruption,CDC-4003 mining-stalled,CDC-4004 transaction-too-old,CDC-5001 topology,CDC-5002 privilege,CDC-6001 dictionary-unavailable,CDC-6002 unsupported-ddl,CDC-6003 schema-mismatch,CDC-6004 name-collision,CDC-7001 orphan-release-violation,CDC-7002 orphan-transaction,CDC-7003 resume-floor-violation,CDC-8001 snapshot-too-old', ',')) AS x)")
+@query("r9_error_codes", f"WITH k AS ({CLASSES_SQL}), c AS (SELECT UNNEST(STRING_SPLIT('{_CODES}', ',')) AS x) SELECT substr(x, 1, 8) AS code, substr(x, 10) AS name, substr(x, 1, 5) = 'CDC-1' AS goes_on, (SELECT COUNT(*) FROM k WHERE k.code = substr(x, 1, 8)) AS errors FROM c")
 def error_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return errors.codes(spark)
+    """The typed codes, and how many of the errors in hand have each."""
+    found = error_classes(spark, sf_dir).groupBy("code").agg(F.count("*").alias("errors"))
+    return errors.codes(spark).join(found, "code", "left").withColumn("errors", F.coalesce("errors", F.lit(0).cast("long")))
 
 
 @query("r11_workload_ledger", f"WITH {d.SURVIVORS_SQL} SELECT con_id, user_id, sqn, CAST(COUNT(*) AS BIGINT) AS ops, CAST(SUM(CASE WHEN op_code = 1 THEN 1 ELSE 0 END) AS BIGINT) AS inserts, CAST(SUM(CASE WHEN op_code = 3 THEN 1 ELSE 0 END) AS BIGINT) AS updates, CAST(SUM(CASE WHEN op_code = 2 THEN 1 ELSE 0 END) AS BIGINT) AS deletes FROM sv GROUP BY con_id, user_id, sqn")

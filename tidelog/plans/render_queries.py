@@ -9,7 +9,7 @@ from tidelog.operators import render, scans
 from tidelog.plans.registry import query
 from tidelog.plans.transaction_queries import survivors
 from tidelog.sources import derived as d
-from tidelog.sources.static import Static
+from tidelog.sources.portable import Portable, choice
 
 TX = d.TX
 
@@ -80,13 +80,14 @@ def truncates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleared.unionByName(rows.where("op_code = 1 and event_id % 500 <> 0").select("tab", F.lit("c").alias("op"), F.col("rid").alias("key"), "scn"))
 
 
-LARGE = Static("upd", "id long, name_before string, name_after string, note_before string, note_after string", ((1, "a", "a", "x", "y"), (2, "a", "b", "x", "y"), (3, None, None, "x", "y"), (4, None, "a", "x", "x")))
+#: Updates by line: the name may change, be lacking on a side or stay; the note, a large value, changes or stays.
+LARGE = Portable("upd", "lineitem", {"id": "l_orderkey * 10 + l_linenumber", "name_before": choice("l_orderkey", "l_returnflag", "l_returnflag", "NULL", "NULL"), "name_after": choice("l_orderkey", "l_returnflag", "l_linestatus", "NULL", "l_returnflag"), "note_before": "'x'", "note_after": choice("l_linenumber", "'x'", "l_returnflag")})
 
 
-@query("p17_large_only_updates", f"WITH {LARGE.sql} SELECT id, name_before IS NOT DISTINCT FROM name_after AS suppressed FROM upd")
+@query("p17_large_only_updates", "SELECT l_orderkey * 10 + l_linenumber AS id, CASE l_orderkey % 4 WHEN 0 THEN TRUE WHEN 1 THEN l_returnflag = l_linestatus WHEN 2 THEN TRUE ELSE FALSE END AS suppressed FROM lineitem")
 def large_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     image = lambda side: F.create_map(F.lit("NAME"), F.col(f"name_{side}"), F.lit("NOTE"), F.col(f"note_{side}"))
-    return LARGE.df(spark).select("id", render.only_large_changed(image("before"), image("after"), ["NOTE"]).alias("suppressed"))
+    return LARGE.df(spark, sf_dir).select("id", render.only_large_changed(image("before"), image("after"), ["NOTE"]).alias("suppressed"))
 
 
 @query("p18_joined_keys", "SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) || '_' || o_orderstatus END AS key FROM orders")
@@ -95,25 +96,28 @@ def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", render.joined_key("o_orderkey", "status").alias("key"))
 
 
-FIELD_NAMES = Static("fields", "tab string, name string", (("T", "AMOUNT"), ("T", "a b"), ("T", "a-b"), ("T", "1ST"), ("T", "x$y"), ("U", "OP_TYPE"), ("U", "c_d")))
+#: A table a brand, a column a part: names with spaces, dashes, leading digits, and some that meet once adjusted.
+FIELD_NAMES = Portable("fields", "part", {"tab": "p_brand", "name": choice("p_partkey", "p_type || ' A'", "p_type || '-A'", "CAST(p_size AS STRING) || 'ST_' || p_type", "CHR(36) || p_name")})
+_CLEAN = "c AS (SELECT tab, name, REGEXP_REPLACE(name, '[^A-Za-z0-9_]', '_', 'g') AS s FROM fields), a AS (SELECT tab, name, CASE WHEN REGEXP_MATCHES(s, '^[0-9]') THEN '_' || s ELSE s END AS adjusted FROM c)"
 
 
-@query("p19_avro_names", f"WITH {FIELD_NAMES.sql}, c AS (SELECT tab, name, REGEXP_REPLACE(name, '[^A-Za-z0-9_]', '_', 'g') AS s FROM fields) SELECT tab, name, CASE WHEN REGEXP_MATCHES(s, '^[0-9]') THEN '_' || s ELSE s END AS adjusted FROM c")
+@query("p19_avro_names", f"WITH {FIELD_NAMES.sql}, {_CLEAN} SELECT tab, name, adjusted FROM a")
 def avro_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FIELD_NAMES.df(spark).withColumn("adjusted", render.adjust_name(F.col("name"), "AVRO"))
+    return FIELD_NAMES.df(spark, sf_dir).withColumn("adjusted", render.adjust_name(F.col("name"), "AVRO"))
 
 
-UNICODE_NAMES = Static("want", "name string, adjusted string", (("AMOUNT", "AMOUNT"), ("a b", "a_u0020b"), ("1ST", "_u0031ST"), ("c_d", "c_u005fd"), ("x$y", "x_u0024y")))
-
-
-@query("p19_avro_unicode_names", f"WITH {UNICODE_NAMES.sql} SELECT name, adjusted FROM want")
+@query(
+    "p19_avro_unicode_names",
+    f"""WITH {FIELD_NAMES.sql}, r AS (SELECT tab, name, REPLACE(REPLACE(REPLACE(REPLACE(REPLACE(name, '_', '_u005f'), ' ', '_u0020'), '-', '_u002d'), CHR(36), '_u0024'), '#', '_u0023') AS s FROM fields)
+    SELECT tab, name, CASE WHEN REGEXP_MATCHES(s, '^[0-9]') THEN '_u003' || LEFT(s, 1) || SUBSTR(s, 2) ELSE s END AS adjusted FROM r""",
+)
 def avro_unicode_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return UNICODE_NAMES.df(spark).select("name", render.adjust_name(F.col("name"), "AVRO_UNICODE").alias("adjusted"))
+    return FIELD_NAMES.df(spark, sf_dir).select("tab", "name", render.adjust_name(F.col("name"), "AVRO_UNICODE").alias("adjusted"))
 
 
-@query("p20_name_collisions", f"WITH {FIELD_NAMES.sql}, c AS (SELECT tab, name, REGEXP_REPLACE(name, '[^A-Za-z0-9_]', '_', 'g') AS s FROM fields) SELECT tab, CASE WHEN REGEXP_MATCHES(s, '^[0-9]') THEN '_' || s ELSE s END AS adjusted, CAST(COUNT(*) AS BIGINT) AS n FROM c GROUP BY ALL HAVING COUNT(*) > 1")
+@query("p20_name_collisions", f"WITH {FIELD_NAMES.sql}, {_CLEAN}, d AS (SELECT DISTINCT tab, name, adjusted FROM a) SELECT tab, adjusted, CAST(COUNT(*) AS BIGINT) AS n FROM d GROUP BY ALL HAVING COUNT(*) > 1")
 def name_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return avro_names(spark, sf_dir).groupBy("tab", "adjusted").agg(F.count("*").alias("n")).where("n > 1")
+    return avro_names(spark, sf_dir).distinct().groupBy("tab", "adjusted").agg(F.count("*").alias("n")).where("n > 1")
 
 
 @query("p21_headers", f"WITH {d.SURVIVORS_SQL} SELECT event_id, CAST(scn AS VARCHAR) AS h_scn, CAST(commit_scn AS VARCHAR) AS h_commit_scn, CONCAT(con_id, '.', user_id, '.', sqn) AS h_xid, CAST(event_index AS VARCHAR) AS h_index, CAST(event_count AS VARCHAR) AS h_count FROM sv")
@@ -155,12 +159,13 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render.dead_letters(rows, F.when(eid % 101 == 5, "bad literal"), "sql_redo", F.col("tab") == "CARTS").select("event_id", "kind", "exception", "sql_redo")
 
 
-COLUMNS = Static("cols", "fqn string, col string", (("P.APP.ITEMS", "ID"), ("P.APP.ITEMS", "SECRET_A"), ("P.APP.CARTS", "secret_b"), ("P.APP.CARTS", "TOTAL")))
+#: A table a brand, a column a part; some names are secret, in either case.
+COLUMNS = Portable("cols", "part", {"id": "p_partkey", "fqn": "'P.APP.' || p_brand", "col": choice("p_partkey", "p_type", "'SECRET_' || p_type", "'secret_' || p_name", "p_name")})
 
 
-@query("p6_p7_column_exclusion", f"WITH {COLUMNS.sql} SELECT fqn, col, REGEXP_MATCHES(fqn || '.' || col, '(?i)^(?:.*\\.SECRET_.*)$') AS excluded, BOOL_OR(REGEXP_MATCHES(fqn || '.' || col, '(?i)^(?:.*\\.SECRET_.*)$')) OVER (PARTITION BY fqn) AS statement_withheld FROM cols")
+@query("p6_p7_column_exclusion", f"WITH {COLUMNS.sql} SELECT id, p_partkey % 4 IN (1, 2) AS excluded, EXISTS (SELECT 1 FROM part q WHERE q.p_brand = part.p_brand AND q.p_partkey % 4 IN (1, 2)) AS statement_withheld FROM cols JOIN part ON p_partkey = id")
 def column_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    rows = COLUMNS.df(spark).withColumn("excluded", scans.whole(F.concat_ws(".", "fqn", "col"), [r".*\.SECRET_.*"]))
-    return rows.withColumn("statement_withheld", F.max("excluded").over(Window.partitionBy("fqn")))
+    """A table's statements are withheld where one of its columns is excluded: told once a table, and joined."""
+    rows = COLUMNS.df(spark, sf_dir).withColumn("excluded", scans.whole(F.concat_ws(".", "fqn", "col"), [r".*\.SECRET_.*"]))
+    tables = rows.groupBy("fqn").agg(F.max("excluded").alias("statement_withheld"))
+    return rows.join(tables, "fqn").select("id", "excluded", "statement_withheld")

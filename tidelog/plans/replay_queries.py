@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelog.operators import replay, scans, schema
+from tidelog.operators import cuts, replay, scans, schema
 from tidelog.plans.registry import query
 from tidelog.plans.transaction_queries import survivors
 from tidelog.sources import derived as d
+from tidelog.sources.portable import Portable, choice
 from tidelog.sources.static import Static
 
 TX = d.TX
@@ -29,9 +32,12 @@ def schema_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema.by_number(rows, VERSIONS.df(spark)).select("event_id", "version", "valid_from")
 
 
-@query("w17_schema_pruning", f"WITH {VERSIONS.sql}, n AS (SELECT *, MAX(CASE WHEN valid_from <= 40000 THEN valid_from END) OVER (PARTITION BY tab) AS newest FROM versions) SELECT tab, version FROM n WHERE newest IS NULL OR valid_from >= newest")
+LINE_VERSIONS = Portable("versions", "lineitem", {"tab": "l_orderkey", "version": "l_linenumber", "valid_from": "l_orderkey * 7 % 1000 + l_linenumber * 1000"})
+
+
+@query("w17_schema_pruning", f"WITH {LINE_VERSIONS.sql} SELECT tab, version FROM versions v WHERE valid_from >= 3500 OR NOT EXISTS (SELECT 1 FROM versions w WHERE w.tab = v.tab AND w.valid_from <= 3500 AND w.version > v.version)")
 def schema_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return schema.prune(VERSIONS.df(spark), 40000).select("tab", "version")
+    return schema.prune(LINE_VERSIONS.df(spark, sf_dir), 3500).select("tab", "version")
 
 
 @query("k16_lagging_columns", f"WITH {d.ROWS_SQL}, {WITH_TO} SELECT event_id, 'COL ' || CAST(1 + event_id % 3 AS VARCHAR) AS named, NULLIF(SPLIT_PART(vt.columns, ',', CAST(1 + event_id % 3 AS INTEGER)), '') AS resolved FROM e JOIN vt ON vt.tab = e.tab AND scn >= valid_from AND (valid_to IS NULL OR scn < valid_to)")
@@ -52,14 +58,30 @@ DDL = Static("ddl", "stmt string, kind string", (
 ))
 
 
-@query("f15_ddl_kinds", f"WITH {DDL.sql} SELECT stmt, kind FROM ddl")
+_TAB = "LOWER(c_mktsegment) || CAST(c_custkey AS STRING)"
+
+
+def _statement(stmt: str | None) -> str:
+    """The statement as an expression, its table ``t`` named after a customer."""
+    pieces = re.split(r"\bt\b", stmt) if stmt is not None else []
+    return f" || {_TAB} || ".join(f"'{x}'" for x in pieces) if pieces else "NULL"
+
+
+_NAMED = [(stmt, kind) for stmt, kind in DDL.rows if stmt is None or "'" not in stmt]
+STATEMENTS = Portable("statements", "customer", {"id": "c_custkey", "stmt": choice("c_custkey", *[_statement(stmt) for stmt, _ in _NAMED])})
+_KIND_SQL = choice("c_custkey", *[f"'{kind}'" for _, kind in _NAMED])
+
+
+@query("f15_ddl_kinds", f"SELECT c_custkey AS id, {_KIND_SQL} AS kind FROM customer")
 def ddl_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return DDL.df(spark).select("stmt", schema.ddl_kind(F.col("stmt")).alias("kind"))
+    return STATEMENTS.df(spark, sf_dir).select("id", schema.ddl_kind(F.col("stmt")).alias("kind"))
 
 
-@query("f16_step_cuts", f"WITH {DDL.sql} SELECT stmt, kind IN ('CREATE_TABLE', 'DROP_TABLE') OR (kind IN ('PARTITION', 'RENAME_TABLE') AND stmt LIKE '%t %') AS cuts FROM ddl")
+@query("f16_step_cuts", f"SELECT c_custkey AS id, kind IN ('CREATE_TABLE', 'DROP_TABLE') OR (kind IN ('PARTITION', 'RENAME_TABLE') AND c_nationkey % 2 = 0) AS cuts FROM (SELECT *, {_KIND_SQL} AS kind FROM customer)")
 def step_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ddl_kinds(spark, sf_dir).select("stmt", schema.cuts_step(F.col("kind"), F.col("stmt").like("%t %")).alias("cuts"))
+    """Customers of even nations stand for captured tables."""
+    captured = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("id"), (F.col("c_nationkey") % 2 == 0).alias("captured"))
+    return ddl_kinds(spark, sf_dir).join(captured, "id").select("id", schema.cuts_step(F.col("kind"), F.col("captured")).alias("cuts"))
 
 
 @query("k15_versions_from_ddl", "WITH l AS (SELECT event_type AS tab, event_id AS scn, CAST(FLOOR(user_id / 40.0) AS BIGINT) AS layout FROM events), c AS (SELECT *, LAG(layout) OVER (PARTITION BY tab ORDER BY scn) AS b FROM l) SELECT tab, CAST(ROW_NUMBER() OVER (PARTITION BY tab ORDER BY scn) AS BIGINT) AS version, scn AS valid_from, layout FROM c WHERE layout IS DISTINCT FROM b")
@@ -68,12 +90,13 @@ def versions_from_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema.versions_of(rows)
 
 
-KEYS = Static("keys", "tab string, override string, pk string, uniq string", (("A", "X", "P", None), ("B", None, "P", "U"), ("C", None, None, "U"), ("D", None, None, None)))
+#: A table a part: an override, a primary key and a unique index, each there or not.
+KEYS = Portable("keys", "part", {"id": "p_partkey", "override": "CASE WHEN p_size < 5 THEN p_brand END", "pk": "CASE WHEN p_size % 3 = 0 THEN p_name END", "uniq": "CASE WHEN p_partkey % 2 = 0 THEN p_type END"})
 
 
-@query("key_selection", f"WITH {KEYS.sql} SELECT tab, CASE WHEN override IS NOT NULL THEN 'OVERRIDE' WHEN pk IS NOT NULL THEN 'PRIMARY_KEY' WHEN uniq IS NOT NULL THEN 'UNIQUE_INDEX' ELSE 'ROWID' END AS source FROM keys")
+@query("key_selection", "SELECT p_partkey AS id, CASE WHEN p_size < 5 THEN 'OVERRIDE' WHEN p_size % 3 = 0 THEN 'PRIMARY_KEY' WHEN p_partkey % 2 = 0 THEN 'UNIQUE_INDEX' ELSE 'ROWID' END AS source FROM part")
 def key_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return KEYS.df(spark).select("tab", schema.key_source(F.col("override"), F.col("pk"), F.col("uniq"), "ROWID").alias("source"))
+    return KEYS.df(spark, sf_dir).select("id", schema.key_source(F.col("override"), F.col("pk"), F.col("uniq"), "ROWID").alias("source"))
 
 
 @query("j14_dictionary_joins", "SELECT n.n_name, r.r_name FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_nationkey = n.n_nationkey AND c.c_acctbal < -900)")
@@ -135,13 +158,14 @@ def whole_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name", F.lit("r").alias("op"))
 
 
-TABLES = Static("tabs", "tab string, keys string, types string, nullable boolean, iot boolean", (("A", "ID", "NUMBER", False, False), ("B", "ID,D", "NUMBER,RAW", False, False), ("C", "", "", False, True), ("D", "", "", False, False), ("E", "ID", "NUMBER", True, True)))
+#: A table a part: its key columns and their types, whether one may be null, whether it is index-organised.
+TABLES = Portable("tabs", "part", {"id": "p_partkey", "keys": choice("p_partkey", "'ID'", "'ID,D'", "''"), "types": choice("p_partkey", "'NUMBER'", "CASE WHEN p_size > 25 THEN 'NUMBER,RAW' ELSE 'NUMBER,VARCHAR2' END", "''"), "nullable": "p_size % 4 = 0", "iot": "p_size % 5 < 2"})
 
 
-@query("s7_snapshot_strategy", f"WITH {TABLES.sql} SELECT tab, CASE WHEN keys <> '' AND NOT nullable AND types NOT LIKE '%RAW%' THEN 'KEY' WHEN iot THEN 'ALL' ELSE 'ROWID' END AS strategy FROM tabs")
+@query("s7_snapshot_strategy", "SELECT p_partkey AS id, CASE WHEN p_size % 4 <> 0 AND (p_partkey % 3 = 0 OR (p_partkey % 3 = 1 AND p_size <= 25)) THEN 'KEY' WHEN p_size % 5 < 2 THEN 'ALL' ELSE 'ROWID' END AS strategy FROM part")
 def strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = lambda c: F.filter(F.split(c, ","), lambda x: x != "")
-    return TABLES.df(spark).select("tab", replay.snapshot_strategy(parts("keys"), parts("types"), F.col("nullable"), F.col("iot")).alias("strategy"))
+    return TABLES.df(spark, sf_dir).select("id", replay.snapshot_strategy(parts("keys"), parts("types"), F.col("nullable"), F.col("iot")).alias("strategy"))
 
 
 @query("f21_bound_text", "SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'N:' ELSE 'n:' || CAST(o_orderkey AS VARCHAR) END AS low, 's:' || o_orderstatus AS status FROM orders")
@@ -165,31 +189,30 @@ def snapshot_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.groupBy("tab").agg(F.count("o_orderkey").alias("remaining"))
 
 
-JOURNAL = Static("journal", "xid string, chunk long, generation long, acknowledged long, events long, bytes long", (
-    ("a", 0, 1, 2, 10, 100), ("a", 0, 2, 2, 11, 110), ("a", 1, 2, 2, 5, 50), ("a", 2, 3, 2, 7, 70), ("b", 0, 1, 1, 3, 30), ("b", 2, 1, 1, 4, 40), ("c", 1, 1, 1, 9, 90),
-))
+#: The columns of a user's journal; queries derive one from events: a user's are the generations of a few chunks.
+JOURNAL = Static("journal", "xid string, chunk long, generation long, acknowledged long, events long, bytes long", ())
+ACTIVE = Static("active", "xid string", ())
+EVENT_JOURNAL = Portable("journal", "events", {"xid": "CAST(user_id AS STRING)", "chunk": "event_id % 3 + CASE WHEN user_id % 6 = 0 AND event_id % 3 = 2 THEN 1 ELSE 0 END", "generation": "event_id", "acknowledged": "(user_id % 5 + 1) * 150", "events": "event_id % 7 + 1", "bytes": "event_id * 3"})
 
 
-@query("w14_k12_journal_state", f"WITH {JOURNAL.sql}, g AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY xid, chunk ORDER BY generation DESC) AS r FROM journal WHERE generation <= acknowledged), n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY xid ORDER BY chunk) - 1 AS n FROM g WHERE r = 1) SELECT xid, chunk, generation, events FROM n WHERE chunk = n")
+@query("w14_k12_journal_state", f"WITH {EVENT_JOURNAL.sql}, g AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY xid, chunk ORDER BY generation DESC) AS r FROM journal WHERE generation <= acknowledged), n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY xid ORDER BY chunk) - 1 AS n FROM g WHERE r = 1) SELECT xid, chunk, generation, events FROM n WHERE chunk = n")
 def journal_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay.journal_state(JOURNAL.df(spark)).select("xid", "chunk", "generation", "events")
+    return replay.journal_state(EVENT_JOURNAL.df(spark, sf_dir)).select("xid", "chunk", "generation", "events")
 
 
-@query("a14_journal_summary", f"WITH {JOURNAL.sql} SELECT xid, CAST(COUNT(DISTINCT chunk) AS BIGINT) AS chunks, CAST(COUNT(DISTINCT generation) AS BIGINT) AS generations, CAST(SUM(events) AS BIGINT) AS events, CAST(SUM(bytes) AS BIGINT) AS bytes FROM journal GROUP BY xid")
+@query("a14_journal_summary", f"WITH {EVENT_JOURNAL.sql} SELECT xid, CAST(COUNT(DISTINCT chunk) AS BIGINT) AS chunks, CAST(COUNT(DISTINCT generation) AS BIGINT) AS generations, CAST(SUM(events) AS BIGINT) AS events, CAST(SUM(bytes) AS BIGINT) AS bytes FROM journal GROUP BY xid")
 def journal_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunks_by_transaction(JOURNAL.df(spark))
+    return chunks_by_transaction(EVENT_JOURNAL.df(spark, sf_dir))
 
 
 def chunks_by_transaction(journal: DataFrame) -> DataFrame:
     return journal.groupBy("xid").agg(F.count_distinct("chunk").alias("chunks"), F.count_distinct("generation").alias("generations"), F.sum("events").alias("events"), F.sum("bytes").alias("bytes"))
 
 
-ACTIVE = Static("active", "xid string", (("a",), ("d",)))
-
-
-@query("j16_journaled_transactions", f"WITH {JOURNAL.sql}, {ACTIVE.sql} SELECT DISTINCT j.xid, EXISTS (SELECT 1 FROM active a WHERE a.xid = j.xid) AS active FROM journal j")
+@query("j16_journaled_transactions", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS xid, user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) AS active FROM events")
 def journaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_activity(JOURNAL.df(spark), ACTIVE.df(spark))
+    active = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_acctbal > 0").select(F.col("c_custkey").cast("string").alias("xid"))
+    return with_activity(EVENT_JOURNAL.df(spark, sf_dir), active)
 
 
 def with_activity(journal: DataFrame, active: DataFrame) -> DataFrame:
@@ -236,6 +259,35 @@ def batch_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("con_id", "user_id", F.explode(F.arrays_zip("q", "b")).alias("z")).select("con_id", "user_id", F.col("z.q.sqn").alias("sqn"), F.col("z.b").alias("batch"))
 
 
+_SPLIT_SQL = f"""WITH RECURSIVE {d.SURVIVORS_SQL}, x AS (SELECT con_id, user_id, sqn, event_id, event_index, 40 + event_id * event_id % 61 AS bytes FROM sv),
+    f(con_id, user_id, sqn, event_id, event_index, n, b, first, cut) AS (SELECT con_id, user_id, sqn, event_id, event_index, 1, bytes, event_index, bytes >= 200 FROM x WHERE event_index = 0
+      UNION ALL SELECT x.con_id, x.user_id, x.sqn, x.event_id, x.event_index, CASE WHEN cut THEN 1 ELSE n + 1 END, CASE WHEN cut THEN x.bytes ELSE b + x.bytes END, CASE WHEN cut THEN x.event_index ELSE first END, CASE WHEN cut THEN x.bytes >= 200 ELSE n + 1 >= 4 OR b + x.bytes >= 200 END
+        FROM f JOIN x ON x.con_id = f.con_id AND x.user_id = f.user_id AND x.sqn = f.sqn AND x.event_index = f.event_index + 1)
+    SELECT event_id, first, cut FROM f"""
+
+
+@query("w15_split_by_bytes", _SPLIT_SQL)
+def split_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = survivors(spark, sf_dir).select(*TX, "event_id", "event_index", F.lit(1).alias("n"), (F.col("event_id") * F.col("event_id") % 61 + 40).alias("bytes"))
+    return cuts.resetting_cuts(rows, TX, "event_index", {"n": 4, "bytes": 200}).select("event_id", "first", "cut")
+
+
+_BATCHES_SQL = f"""WITH RECURSIVE {d.ROWS_SQL}, c AS (SELECT con_id, user_id % 16 AS shard, MAX(scn) + 1 AS end_scn, COUNT(*) AS n, SUM(40 + event_id % 61) AS bytes FROM e GROUP BY con_id, user_id, sqn),
+    o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY con_id, shard ORDER BY end_scn) AS rn FROM c),
+    f(con_id, shard, rn, end_scn, n, b, first, cut) AS (SELECT con_id, shard, rn, end_scn, n, CAST(bytes AS BIGINT), end_scn, n >= 12 OR bytes >= 700 FROM o WHERE rn = 1
+      UNION ALL SELECT o.con_id, o.shard, o.rn, o.end_scn, CASE WHEN cut THEN 0 ELSE f.n END + o.n, CAST(CASE WHEN cut THEN 0 ELSE b END + o.bytes AS BIGINT), CASE WHEN cut THEN o.end_scn ELSE first END,
+        CASE WHEN cut THEN 0 ELSE f.n END + o.n >= 12 OR CASE WHEN cut THEN 0 ELSE b END + o.bytes >= 700 OR o.end_scn - CASE WHEN cut THEN o.end_scn ELSE first END >= 3000 FROM f JOIN o ON o.con_id = f.con_id AND o.shard = f.shard AND o.rn = f.rn + 1)
+    SELECT con_id, shard, end_scn, first, cut FROM f"""
+
+
+@query("w16_batches_by_bytes_and_time", _BATCHES_SQL)
+def batches_by_bytes_and_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches end with a transaction; the position stands for the time."""
+    rows = d.data_rows(spark, sf_dir).groupBy(*TX).agg((F.max("scn") + 1).alias("end_scn"), F.count("*").alias("n"), F.sum(F.col("event_id") % 61 + 40).alias("bytes"))
+    rows = rows.select("con_id", (F.col("user_id") % 16).alias("shard"), "end_scn", "n", "bytes")
+    return cuts.resetting_cuts(rows, ["con_id", "shard"], "end_scn", {"n": 12, "bytes": 700}, clock="end_scn", span=3000).select("con_id", "shard", "end_scn", "first", "cut")
+
+
 STEPS = Static("steps", "run string, results string, final long", (("a", "fast,fast,fast,fast,fast", 16), ("b", "fast,fast,timeout", 2), ("c", "timeout,timeout,timeout", -1), ("d", "timeout,fast,timeout,timeout,ok", 1), ("e", "ok", 1)))
 
 

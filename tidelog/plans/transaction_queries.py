@@ -10,6 +10,7 @@ from tidelog.operators import scans
 from tidelog.operators import transactions as t
 from tidelog.plans.registry import query
 from tidelog.sources import derived as d
+from tidelog.sources.portable import Portable, choice
 from tidelog.sources.static import Static
 
 TX = d.TX
@@ -160,20 +161,20 @@ def user_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.where(scans.user_allowed(["BATCH"])).groupBy("op_code").agg(F.count("*").alias("n"))
 
 
-DDL_OWNERS = Static("ddl", "owner string, stmt string", (("SYS", "a"), ("APP", "b"), ("XDB", "c"), (None, "d"), ("app2", "e")))
+DDL_OWNERS = Portable("ddl", "customer", {"id": "c_custkey", "owner": choice("c_custkey", "'SYS'", "c_mktsegment", "'XDB'", "NULL", "'app' || CAST(c_nationkey AS STRING)", "'OJVMSYS'", "'GGSYS_' || CAST(c_nationkey AS STRING)")})
 
 
-@query("p4_system_owners", f"WITH {DDL_OWNERS.sql} SELECT owner, stmt FROM ddl WHERE owner IS NULL OR owner NOT IN ({', '.join(repr(o) for o in SYSTEM_OWNERS)})")
+@query("p4_system_owners", "SELECT c_custkey AS id FROM customer WHERE c_custkey % 7 NOT IN (0, 2, 5)")
 def system_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return DDL_OWNERS.df(spark).where(F.col("owner").isNull() | ~F.col("owner").isin(SYSTEM_OWNERS))
+    return DDL_OWNERS.df(spark, sf_dir).where(F.col("owner").isNull() | ~F.col("owner").isin(SYSTEM_OWNERS)).select("id")
 
 
-NAMES = Static("names", "pdb string, fqn string", (("P1", "P1.APP.ITEMS"), ("P1", "P1.APP.ITEMS_OLD"), ("P2", "P2.app.items"), ("P2", "P2.HR.PEOPLE"), ("P3", "P3.APP.ITEMS")))
+NAMES = Portable("names", "supplier", {"id": "s_suppkey", "pdb": "'P' || CAST(s_suppkey % 4 AS STRING)", "fqn": "'P' || CAST(s_suppkey % 4 AS STRING) || " + choice("s_suppkey", "'.APP.ITEMS'", "'.app.t'", "'.HR.PEOPLE'", "'.App.T'", "'.XAPP.T'") + " || CAST(s_nationkey AS STRING) || " + choice("s_nationkey", "''", "'_OLD'", "'_old'")})
 
 
-@query("p5_table_patterns", f"WITH {NAMES.sql} SELECT fqn FROM names WHERE pdb IN ('P1', 'P2') AND regexp_matches(fqn, '(?i)^(?:.*\\.app\\..*)$') AND NOT regexp_matches(fqn, '(?i)^(?:.*_OLD)$')")
+@query("p5_table_patterns", "SELECT s_suppkey AS id FROM supplier WHERE s_suppkey % 4 IN (1, 2) AND s_suppkey % 5 IN (0, 1, 3) AND s_nationkey % 3 = 0")
 def table_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return NAMES.df(spark).where(scans.table_selected("fqn", [r".*\.app\..*"], [r".*_OLD"], pdb="pdb", pdbs=["P1", "P2"])).select("fqn")
+    return NAMES.df(spark, sf_dir).where(scans.table_selected("fqn", [r".*\.app\..*"], [r".*_OLD"], pdb="pdb", pdbs=["P1", "P2"])).select("id")
 
 
 @query(

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions import types
+from tidelog.operators import schema
 from tidelog.plans.registry import query
+from tidelog.sources.portable import Portable, choice
 from tidelog.sources.static import Static
 
 COLUMNS = Static("cols", "name string, p int, s int, kind string, envelope string, flat string, flat_fit string", (
@@ -41,40 +43,48 @@ def settings_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("name", F.coalesce("action", F.lit("manual")).alias("action"), "target", F.when(F.col("action") == "rename", F.col("value")).alias("value"))
 
 
-PATTERNS = Static("pats", "pattern string, plain string", (("^A\\.B$", "A\\.B"), ("A\\.(B|C)", "A\\.(B|C)"), ("A|B", "(?:A|B)"), ("^X", "X"), ("Y\\$", "Y\\$")))
+_NAME = "c_mktsegment || CAST(c_custkey AS STRING)"
+PATTERNS = Portable("pats", "customer", {"id": "c_custkey", "pattern": choice("c_custkey", f"'^A.' || {_NAME} || CHR(36)", f"'A.(B|' || {_NAME} || ')'", f"'A|' || {_NAME}", f"'^' || {_NAME}", f"{_NAME} || CHR(92) || CHR(36)")})
 
 
-@query("f24_pattern_helpers", f"WITH {PATTERNS.sql} SELECT pattern, plain FROM pats")
+@query(
+    "f24_pattern_helpers",
+    f"""SELECT c_custkey AS id, CASE c_custkey % 5 WHEN 0 THEN 'A.' || n WHEN 1 THEN 'A.(B|' || n || ')' WHEN 2 THEN '(?:A|' || n || ')' WHEN 3 THEN n ELSE n || CHR(92) || CHR(36) END AS plain FROM (SELECT c_custkey, {_NAME} AS n FROM customer)""",
+)
 def pattern_helpers(spark: SparkSession, sf_dir: str) -> DataFrame:
     bare = F.regexp_replace(F.regexp_replace("pattern", r"^\^", ""), r"(?<!\\)\$$", "")
     outside = F.regexp_replace(bare, r"\([^)]*\)|\[[^\]]*\]", "")
-    return PATTERNS.df(spark).select("pattern", F.when(outside.contains("|"), F.concat(F.lit("(?:"), bare, F.lit(")"))).otherwise(bare).alias("plain"))
+    return PATTERNS.df(spark, sf_dir).select("id", F.when(outside.contains("|"), F.concat(F.lit("(?:"), bare, F.lit(")"))).otherwise(bare).alias("plain"))
 
 
-LAYOUTS = Static("layouts", "tab string, stored string, current string, later_ddl boolean", (("A", "ID,V", "ID,V", False), ("B", "ID", "ID,V", True), ("C", "ID", "ID,V", False)))
+#: Stored and current layouts of a table an order, its last DDL and the time of the resume position, in seconds.
+LAYOUTS = Portable("layouts", "orders", {"id": "o_orderkey", "stored": "'ID,' || o_orderstatus", "current": choice("o_orderkey", "'ID,' || o_orderstatus", "'ID,V'", "NULL"), "ddl_s": "CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 40 END", "resume_s": "20"})
 
 
-@query("startup_schema_validation", f"WITH {LAYOUTS.sql} SELECT tab, CASE WHEN stored = current THEN 'same' WHEN later_ddl THEN 'explained' ELSE 'stop' END AS verdict FROM layouts")
+@query("startup_schema_validation", "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 2 THEN 'dropped since' WHEN o_orderkey % 3 = 0 OR o_orderstatus = 'V' THEN 'same' WHEN o_orderkey % 11 <> 0 AND o_orderkey % 40 > 10 THEN 'explained' ELSE 'stop' END AS verdict FROM orders")
 def startup_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return LAYOUTS.df(spark).select("tab", F.when(F.col("stored").eqNullSafe(F.col("current")), "same").when(F.col("later_ddl"), "explained").otherwise("stop").alias("verdict"))
+    return LAYOUTS.df(spark, sf_dir).select("id", schema.startup_verdict(F.col("stored"), F.col("current"), F.timestamp_seconds("ddl_s"), F.timestamp_seconds("resume_s")).alias("verdict"))
 
 
-WRAPPED = Static("recs", "body string, op string, id long, scn long", (
-    ('{"schema":{"x":1},"payload":{"op":"c","before":null,"after":{"ID":7},"source":{"scn":"12"}}}', "c", 7, 12), ('{"op":"d","before":{"ID":8},"after":null,"source":{"scn":"13"}}', "d", 8, 13), ("null", None, None, None), ("broken", None, None, None),
-))
+def _document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record for each event: wrapped in its schema, bare, a null and a broken one."""
+    event = F.col("event_id")
+    inner = F.concat(F.lit('{"op":"'), F.substring("event_type", 1, 1), F.lit('","before":'), F.when(event % 2 == 1, F.concat(F.lit('{"ID":'), event, F.lit("}"))).otherwise("null"), F.lit(',"after":'), F.when(event % 2 == 0, F.concat(F.lit('{"ID":'), event, F.lit("}"))).otherwise("null"), F.lit(',"source":{"scn":"'), event * 10, F.lit('"}}'))
+    body = F.when(event % 5 < 2, F.concat(F.lit('{"schema":{"x":1},"payload":'), inner, F.lit("}"))).when(event % 5 < 3, inner).when(event % 5 == 3, "null").otherwise("broken")
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", body.alias("body"))
 
 
-@query("p22_wrapped_records", f"WITH {WRAPPED.sql} SELECT body, op, id, scn FROM recs")
+@query("p22_wrapped_records", "SELECT event_id, CASE WHEN event_id % 5 < 3 THEN LEFT(event_type, 1) END AS op, CASE WHEN event_id % 5 < 3 THEN event_id END AS id, CASE WHEN event_id % 5 < 3 THEN event_id * 10 END AS scn FROM events")
 def wrapped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = "op string, before struct<ID:long>, after struct<ID:long>, source struct<scn:string>"
     whole, inner = F.from_json("body", rec), F.from_json("body", f"payload struct<{', '.join(f.replace(' ', ':', 1) for f in rec.split(', '))}>")["payload"]
     r = F.coalesce(inner, whole)
-    return WRAPPED.df(spark).select("body", r["op"].alias("op"), F.coalesce(r["after"]["ID"], r["before"]["ID"]).alias("id"), r["source"]["scn"].cast("long").alias("scn"))
+    return _document(spark, sf_dir).select("event_id", r["op"].alias("op"), F.coalesce(r["after"]["ID"], r["before"]["ID"]).alias("id"), r["source"]["scn"].cast("long").alias("scn"))
 
 
-LARGE_TOPICS = Static("ltop", "tab string, kind string, stable_key boolean, error string", (("A", "CLOB", True, None), ("B", "CLOB", False, "needs a stable column key"), ("C", "XMLTYPE", True, "XMLTYPE has no topic of its own")))
+LARGE_TOPICS = Portable("ltop", "part", {"id": "p_partkey", "kind": choice("p_partkey", "'CLOB'", "'BLOB'", "'XMLTYPE'"), "stable_key": "p_size > 10"})
 
 
-@query("large_topic_requirements", f"WITH {LARGE_TOPICS.sql} SELECT tab, error FROM ltop")
+@query("large_topic_requirements", "SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 2 THEN 'XMLTYPE has no topic of its own' WHEN p_size <= 10 THEN 'needs a stable column key' END AS error FROM part")
 def large_topic_requirements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return LARGE_TOPICS.df(spark).select("tab", F.when(F.col("kind") == "XMLTYPE", "XMLTYPE has no topic of its own").when(~F.col("stable_key"), "needs a stable column key").alias("error"))
+    return LARGE_TOPICS.df(spark, sf_dir).select("id", F.when(F.col("kind") == "XMLTYPE", "XMLTYPE has no topic of its own").when(~F.col("stable_key"), "needs a stable column key").alias("error"))

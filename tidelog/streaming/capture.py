@@ -15,29 +15,44 @@ from tidelog.plans import capture as batch_capture
 from tidelog.streaming import assembly, sinks
 
 
-def changes(raw: DataFrame, options: Options) -> DataFrame:
-    """Committed changes of a stream of raw rows, numbered, with their whole statements."""
-    if options.large_values != LargeMode.SKIP:
-        raise ValueError("large_values: a stream skips them; the batch capture folds them")
+def policy(options: Options) -> assembly.Policy:
+    """What the options say of transactions that stay open."""
+    return assembly.Policy(options.max_age_ms, options.max_age_action, options.orphan_ms, options.orphan_action)
+
+
+def changes(raw: DataFrame, options: Options, probes: DataFrame | None = None) -> DataFrame:
+    """Committed changes of a stream of raw rows, numbered, with their whole statements; edits of large values among them."""
+    if options.large_values in (LargeMode.RESELECT, LargeMode.TOPIC):
+        raise ValueError(f"large_values: {options.large_values} reads the source or writes topics of its own")
     rows = batch_capture._kept(batch_capture._plain(raw), options)
     rows = rows.select("*", "pos.rs_id", "pos.ssn").withColumn("ts", F.col("ts").cast("string"))
-    max_age = options.max_age_ms
-    return assembly.assemble(rows, max_age, batch_capture.TX, assembly.RAW_CHANGE)
+    return assembly.assemble(rows, policy(options), batch_capture.TX, assembly.RAW_CHANGE, probes)
 
 
 def sink(folder: str, keys: dict[str, list[str]] | None = None, options: Options = Options(), server: str = "server", layouts: DataFrame | None = None) -> Callable[[DataFrame, int], None]:
-    """Writes a batch's records, dead letters and given-up transactions below ``folder``; a batch that is run again replaces itself, one below the floor stops."""
-    records = sinks.idempotent(f"{folder}/records")
-    others = {name: sinks.idempotent(f"{folder}/{name}", floor=None) for name in ("dead", "discarded")}
+    """Writes a batch's records, dead letters and given-up transactions below ``folder``; a batch that is run again replaces itself.
+
+    A transaction is released whole in one batch, so its edits of large values are folded there, as in the batch capture. A commit at or
+    below the address of its thread's last one stops the query.
+    """
+    floor = sinks.Floor(f"{folder}/floor", "commit_rs_id", ["con_id", "commit_thread"])
+    others = {name: sinks.idempotent(f"{folder}/{name}", floor=None) for name in ("records", "dead", "discarded")}
 
     def write(released: DataFrame, number: int) -> None:
         released.persist()
         try:
             done = released.where("outcome = 'committed'").withColumn("commit_ts", F.col("commit_ts").cast("timestamp_ntz"))
-            got = batch_capture.rendered(batch_capture._parsed(done), keys or {}, options, server, layouts)
+            floor.check(done, number)
+            if options.large_values == LargeMode.INLINE:
+                whole = done.withColumn("pos", F.struct("rs_id", "ssn", "scn")).drop("event_index", "event_count", "collection_order")
+                parsed = batch_capture.numbered(batch_capture._with_large(whole))
+            else:
+                parsed = batch_capture._parsed(done)
+            got = batch_capture.rendered(parsed, keys or {}, options, server, layouts)
             others["dead"](got.dead, number)
-            others["discarded"](released.where("outcome = 'discarded'").select(*batch_capture.TX, "event_count"), number)
-            records(got.records, number)
+            others["discarded"](released.where("outcome <> 'committed'").select(*batch_capture.TX, "event_count", "outcome"), number)
+            others["records"](got.records, number)
+            floor.keep(done, number)
         finally:
             released.unpersist()
 
