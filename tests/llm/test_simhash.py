@@ -69,18 +69,20 @@ def plain_wide(text, words=5, lanes=4):
             for b in range(64):
                 counts[b] += z >> b & 1
         out |= sum(1 << (64 * q + b) for b in range(64) if 2 * counts[b] > len(shingles))
-    return out, len(shingles)
-
-
-def wide_link(a, b):
-    return (a[0] ^ b[0]).bit_count() <= 51 and min(a[1], b[1]) >= 0.8 * max(a[1], b[1])
+    return (out, len(shingles)), frozenset(shingles)
 
 
 def plain_groups(texts):
-    """For each text the number of its group, by all pairs of wide fingerprints."""
+    """For each text the number of its group, by all pairs of wide fingerprints and by the Jaccard of their shingles."""
     prints = [plain_wide(t) for t in texts]
-    label = plain_components(list(dict.fromkeys(prints)), wide_link)
-    return [label[p] for p in prints]
+    shingles = dict(prints)
+
+    def link(a, b):
+        both = len(shingles[a] | shingles[b])
+        return (a[0] ^ b[0]).bit_count() <= 56 and (len(shingles[a] & shingles[b]) >= 0.8 * both if both else True)
+
+    label = plain_components(list(shingles), link)
+    return [label[p] for p, _ in prints]
 
 
 def test_wide_setting_against_all_pairs(spark):
@@ -104,6 +106,26 @@ def test_wide_setting_against_all_pairs(spark):
     assert got == {k: least[group] for k, group in enumerate(want)} and 30 <= len(least) <= 40
 
 
+def test_close_texts_of_less_likeness_stay_apart(spark, monkeypatch):
+    """A large component of close fingerprints: only pairs whose shingles are alike join, also over blocks."""
+    monkeypatch.setattr(simhash, "TEXTS", 7)
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    base = [word() for _ in range(300)]
+    texts = []
+    for k in range(40):
+        edited = list(base)
+        for at in rng.sample(range(300), 1 + k % 9):
+            edited[at] = word()
+        texts.append(" ".join(edited))
+    want = plain_groups(texts)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(frame(spark, [*enumerate(texts), (0, texts[0])]), simhash.COPIES).collect()}
+    least = {}
+    for k, group in enumerate(want):
+        least.setdefault(group, k)
+    assert got == {k: least[group] for k, group in enumerate(want)} and 5 <= len(least) <= 39
+
+
 def test_long_texts_in_pieces(monkeypatch):
     rng = random.Random(9)
     text = " ".join("".join(rng.choices("aBcé", k=rng.randint(1, 9))) for _ in range(3000)) + "\t \n"

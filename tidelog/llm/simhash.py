@@ -7,9 +7,9 @@ Two settings stand here:
 
 * ``BITS_4``, of the digest query: 4-word shingles, 64 bits, a link at 4 or fewer differing bits. Such pairs differ
   in at most 4 of 8 bytes, and the 20 triples of ``TRIPLES`` meet every set of four positions, so no link is lost.
-* ``COPIES``, of corpora: 5-word shingles, 256 bits, a link where 0.8 of the bits agree and the smaller text has 0.8
-  of the other's shingles at least. Keys join two of the 32 bytes; a pair at 0.8 shares five to eight bytes, so most
-  but not all meet in one of the 64 lists (recall and precision against five-word Jaccard are in the README).
+* ``COPIES``, of corpora: 5-word shingles, 256 bits. Pairs that differ in at most 56 bits are candidates, and each is
+  verified by the exact Jaccard of its shingles: a link has 0.8 or more. Keys join two of the 32 bytes; a pair at 0.8
+  shares about eight bytes, so most but not all meet in one of the 64 lists (recall is in the README).
 
 Lists longer than ``LIST_ROWS`` are cut into blocks that meet block by block in tasks of their own. A task compares
 rows near each other first; what is then one group in a list is not compared again with itself, only the other rows
@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 from .shared import Workspace, components, forest, join_weighted
 
 LIST_ROWS = 16_384
+TEXTS = 2_048  # of a component that meet in one task
 CHUNK = 1 << 17  # hashes whose bits are counted at a time
 PIECE = 1 << 20
 SETTLE = 64  # neighbours of a row that are compared before groups are told apart
@@ -68,7 +69,7 @@ class Setting:
     lanes: int  # of 64 bits
     bits: int
     least_bytes: int  # shared positional bytes that a link has
-    ratio: float  # of the smaller text's shingles to the greater's
+    ratio: float  # Jaccard of the shingles that a link has, 0 where bits alone decide
     keys: tuple[tuple[int, ...], ...]
 
     @property
@@ -77,7 +78,7 @@ class Setting:
 
 
 BITS_4 = Setting(words=4, lanes=1, bits=4, least_bytes=4, ratio=0.0, keys=tuple(TRIPLES))
-COPIES = Setting(words=5, lanes=4, bits=51, least_bytes=2, ratio=0.8, keys=tuple((k, (k + step) % 32) for step in (1, 7) for k in range(32)))
+COPIES = Setting(words=5, lanes=4, bits=56, least_bytes=2, ratio=0.8, keys=tuple((k, (k + step) % 32) for step in (1, 7) for k in range(32)))
 
 
 # -- fingerprints ---------------------------------------------------------------------------------------
@@ -212,9 +213,8 @@ class _Lists:
         self.us, self.vs, self.held = [], [], 0
 
     def put(self, u: np.ndarray, v: np.ndarray) -> None:
-        """Close pairs that may link: other sides, sizes in the ratio."""
-        small, great = np.minimum(self.size[u], self.size[v]), np.maximum(self.size[u], self.size[v])
-        fine = ((self.side[u] < 0) | (self.side[u] != self.side[v])) & (small >= self.setting.ratio * great)
+        """Close pairs that may link: those of other sides."""
+        fine = (self.side[u] < 0) | (self.side[u] != self.side[v])
         self.us.append(u[fine])
         self.vs.append(v[fine])
         self.held += len(u)
@@ -258,13 +258,69 @@ class _Lists:
         return moved, self.label[moved]
 
 
-def _link_batches(setting: Setting, settle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+class _TextLists(_Lists):
+    """Lists whose close pairs are verified by their shingles, unless they are joined already."""
+
+    def __init__(self, setting: Setting, settle: int, key: np.ndarray, lanes: list[np.ndarray], size: np.ndarray, side: np.ndarray, shingles: np.ndarray):
+        super().__init__(setting, settle, key, lanes, size, side)
+        self.shingles = [np.frombuffer(x, np.uint64) for x in shingles]
+        self.root = list(range(len(key)))
+
+    def _find(self, k: int) -> int:
+        while self.root[k] != k:
+            self.root[k] = k = self.root[self.root[k]]
+        return k
+
+    def put(self, u: np.ndarray, v: np.ndarray) -> None:
+        fine = (self.side[u] < 0) | (self.side[u] != self.side[v])
+        for a, b in zip(u[fine].tolist(), v[fine].tolist(), strict=True):
+            x, y = self._find(a), self._find(b)
+            if x != y and jaccard(self.shingles[a], self.shingles[b]) >= self.setting.ratio:
+                self.root[max(x, y)] = min(x, y)
+                super().put(np.array([a]), np.array([b]))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Likeness of two sets, given as ascending arrays; two empty ones are the same."""
+    both = np.concatenate((a, b))
+    both.sort()
+    same = int((both[1:] == both[:-1]).sum())
+    return same / (len(both) - same) if len(both) else 1.0
+
+
+def _shingle_set(text: str | None, n: int) -> bytes:
+    return np.unique(np.array([h for part in _pieces(text.encode() if text else b"", n) for h in part], np.uint64)).tobytes()
+
+
+def verified(candidates: DataFrame, docs: DataFrame, ws: Workspace, setting: Setting) -> DataFrame:
+    """Edges ``(u, v)`` whose components are those of the close pairs with a Jaccard of ``setting.ratio`` or more.
+
+    ``candidates(node, component, h, doc_id, size, fp...)`` have a text of each node that is close to another. Only those texts travel, in
+    components; a component of more than ``TEXTS`` of them is cut into blocks that meet each other.
+    """
+    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("c.h"))
+    held = docs.select("doc_id", "text").alias("d").join(candidates.alias("c"), same).select("c.node", "c.component", "c.size", *[f"c.{x}" for x in setting.columns], "d.text")
+    names = ["node", "key", "size", *setting.columns, "shingles"]
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            sets = pa.array([_shingle_set(x.as_py(), setting.words) for x in batch.column(batch.num_columns - 1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sets], names=names)
+
+    texts = held.mapInArrow(batches, "node long, key long, size long, " + ", ".join(f"{x} long" for x in setting.columns) + ", shingles binary")
+    texts = ws.save(texts.dropDuplicates(["node"]), "texts")  # a repeated row counts once
+    counts = texts.groupBy("key").count()
+    dealt = _dealt(texts, counts, TEXTS, ws, "large_components", ["node", "size"], [*setting.columns, "shingles"])
+    return _starred(dealt.mapInArrow(_link_batches(_TextLists, setting, SETTLE), "u long, v long"))
+
+
+def _link_batches(lists: type[_Lists], setting: Setting, settle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows come sorted by list; a list that runs on into the next batch is carried over (it has 2 blocks at most)."""
 
     def out(rows: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-        listed, pair, node, size, side, *fps = rows
+        listed, pair, node, size, side, *more = rows
         key = np.cumsum(np.append(0, (np.diff(listed) != 0) | (np.diff(pair) != 0)))
-        u, v = _Lists(setting, settle, key, [f.view(np.uint64) for f in fps], size, side).links()
+        u, v = lists(setting, settle, key, [f.view(np.uint64) for f in more[: setting.lanes]], size, side, *more[setting.lanes :]).links()
         return pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], names=["u", "v"])
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,8 +351,14 @@ def links(fps: DataFrame, ws: Workspace, setting: Setting = BITS_4) -> DataFrame
     rows = fps.select(node, size, *setting.columns)
     postings = rows.select("*", F.explode(_keys(setting)).alias("key"))
     counts = rows.select(F.explode(_keys(setting)).alias("key")).groupBy("key").count()
-    blocks = counts.where(F.col("count") > LIST_ROWS).select("key", F.ceil(F.col("count") / LIST_ROWS).cast("int").alias("n"))
-    blocks = ws.save(blocks, "long_lists")
+    dealt = _dealt(postings, counts, LIST_ROWS, ws, "long_lists", ["node", "size"], setting.columns)
+    return _starred(dealt.mapInArrow(_link_batches(_Lists, setting, SETTLE), "u long, v long"))
+
+
+def _dealt(postings: DataFrame, counts: DataFrame, most: int, ws: Workspace, tag: str, first: list[str], last: list[str]) -> DataFrame:
+    """Lists in tasks, by ``key`` and ``pair`` and sorted by node; a list of more than ``most`` rows is cut into blocks that meet each other."""
+    blocks = counts.where(F.col("count") > most).select("key", F.ceil(F.col("count") / most).cast("int").alias("n"))
+    blocks = ws.save(blocks, tag)
     cut = postings.join(blocks, "key", "left")
     own = F.pmod(F.xxhash64("node", F.lit("block")), F.col("n")).cast("int")
     meet = F.when(F.col("n").isNull(), F.array(F.struct(F.lit(0).alias("pair"), F.lit(-1).alias("side")))).otherwise(
@@ -305,9 +367,8 @@ def links(fps: DataFrame, ws: Workspace, setting: Setting = BITS_4) -> DataFrame
             lambda other: F.struct((F.least(other, own) * F.col("n") + F.greatest(other, own)).alias("pair"), F.when(other == own, -1).otherwise(own).alias("side")),
         )
     )
-    dealt = cut.withColumn("meet", F.explode(meet)).select("key", F.col("meet.pair").alias("pair"), "node", "size", F.col("meet.side").alias("side"), *setting.columns)
-    dealt = dealt.repartition("key", "pair").sortWithinPartitions("key", "pair", "node")  # the least node of a group is its root
-    return _starred(dealt.mapInArrow(_link_batches(setting, SETTLE), "u long, v long"))
+    dealt = cut.withColumn("meet", F.explode(meet)).select("key", F.col("meet.pair").alias("pair"), *first, F.col("meet.side").alias("side"), *last)
+    return dealt.repartition("key", "pair").sortWithinPartitions("key", "pair", "node")  # the least node of a group is its root
 
 
 def _starred(edges: DataFrame) -> DataFrame:
@@ -326,9 +387,12 @@ def near_duplicates(docs: DataFrame, setting: Setting = BITS_4) -> DataFrame:
     lanes = setting.columns
     prints = ws.save(fingerprints(docs, setting), "fingerprints")
     own = ["size", *lanes] if setting.ratio else lanes
-    each = prints.groupBy(*own).agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
+    each = prints.groupBy(*own).agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.min(F.struct("h", "doc_id")).alias("rep"))
     each = ws.save(each.withColumn("node", F.monotonically_increasing_id() if len(own) > 1 else F.col("fp")), "distinct")
     found = components(links(each, ws, setting), ws)
+    if setting.ratio:
+        close = ws.save(found, "close")
+        found = components(verified(each.join(close, "node").select("node", "component", "rep.*", *own), docs, ws, setting), ws, "verified")
     named = each.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = ws.save(named.select(*own, "least", "rows", "component"), "named")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("held"))
