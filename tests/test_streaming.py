@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -181,6 +183,39 @@ def test_orphans_on_a_stream_over_restarts(spark, tmp_path):
         run()
 
 
+def test_a_query_tells_of_itself(spark, tmp_path):
+    """Start, figures of each batch, and the stop with its code."""
+    from tidelog.streaming import events
+
+    source, out, checkpoint, told = (str(tmp_path / x) for x in ("in", "out", "state", "told"))
+    listener = events.Listener(spark, told, "srv")
+    spark.streams.addListener(listener)
+    try:
+        rows = [(1, user, 1, f"{scn:05d}", 0, scn, op, False, "T", "R", 0.5) for user, scn, op in ((1, 11, 6), (1, 12, 1), (1, 13, 7), (2, 14, 1))]
+        spark.createDataFrame(rows, assembly.MINED).coalesce(1).write.json(f"{source}/part=0")
+        stream = events.observed(assembly.assemble(sinks.log_stream(spark, source, assembly.MINED).drop("part")))
+        sinks.run_available(stream, checkpoint, sinks.idempotent(out, floor=None))
+
+        def stop(batch, number):
+            raise sinks.FloorError("CDC-7003: below")
+
+        spark.createDataFrame(rows, assembly.MINED).coalesce(1).write.json(f"{source}/part=1")
+        with pytest.raises(Exception, match="CDC-7003"):
+            sinks.run_available(stream, checkpoint, stop)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        for _ in range(60):
+            kinds = sorted(r["type"] for r in spark.read.json(f"{told}/events").collect())
+            if kinds.count("stop") == 2:
+                break
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(listener)
+    assert kinds == ["startup", "startup", "stop", "stop"]
+    assert "CDC-7003" in {r["details"]["code"] for r in spark.read.json(f"{told}/events").where("type = 'stop'").collect()}
+    figures = spark.read.schema(events.FIGURES).json(f"{told}/figures").where("input_rows > 0").collect()
+    assert [(r["input_rows"], r["released"], r["committed"], r["given_up"]) for r in figures] == [(4, 1, 1, 0)]
+
+
 def test_floors_are_kept_by_thread(spark, tmp_path):
     floor = sinks.Floor(str(tmp_path / "f"), "rs", ["con_id", "thread"])
     batch = lambda *rows: spark.createDataFrame([(1, t, rs) for t, rs in rows], "con_id long, thread int, rs string")
@@ -285,6 +320,8 @@ def test_raw_rows_to_records_equal_the_batch_capture(spark, tmp_path):
         sinks.run_available(stream, checkpoint, stream_capture.sink(out, KEYS, options))
     told = lambda df: sorted((r["topic"], r["key"] or "", r["value"] or "", r["event_index"], r["sub"], str(sorted(r["headers"].items()))) for r in df.collect())
     assert told(spark.read.parquet(f"{out}/records")) == told(want.records)
+    said = spark.read.parquet(f"{out}/events").collect()
+    assert [(r["type"], r["details"]["table"], r["details"]["operation"]) for r in said] == [("decode-error-dlq", "APP.T", "255")]
     dead = lambda df: sorted((r["scn"], r["tab"], r["op_code"], r["exception"], r["sql_redo"]) for r in df.collect())
     assert dead(spark.read.parquet(f"{out}/dead")) == dead(want.dead) and [d[:3] for d in dead(want.dead)] == [(51, "T", 255)]
     with pytest.raises(ValueError, match="large_values"):

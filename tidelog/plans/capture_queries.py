@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.operators import ops
 from tidelog.options import Options
 from tidelog.plans.capture import capture, log_layouts
 from tidelog.plans.registry import query
@@ -75,3 +76,23 @@ def capture_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layouts_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = log_layouts(raw_log(spark, sf_dir), dictionary(spark, sf_dir))
     return found.select("tab", "version", "valid_from", "cause", F.array_join(F.transform("columns", lambda c: c["name"]), ",").alias("columns"))
+
+
+@query(
+    "s16_capture_events",
+    f"""WITH {d.SURVIVORS_SQL}, s AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'ITEMS' ELSE 'CARTS' END AS tab, {CHANGED_SQL} AS turns FROM events WHERE event_id % {EVERY} = 0 AND event_id > 0)
+    SELECT 'ddl-seen' AS type, event_id * 10 + 997 AS at, 'object=' || tab || ';owner=APP;pdb=P1;scn=' || (event_id * 10 + 997) || ';sql=alter table app.' || LOWER(tab) || CASE WHEN turns % 2 = 1 THEN ' add (note varchar2(30))' ELSE ' drop column note' END AS details FROM s
+    UNION ALL SELECT 'ddl-applied', event_id * 10 + 997, 'columns=' || CASE WHEN turns % 2 = 1 THEN 4 ELSE 3 END || ';object=' || tab || ';owner=APP;pdb=P1;scn=' || (event_id * 10 + 997) || ';version=' || (1 + turns) FROM s
+    UNION ALL SELECT 'decode-error-dlq', scn, 'error=unsupported statement;operation=255;scn=' || scn || ';table=APP.' || tab || ';xid=' || user_id || '.0.' || sqn FROM sv WHERE NOT {_READ}""",
+)
+def capture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a capture: statements seen, layouts that they left, rows that could not be decoded."""
+    raw, c = raw_log(spark, sf_dir), F.col
+    layouts = log_layouts(raw, dictionary(spark, sf_dir)).where("cause = 'ddl'")
+    where = {"pdb": c("pdb"), "owner": c("owner"), "object": c("tab"), "scn": c("valid_from")}
+    seen = ops.records(layouts, "ddl-seen", "db", F.lit(0), c("valid_from"), **where, sql=c("sql"))  # each of the log's statements leaves a layout
+    applied = ops.records(layouts, "ddl-applied", "db", F.lit(0), c("valid_from"), **where, version=c("version"), columns=F.size("columns"))
+    dead = capture(raw_log(spark, sf_dir, statements=False), KEYS, Options.of({"decode_error": "dlq"})).dead
+    failed = ops.records(dead, "decode-error-dlq", "db", F.lit(0), c("scn"), table=F.concat_ws(".", "owner", "tab"), xid=F.concat_ws(".", "usn", "slot", "sqn"), scn=c("scn"), operation=c("op_code"), error=c("exception"))
+    text = F.array_join(F.array_sort(F.transform(F.map_entries("details"), lambda p: F.concat_ws("=", p["key"], p["value"]))), ";")
+    return seen.unionByName(applied).unionByName(failed).select("type", c("resume_scn").alias("at"), text.alias("details"))

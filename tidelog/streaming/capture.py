@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidelog.options import LargeMode, Options
 from tidelog.plans import capture as batch_capture
-from tidelog.streaming import assembly, sinks
+from tidelog.streaming import assembly, events, sinks
 
 
 def policy(options: Options) -> assembly.Policy:
@@ -30,13 +30,13 @@ def changes(raw: DataFrame, options: Options, probes: DataFrame | None = None) -
 
 
 def sink(folder: str, keys: dict[str, list[str]] | None = None, options: Options = Options(), server: str = "server", layouts: DataFrame | None = None) -> Callable[[DataFrame, int], None]:
-    """Writes a batch's records, dead letters and given-up transactions below ``folder``; a batch that is run again replaces itself.
+    """Writes a batch's records, dead letters, given-up transactions and operational events below ``folder``; a batch that is run again replaces itself.
 
     A transaction is released whole in one batch, so its edits of large values are folded there, as in the batch capture. A commit at or
     below the address of its thread's last one stops the query.
     """
     floor = sinks.Floor(f"{folder}/floor", "commit_rs_id", ["con_id", "commit_thread"])
-    others = {name: sinks.idempotent(f"{folder}/{name}", floor=None) for name in ("records", "dead", "discarded")}
+    others = {name: sinks.idempotent(f"{folder}/{name}", floor=None) for name in ("records", "dead", "discarded", "events")}
 
     def write(released: DataFrame, number: int) -> None:
         released.persist()
@@ -51,6 +51,7 @@ def sink(folder: str, keys: dict[str, list[str]] | None = None, options: Options
             got = batch_capture.rendered(parsed, keys or {}, options, server, layouts)
             others["dead"](got.dead, number)
             others["discarded"](released.where("outcome <> 'committed'").select(*batch_capture.TX, "event_count", "outcome"), number)
+            others["events"](events.of_batch(released, got.dead, batch_capture.TX, server, number), number)
             others["records"](got.records, number)
             floor.keep(done, number)
         finally:

@@ -74,13 +74,17 @@ class Floor:
         highest.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/batch={number}")  # a row a group
 
 
-def _batches(spark: SparkSession, folder: str) -> list[int]:
-    """Numbers of the batches whose folders are whole."""
+def whole_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in a folder whose writing has ended."""
     p = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     names = [s.getPath() for s in fs.listStatus(p)] if fs.exists(p) else []
-    whole = [n.getName() for n in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(n, "_SUCCESS"))]
-    return [int(n.partition("=")[2]) for n in whole if n.startswith("batch=")]
+    return [n.getName() for n in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(n, "_SUCCESS"))]
+
+
+def _batches(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the batches whose folders are whole."""
+    return [int(n.partition("=")[2]) for n in whole_folders(spark, folder) if n.startswith("batch=")]
 
 
 def idempotent(folder: str, floor: str | None = "commit_scn") -> Callable[[DataFrame, int], None]:
