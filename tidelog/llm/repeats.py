@@ -47,7 +47,7 @@ SORTED_BYTES = 1 << 20  # of pieces whose suffixes are sorted together
 LEAST_ID = -(1 << 63)
 PIECE, COPY, HINT = 0, 1, 2  # kinds of rows
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xDA942042E4DD58B5)]
-ROWS = "kind byte, g long, c long, doc long, h int, start long, rel int, n int"
+ROWS = "kind byte, g long, c long, doc long, h int, start long, n int"
 
 
 # -- pieces ---------------------------------------------------------------------------------------------
@@ -84,10 +84,10 @@ def _stretch(data: np.ndarray, length: int, base: int) -> tuple[np.ndarray, np.n
     return base + first, base + anchor[first], base + last
 
 
-def _combined(g: np.ndarray, c: np.ndarray, doc: np.ndarray, h: np.ndarray, start: np.ndarray, rel: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+def _combined(g: np.ndarray, c: np.ndarray, doc: np.ndarray, h: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     """Rows of pieces, of which only the first of each is left to compare; runs that may be heavy are hinted at."""
     order = np.lexsort((start, doc, c, g))
-    g, c, doc, h, start, rel, n = (x[order] for x in (g, c, doc, h, start, rel, n))
+    g, c, doc, h, start, n = (x[order] for x in (g, c, doc, h, start, n))
     new = np.append(True, (g[1:] != g[:-1]) | (c[1:] != c[:-1]))
     head = np.flatnonzero(new)[np.cumsum(new) - 1]
     same = (doc == doc[head]) & (start == start[head])  # the first itself, or a repeated row
@@ -96,8 +96,8 @@ def _combined(g: np.ndarray, c: np.ndarray, doc: np.ndarray, h: np.ndarray, star
     runs, count = np.unique(g[new], return_counts=True)
     often = count >= max(4, len(count) // (2 * HEAVY))
     more = np.zeros(int(often.sum()), np.int64)
-    columns = [kind[keep], g[keep], c[keep], doc[keep], h[keep], start[keep], rel[keep], n[keep]]
-    hints = [np.full(len(more), HINT, np.int8), runs[often], count[often].astype(np.int64), more, more.astype(np.int32), more, more.astype(np.int32), more.astype(np.int32)]
+    columns = [kind[keep], g[keep], c[keep], doc[keep], h[keep], start[keep], n[keep]]
+    hints = [np.full(len(more), HINT, np.int8), runs[often], count[often].astype(np.int64), more, more.astype(np.int32), more, more.astype(np.int32)]
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(columns, hints, strict=True)], names=[x.split()[0] for x in ROWS.split(", ")])
 
 
@@ -107,7 +107,7 @@ def placed(docs: DataFrame) -> DataFrame:
 
 
 def all_pieces(docs: DataFrame, length: int) -> DataFrame:
-    """The pieces of ``placed`` documents: run, hash, document, first window, anchor and last window relative to it."""
+    """The pieces of ``placed`` documents: run, hash, document, first window and how many follow it."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -122,7 +122,7 @@ def all_pieces(docs: DataFrame, length: int) -> DataFrame:
                 run = [xxhash.xxh3_64_intdigest(data[a : a + GRAM]) for a in anchor.tolist()]
                 own = [xxhash.xxh3_64_intdigest(data[s : e + length], r) for s, e, r in zip(first.tolist(), last.tolist(), rel.tolist(), strict=True)]
                 k = len(first)
-                held.append((np.array(run, np.uint64).view(np.int64), np.array(own, np.uint64).view(np.int64), np.full(k, doc), np.full(k, h, np.int32), first, rel.astype(np.int32), (last - first).astype(np.int32)))
+                held.append((np.array(run, np.uint64).view(np.int64), np.array(own, np.uint64).view(np.int64), np.full(k, doc), np.full(k, h, np.int32), first, (last - first).astype(np.int32)))
                 size += k
                 if size >= COMBINED:
                     yield _combined(*map(np.concatenate, zip(*held, strict=True)))
@@ -335,7 +335,8 @@ def _compared(rows: list[tuple], length: int, members: bool) -> Iterator[pa.Reco
     names = [x.split()[0] for x in FOUND.split(", ")]
 
     def batch(kind: int, which: np.ndarray, at: np.ndarray, stop: np.ndarray, a: np.ndarray, b: np.ndarray, seq: np.ndarray) -> pa.RecordBatch:
-        columns = [np.full(len(which), kind, np.int8), doc[which], h[which].astype(np.int32), at, stop, a, b, seq.astype(np.int32), g[which], c[which]]
+        named = [x[which] if kind == MEMBER else np.zeros(len(which), np.int64) for x in (g, c)]
+        columns = [np.full(len(which), kind, np.int8), doc[which], h[which].astype(np.int32), at, stop, a, b, seq.astype(np.int32), *named]
         return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
 
     if len(at):
@@ -407,10 +408,10 @@ class Repeats:
         copies = self.pieces.where(F.col("kind") == COPY).select("doc", "h", "start", "n").unionByName(self.grouped.where(F.col("kind") == COPY).select("doc", "h", "start", "n"))
         copies = copies.select("doc", "h", "start", (F.col("start") + F.col("n") + self.length).alias("stop"))
         within = self.found.where(F.col("kind") == SPAN).select("doc", "h", "start", "stop")
-        windows = self.found.where(F.col("kind") == WINDOW).select("a", "b", "doc", "h", "start", "stop")
+        windows = self.found.where(F.col("kind") == WINDOW).select("a", "b", "doc", "h", "start")
         each = windows.groupBy("a", "b").agg(F.min(F.struct("doc", "start")).alias("first"), F.count("*").alias("k")).where("k > 1")
         again = join_weighted(windows, each, ["a", "b"], "k", windows.count())
-        again = again.where((F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start"))).select("doc", "h", "start", "stop")
+        again = again.where((F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start"))).select("doc", "h", "start", (F.col("start") + self.length).alias("stop"))
         return copies.unionByName(within).unionByName(again)
 
     def groups(self) -> DataFrame:
