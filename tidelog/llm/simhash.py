@@ -387,7 +387,8 @@ def near_duplicates(docs: DataFrame, setting: Setting = BITS_4) -> DataFrame:
     lanes = setting.columns
     prints = ws.save(fingerprints(docs, setting), "fingerprints")
     own = ["size", *lanes] if setting.ratio else lanes
-    each = prints.groupBy(*own).agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.min(F.struct("h", "doc_id")).alias("rep"))
+    text = [F.min(F.struct("h", "doc_id")).alias("rep")] if setting.ratio else []
+    each = prints.groupBy(*own).agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"), *text)
     each = ws.save(each.withColumn("node", F.monotonically_increasing_id() if len(own) > 1 else F.col("fp")), "distinct")
     found = components(links(each, ws, setting), ws)
     if setting.ratio:
