@@ -83,7 +83,7 @@ def layouts_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {d.SURVIVORS_SQL}, s AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'ITEMS' ELSE 'CARTS' END AS tab, {CHANGED_SQL} AS turns FROM events WHERE event_id % {EVERY} = 0 AND event_id > 0)
     SELECT 'ddl-seen' AS type, event_id * 10 + 997 AS at, 'object=' || tab || ';owner=APP;pdb=P1;scn=' || (event_id * 10 + 997) || ';sql=alter table app.' || LOWER(tab) || CASE WHEN turns % 2 = 1 THEN ' add (note varchar2(30))' ELSE ' drop column note' END AS details FROM s
     UNION ALL SELECT 'ddl-applied', event_id * 10 + 997, 'columns=' || CASE WHEN turns % 2 = 1 THEN 4 ELSE 3 END || ';object=' || tab || ';owner=APP;pdb=P1;scn=' || (event_id * 10 + 997) || ';version=' || (1 + turns) FROM s
-    UNION ALL SELECT 'decode-error-dlq', scn, 'error=unsupported statement;operation=255;scn=' || scn || ';table=APP.' || tab || ';xid=' || user_id || '.0.' || sqn FROM sv WHERE NOT {_READ}""",
+    UNION ALL SELECT 'decode-error-dlq', scn, 'error=unknown statement unsupported;operation=255;scn=' || scn || ';table=APP.' || tab || ';xid=' || user_id || '.0.' || sqn FROM sv WHERE NOT {_READ}""",
 )
 def capture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of a capture: statements seen, layouts that they left, rows that could not be decoded."""
