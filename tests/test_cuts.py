@@ -56,3 +56,17 @@ def test_a_million_rows_of_one_transaction(spark):
             want.append((k, begin))
             begin, n, held = k + 1, 0, 0
     assert [tuple(r) for r in got] == want
+
+
+def test_short_runs_are_walked_and_long_ones_cut_by_stretches(spark, monkeypatch):
+    monkeypatch.setattr(cuts, "SHORT", 30)
+    taken = []
+    for name in ("_walked", "_by_stretches"):
+        monkeypatch.setattr(cuts, name, lambda rows, *a, name=name, real=getattr(cuts, name): taken.append((name, rows.select("run").distinct().count())) or real(rows, *a))
+    rng = random.Random(4)
+    rows = [(None if run == 3 else run, k, rng.choice([0, 1, 2]), rng.choice([None, 0, 30])) for run, n in enumerate([1, 2, 30, 31, 200]) for k in range(n)]
+    df = spark.createDataFrame(rows, "run long, o long, n long, bytes long").repartition(3)
+    want = [(run, *x) for run in {r[0] for r in rows} for x in plain([(o, (n, b), 0) for r, o, n, b in rows if r == run], (4, 90), None)]
+    got = cuts.resetting_cuts(df, ["run"], "o", {"n": 4, "bytes": 90})
+    assert sorted(((r["run"], r["o"], r["first"], r["cut"]) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    assert sorted(taken) == [("_by_stretches", 2), ("_walked", 3)]

@@ -1,7 +1,7 @@
 """Cuts of ordered runs by limits that start anew at each cut: so many records, bytes, or so much time, whichever comes first.
 
-A run may be as long as a third of all rows, so no task walks through one. Its rows are dealt into stretches by quantiles of
-their order. In a stretch, the place where a piece that starts at a row is full is a search in running sums, and following
+A run of up to ``SHORT`` rows is walked through by a task, a row at a time with nothing held but the open piece. A longer one may
+be a third of all rows, so no task walks through it. Its rows are dealt into stretches by quantiles of their order. In a stretch, the place where a piece that starts at a row is full is a search in running sums, and following
 these pointers tells from any start where the last piece begins that does not end there. Only these last starts go from
 stretch to stretch: each finds the stretch it ends in by the stretches' totals, and the place in it by a second search.
 That leaves a chain of a step a stretch, which one task follows for each run, and each stretch then knows how it is entered.
@@ -14,10 +14,11 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SHORT = 100_000  # rows; of longer runs there are a SHORT-th as many as rows at most
 STRETCHES = 4  # by shuffle partition
 NONE = -(1 << 62)  # no row: the piece begins at the next one
 
@@ -64,6 +65,45 @@ def resetting_cuts(rows: DataFrame, by: list[str], order: str, limits: dict[str,
     ``clock`` (a long) is at least ``span`` after the first row's. ``order`` is a long that differs between the rows of a run; weights are
     not negative and null counts as 0. The last piece of a run may stay open.
     """
+    long_runs = rows.groupBy(*by).count().where(F.col("count") > SHORT).select(*[F.col(c).alias(f"_{c}") for c in by])
+    if long_runs.isEmpty():
+        return _walked(rows, by, order, limits, clock, span)
+    on = F.lit(True)
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    known = F.broadcast(long_runs)
+    return _walked(rows.join(known, on, "left_anti"), by, order, limits, clock, span).unionByName(_by_stretches(rows.join(known, on, "left_semi"), by, order, limits, clock, span))
+
+
+def _walked(rows: DataFrame, by: list[str], order: str, limits: dict[str, int], clock: str | None, span: int | None) -> DataFrame:
+    """Cuts of runs that are not long: each run's rows pass in order."""
+    begins = F.row_number().over(Window.partitionBy(*by).orderBy(order)) == 1
+    weights = {f"_w{k}": F.coalesce(F.col(c).cast("long"), F.lit(0)) for k, c in enumerate(limits)}
+    marked = rows.withColumns({"_begins": begins, "_o": F.col(order).cast("long"), "_t": F.col(clock).cast("long") if clock else F.lit(0).cast("long"), **weights})
+    shape = T.StructType([*rows.schema.fields, T.StructField("first", T.LongType()), T.StructField("cut", T.BooleanType())])
+    names, many, taken = rows.columns, list(limits.values()), ["_begins", "_o", "_t", *weights]
+    until = span if clock else None
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun, since, held, closed = 0, 0, [], True
+        for batch in batches:
+            column = lambda c: batch.column(c).to_pylist()  # noqa: E731, B023
+            first, cut = [], []
+            for begin, at, time, *own in zip(*map(column, taken), strict=True):
+                if begin or closed:
+                    begun, since, held = at, time, own
+                else:
+                    held = [h + w for h, w in zip(held, own, strict=True)]
+                closed = any(h >= limit for h, limit in zip(held, many, strict=True)) or (until is not None and time - since >= until)
+                first.append(begun)
+                cut.append(closed)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(first, pa.int64()), pa.array(cut, pa.bool_())], names=[*names, "first", "cut"])
+
+    return marked.mapInArrow(walk, shape)
+
+
+def _by_stretches(rows: DataFrame, by: list[str], order: str, limits: dict[str, int], clock: str | None, span: int | None) -> DataFrame:
+    """Cuts of long runs."""
     spark = rows.sparkSession
     n = STRETCHES * int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = sorted(set(rows.agg(F.percentile_approx(order, [k / n for k in range(1, n)]).alias("q")).first()["q"] or []))
