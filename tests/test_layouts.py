@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,3 +144,22 @@ def test_keys_and_empty_tables(spark):
     df = tables(spark, ddl(1105, 2, "comment on table t is 'x'"), keyed, include=r"P1\..*", start=1100)
     assert sorted((r["tab"], r["key"]) for r in df.collect()) == [("T", ["ID"]), ("U", [])]
     assert tables(spark, [], [], start=1).count() == 0
+
+
+def test_a_row_finds_its_version_among_many_by_a_search_tree(spark, monkeypatch):
+    monkeypatch.setattr(lay, "FAN", 3)
+    rng = random.Random(5)
+    columns = [("ID", "NUMBER", 18, 0)]
+    known = [("P1", "APP", tab, v, rng.randrange(400), v % 5 > 0, columns if v % 7 else None, ["ID"]) for tab, n in (("T", 100), ("U", 1), ("V", 28)) for v in range(1, n + 1)]
+    rows = [("P1", "APP", tab, scn) for tab in "TUVW" for scn in range(-1, 402)]
+    for bound in (lay.BROADCAST_VERSIONS, 10):
+        monkeypatch.setattr(lay, "BROADCAST_VERSIONS", bound)
+        changes = spark.createDataFrame(rows, "pdb string, owner string, tab string, scn long")
+        got = lay.resolve(changes, spark.createDataFrame(known, lay.LAYOUT))
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "_versions" not in plan
+        want = {}
+        for _, _, tab, scn in rows:
+            last = max(((k[4], k[3], k) for k in known if k[2] == tab and k[4] <= scn), default=None)
+            want[tab, scn] = last[1] if last and last[2][6] else None
+        assert {(r["tab"], r["scn"]): r["layout"] and r["layout"]["version"] for r in got.collect()} == want

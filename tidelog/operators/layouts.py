@@ -23,24 +23,45 @@ from tidelog.operators.render import adjust_name
 TABLE = ["pdb", "owner", "tab"]
 LAYOUT = "pdb string, owner string, tab string, version long, valid_from long, exact boolean, columns array<struct<name:string,type:string,precision:int,scale:int>>, key array<string>"
 LAYOUT_COLUMNS = ["pdb", "owner", "tab", "version", "valid_from", "exact", "columns", "key"]
-BROADCAST_TABLES = 10_000
+#: Children of a node of the search tree over a table's versions, and how many versions at most are broadcast whole.
+FAN = 64
+BROADCAST_VERSIONS = 100_000
+
+
+def _last_version(changes: DataFrame, versions: DataFrame, at: str, most: int) -> DataFrame:
+    """Changes with ``_n``, the number from 0 of their table's last version valid at their position, null where there is none.
+
+    A search tree: a node holds the first positions of up to ``FAN`` children, and a row goes down a level by a join, so its work is the
+    logarithm of its table's ``most`` versions at most. The levels are broadcast: they hold a little over a position a version.
+    """
+    depth = 1
+    while FAN**depth < most:
+        depth += 1
+    rows = changes.withColumn("_n", F.lit(0).cast("long"))
+    for level in reversed(range(depth)):
+        step = FAN**level
+        nodes = versions.where(F.col("_n") % step == 0).groupBy(*TABLE, F.expr(f"_n div {step * FAN}").alias("_n")).agg(F.array_sort(F.collect_list("valid_from")).alias("_starts"))
+        before = F.size(F.filter("_starts", lambda s: s <= F.col(at)))
+        rows = rows.join(F.broadcast(nodes), [*TABLE, "_n"], "left").withColumn("_n", F.when(before > 0, F.col("_n") * FAN + before - 1)).drop("_starts")
+    return rows
 
 
 def resolve(changes: DataFrame, layouts: DataFrame, at: str = "scn", decimals: str = "PRECISE", temporals: str = "ADAPTIVE") -> DataFrame:
     """Each change with ``layout``, the last version of its table valid at its position, null where there is none; its columns have their kind and output type.
 
-    The versions of a table are one row, so there is no range join; up to ``BROADCAST_TABLES`` of them are broadcast, lest a table that
-    holds most changes lands in one task.
+    The version is found by its number, so a row meets one version of its table, not all. Up to ``BROADCAST_VERSIONS`` are broadcast,
+    lest a table that holds most changes lands in one task; more are joined by table and number, where a table is many keys.
     """
     kind = lambda c: types.kind(c["type"])
     out = lambda c: types.envelope_type(c["kind"], c["precision"], c["scale"], decimals, temporals)
     columns = F.transform(F.transform("columns", lambda c: c.withField("kind", kind(c))), lambda c: c.withField("out", out(c)))  # null once a table is gone
-    version = F.struct("valid_from", "version", "exact", columns.alias("columns"), "key")
-    tables = layouts.groupBy(*TABLE).agg(F.array_sort(F.collect_list(version)).alias("_versions"))
-    known = F.broadcast(tables) if tables.limit(BROADCAST_TABLES + 1).count() <= BROADCAST_TABLES else tables
-    valid = F.filter("_versions", lambda v: v["valid_from"] <= F.col(at))
-    last = F.try_element_at(valid, F.lit(-1))
-    return changes.join(known, TABLE, "left").withColumn("layout", F.when(last["columns"].isNotNull(), last)).drop("_versions")
+    numbers = F.row_number().over(Window.partitionBy(*TABLE).orderBy("valid_from", "version", "exact"))
+    versions = layouts.where("valid_from is not null").withColumn("_n", (numbers - 1).cast("long"))
+    total, most = versions.agg(F.count("*"), F.coalesce(F.max("_n") + 1, F.lit(0))).first()
+    layout = F.when(F.col("columns").isNotNull(), F.struct("valid_from", "version", "exact", columns.alias("columns"), "key"))
+    known = versions.select(*TABLE, "_n", layout.alias("layout"))
+    known = F.broadcast(known) if total <= BROADCAST_VERSIONS else known
+    return _last_version(changes, versions, at, most).join(known, [*TABLE, "_n"], "left").drop("_n")
 
 
 def quoted(text: Column) -> Column:
