@@ -104,3 +104,13 @@ def test_layouts_type_values_by_position(spark):
     assert [json.loads(r["value"])["AMOUNT"] for r in flat] == ["1.5"]
     with pytest.raises(ValueError, match="large_values"):
         capture(raw, options=Options.of({"large_values": "reselect"}), layouts=layouts)
+
+
+def test_only_transactions_with_edits_of_large_values_are_read_again(spark):
+    parses = lambda log: capture(spark.createDataFrame(log, RAW_ROW), KEYS).records._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython")
+    assert parses(LOG) == 1
+    edit = 'declare loc clob; buf varchar2(9); begin select "V" into loc from "APP"."T" where "ID" = \'7\' for update; buf := \'abc\'; dbms_lob.write(loc, 3, 1, buf); end;'
+    log = [*LOG, row(51, 6, sqn=6), row(52, 1, sqn=6, sql='insert into "APP"."T"("ID","V") values (\'7\',EMPTY_CLOB())', rid="L"), row(53, 10, sqn=6, sql=edit, rid="L"), row(54, 7, sqn=6)]
+    assert parses(log) > 1
+    got = {json.loads(r["value"])["after"]["ID"]: json.loads(r["value"])["after"].get("V") for r in capture(spark.createDataFrame(log, RAW_ROW), KEYS, Options(include=[r"P1\.APP\.T"])).records.collect() if r["value"] and json.loads(r["value"])["op"] == "c"}
+    assert got["7"] == "abc" and got["2"] == "x"

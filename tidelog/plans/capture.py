@@ -14,12 +14,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions import codes, redo
+from tidelog.llm.shared import Workspace
 from tidelog.operators import large, layouts as lay, render, schema, scans
 from tidelog.operators.transactions import mark_survivors
 from tidelog.options import DecodeErrorAction, KeyPolicy, LargeMode, Options, OutputFormat
 
 TX = ["con_id", "usn", "slot", "sqn"]
 LARGE_CODES = (codes.SELECT_LOB_LOCATOR, codes.LOB_WRITE, codes.LOB_TRIM, codes.LOB_ERASE)
+#: Fixed value: keys of transactions with edits of large values that are broadcast at most.
+BROADCAST_EDITED = 100_000
 
 
 @dataclass
@@ -108,7 +111,16 @@ def _key(image: Column, keys: dict[str, list[str]]) -> Column:
 def _parsed(changes: DataFrame) -> DataFrame:
     """Column ``p``: parsed statements; a truncation has no images and is no error."""
     empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in redo.DML_TYPE])
-    return changes.withColumn("p", F.when(F.col("op_code") == codes.DDL, empty).otherwise(redo.parse_redo(F.when(F.col("op_code") != codes.DDL, F.col("sql")))))
+    return changes.withColumn("p", F.when(F.col("op_code") == codes.DDL, empty).otherwise(redo.parse_redo_once(F.when(F.col("op_code") != codes.DDL, F.col("sql")))))
+
+
+def _surviving(plain: DataFrame, options: Options) -> DataFrame:
+    """Surviving changes of committed transactions, each with its commit; rows are dealt out by transaction once, in ``_joined``."""
+    commit = F.when(F.col("op_code") == codes.COMMIT, F.struct(F.col("scn").alias("commit_scn"), F.col("ts").alias("commit_ts")))
+    rows = _kept(_joined(plain), options).withColumn("_ends", F.collect_list(commit).over(Window.partitionBy(*TX)))
+    changes = rows.where(~F.col("op_code").isin(*codes.TX_CODES)).where(F.size("_ends") > 0).dropna(subset=TX)
+    changes = mark_survivors(changes, TX, "rid", "pos").where("survives")
+    return changes.select("*", F.explode("_ends").alias("_end")).select("*", "_end.*").drop("_ends", "_end")
 
 
 def _with_large(changes: DataFrame) -> DataFrame:
@@ -199,14 +211,19 @@ def capture(raw: DataFrame, keys: dict[str, list[str]] | None = None, options: O
 
     ``layouts`` (``operators.layouts.LAYOUT``) type the values and name the keys; so does ``dictionary``, readings of it from which and from
     the log's statements the layouts are made (``log_layouts``). Without either ``keys`` has the key columns by ``OWNER.TABLE``.
+    Edits of large values are folded by joins of their rows with themselves, so only transactions that hold some take that way.
     """
     if layouts is None and dictionary is not None:
-        layouts = log_layouts(raw, dictionary, options, start).select(*lay.LAYOUT_COLUMNS)
+        layouts = Workspace(raw.sparkSession).save(log_layouts(raw, dictionary, options, start).select(*lay.LAYOUT_COLUMNS), "layouts")
     if options.large_values in (LargeMode.RESELECT, LargeMode.TOPIC):
         raise ValueError(f"large_values: {options.large_values} reads the source or writes topics of its own; see the queries j11_ and s14_")
-    rows = _kept(_joined(_plain(raw)), options)
-    rows = rows.repartition(*TX)
-    ends = rows.where(F.col("op_code") == codes.COMMIT).select(*TX, F.col("scn").alias("commit_scn"), F.col("ts").alias("commit_ts"))
-    changes = mark_survivors(rows.where(~F.col("op_code").isin(*codes.TX_CODES)), TX, "rid", "pos").where("survives").join(ends, TX)
-    parsed = _with_large(changes) if options.large_values == LargeMode.INLINE else _parsed(changes)
-    return rendered(numbered(parsed), keys or {}, options, server, layouts)
+    plain = _plain(raw)
+    if options.large_values != LargeMode.INLINE:
+        return rendered(_parsed(numbered(_surviving(plain, options))), keys or {}, options, server, layouts)
+    edited = plain.where(F.col("op_code").isin(*LARGE_CODES)).select(*TX).distinct()
+    n = edited.count()
+    known = F.broadcast(edited) if n <= BROADCAST_EDITED else edited
+    parsed = _parsed(numbered(_surviving(plain.join(known, TX, "left_anti") if n else plain, options)))
+    if n:
+        parsed = parsed.unionByName(numbered(_with_large(_surviving(plain.join(known, TX, "left_semi"), options))))
+    return rendered(parsed, keys or {}, options, server, layouts)
