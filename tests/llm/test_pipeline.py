@@ -5,11 +5,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidelog.llm import toxicity
 from tidelog.llm.queries import QUERIES, TOXICITY_CATEGORIES, toxicity_labels
+from tidelog.llm.shared import BATCH_BYTES
 
 from .test_simhash import plain_groups
 from .test_spans import plain_secrets
@@ -69,6 +72,18 @@ def test_odd_rows_through_all_stages(spark, sf_dir, tmp_path, monkeypatch):
         assert all(whole[r["doc_id"]] == r["doc_tokens"] for r in out)
 
 
+@pytest.mark.parametrize("name", ["toxicity", "simhash_near_dedup", "packing"])
+def test_long_texts_come_in_small_batches(spark, sf_dir, name):
+    kept = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(kept)
+    dict(corpus_pipeline.STAGES)[name](spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+    long = spark.range(0, 2000, 1, 1).selectExpr("id doc_id", "repeat('some words ', 1000) text")
+    sizes = lambda found: (pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["rows", "size"]) for b in found)
+    got = long.mapInArrow(sizes, "rows long, size long").collect()
+    spark.conf.unset(kept)
+    assert sum(r["rows"] for r in got) == 2000 and max(r["size"] for r in got) < 1.5 * BATCH_BYTES  # of 22 MB
+
+
 def test_all_operators_are_registered():
     assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
 

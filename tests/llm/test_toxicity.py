@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidelog.llm import toxicity
@@ -105,3 +107,20 @@ def test_against_a_plain_chain():
     assert np.abs(got - known).max() < 1e-6
     best = [t for t in sorted(set(unseen[:, 1])) if labels[unseen[:, 1] >= t, 1].mean() >= toxicity.PRECISION]
     assert not best or (unseen[:, 1] >= chain.threshold).sum() == (unseen[:, 1] >= best[0]).sum()
+
+
+def test_training_rows_stay_arrays():
+    """In the order of plain lists, empty and repeated ones too, and in a small part of their memory."""
+    rng = np.random.default_rng(3)
+    rows = [sorted(rng.choice(2048, rng.integers(0, 300), replace=False).tolist()) for _ in range(3000)]
+    rows += [*rows[:50], [], [1], [1, 256], [1, 2], [256]]
+    fold, y = (rng.integers(0, n, len(rows)).tolist() for n in (5, 2))
+    whole = pa.table({"at": pa.array(rows, pa.list_(pa.int32())), "fold": fold, "y0": y})
+    got = pa.concat_tables([whole.slice(0, 700), whole.slice(700, 0), whole.slice(700)])
+    want = sorted(zip(rows, fold, y, strict=True))
+    tracemalloc.start()
+    at, labels, folds = toxicity._in_order(got)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(a.tolist(), f, v) for a, f, (v,) in zip(at, folds.tolist(), labels.tolist(), strict=True)] == want
+    assert peak < 5_000_000  # as lists 20 MB

@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -113,10 +114,10 @@ class Chain:
         return out
 
 
-def fit_chain(names: list[str], kept: np.ndarray, rows: list[list[int]], labels: np.ndarray, folds: np.ndarray) -> Chain:
+def fit_chain(names: list[str], kept: np.ndarray, rows: list[list[int]] | list[np.ndarray], labels: np.ndarray, folds: np.ndarray) -> Chain:
     n = len(rows)
     row = np.repeat(np.arange(n), [len(r) for r in rows])
-    col = np.array([k for r in rows for k in r], np.int64)
+    col = np.concatenate([np.zeros(0, np.int64), *rows]).astype(np.int64)
     unseen = np.zeros((n, 0))
     models = []
     for c in range(len(names)):
@@ -200,8 +201,18 @@ def train(docs: DataFrame, labels: DataFrame, names: list[str], ws: Workspace) -
 
     shape = T.StructType([T.StructField("at", T.ArrayType(T.IntegerType())), *text.schema.fields[1:]])
     got = text.mapInArrow(reduce, shape).toArrow()  # SAMPLE rows, FEATURES small numbers each at most
-    rows = sorted(zip(got.column("at").to_pylist(), got.column("fold").to_pylist(), *(got.column(f"y{k}").to_pylist() for k in range(len(names))), strict=True))  # sums in one order
-    return fit_chain(names, kept, [r[0] for r in rows], np.array([r[2:] for r in rows]), np.array([r[1] for r in rows]))
+    return fit_chain(names, kept, *_in_order(got))
+
+
+def _in_order(got: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Rows of places, labels and folds of ``got(at, ..., fold, y...)``, ascending, so that sums have one order.
+
+    Places stay arrays of numbers: as lists of objects those of SAMPLE rows take some 200 MB of the driver.
+    """
+    at = [x for part in got.column("at").chunks for x in np.split(part.flatten().to_numpy(), np.cumsum(pc.list_value_length(part).to_numpy())[:-1]) if len(part)]
+    rest = np.column_stack([got.column(c).to_numpy() for c in got.column_names if c != "at"])
+    order = sorted(range(len(at)), key=lambda k: (at[k].astype(">u4").tobytes(), *rest[k].tolist()))  # of bytes: as the numbers ascend
+    return [at[k] for k in order], rest[order, 1:], rest[order, 0]
 
 
 def score(docs: DataFrame, chain: Chain | None, names: list[str]) -> DataFrame:
