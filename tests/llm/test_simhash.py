@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidelog.llm import simhash
+from tidelog.llm import shared, simhash
 from tidelog.llm.shared import Workspace, components
 
 from .conftest import frame
@@ -151,6 +151,32 @@ def test_hub_of_links(spark):
     assert len(got) == 2051 and all(r["component"] == (0 if r["node"] < 9000 else 9000) for r in got)
 
 
+def test_components_take_few_plans(spark):
+    edges = [(k, k + 1) for k in range(3000)] + [(9000, k) for k in range(9001, 9500)]
+    context = spark.sparkContext
+    context.setJobGroup("few plans", "components")
+    got = components(spark.createDataFrame(edges, "u long, v long"), Workspace(spark)).collect()
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(got) == 3501 and {r["component"] for r in got} == {0, 9000}
+    assert len(context.statusTracker().getJobIdsForGroup("few plans")) <= 8  # of rounds over the whole graph it were dozens
+
+
+@pytest.mark.parametrize("most", [1, 7, 400])
+def test_components_by_blocks(spark, monkeypatch, most):
+    rng = random.Random(most)
+    names = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(160)]
+    edges = [(names[k], names[k + 1]) for k in range(39)] + [(names[40], n) for n in names[41:110]] + [(rng.choice(names[110:]), rng.choice(names[110:])) for _ in range(30)]
+    edges += [(v, u) for u, v in edges[:20]] + [(names[150], names[150])] + [(names[0], None)]
+    rng.shuffle(edges)
+    linked = {frozenset(e) for e in edges}
+    nodes = sorted({n for u, v in edges if v is not None and u != v for n in (u, v)})
+    label = plain_components(nodes, lambda a, b: frozenset((a, b)) in linked)
+    want = {n: min(m for m in nodes if label[m] == label[n]) for n in nodes}
+    monkeypatch.setattr(shared, "BLOCK_LINKS", most)
+    got = components(spark.createDataFrame(edges, "u long, v long").repartition(3), Workspace(spark)).collect()
+    assert len(got) == len(want) and {r["node"]: r["component"] for r in got} == want
+
+
 def test_empty_and_no_ids(none, no_id):
     assert simhash.near_duplicates(none).count() == 0
     assert simhash.one_of_each(none).count() == 0

@@ -392,8 +392,7 @@ def near_duplicates(docs: DataFrame, setting: Setting = BITS_4) -> DataFrame:
     each = ws.save(each.withColumn("node", F.monotonically_increasing_id() if len(own) > 1 else F.col("fp")), "distinct")
     found = components(links(each, ws, setting), ws)
     if setting.ratio:
-        close = ws.save(found, "close")
-        found = components(verified(each.join(close, "node").select("node", "component", "rep.*", *own), docs, ws, setting), ws, "verified")
+        found = components(verified(each.join(found, "node").select("node", "component", "rep.*", *own), docs, ws, setting), ws, "verified")
     named = each.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = ws.save(named.select(*own, "least", "rows", "component"), "named")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("held"))
