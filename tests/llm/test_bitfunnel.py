@@ -7,6 +7,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.dataset as ds
 import pytest
 
 from tidelog.llm import bitfunnel
@@ -87,3 +89,28 @@ def test_bounds_are_not_below_scores(rows):
                 near += bounds[item, k] <= 1.5 * score
                 pairs += 1
     assert near > 0.5 * pairs
+
+
+def test_index_is_written_and_read_by_size(spark, monkeypatch):
+    """A file's row groups and a task's Arrow batches hold few blocks, however many the file holds."""
+    monkeypatch.setattr(bitfunnel, "BLOCK_BYTES", 1 << 16)
+    kept = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(kept)
+    seen, search = [], bitfunnel.search
+    monkeypatch.setattr(bitfunnel, "search", lambda blocks, queries: seen.append(blocks) or search(blocks, queries))
+    monkeypatch.setattr(bitfunnel, "BY_SIZE", bitfunnel.BY_SIZE | {"parquet.block.size": str(1 << 20)})
+    long = spark.range(0, 4000, 1, 1).selectExpr("id doc_id", "concat_ws(' ', transform(sequence(1, 400), x -> hex(xxhash64(x, id)))) text")
+    asked = spark.createDataFrame([(1, "some words")], "item_id long, text string")
+    bitfunnel.ranked(long, asked)
+    groups = [g.total_byte_size for f in ds.dataset(seen[0].inputFiles()[0].removeprefix("file://")).get_fragments() for g in f.row_groups]
+    sizes = lambda found: (pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["rows", "size"]) for b in found)
+    batches = seen[0].mapInArrow(sizes, "rows long, size long").collect()
+    spark.conf.unset(kept)
+    assert sum(groups) > 16 << 20 and max(groups) < 6 << 20
+    assert sum(b["size"] for b in batches) > 16 << 20 and max(b["size"] for b in batches) < 12 << 20
+
+
+def test_counts_of_asked_terms():
+    counts = Counter(b"of the of words".split())
+    queries = bitfunnel.Queries([(1, Counter([b"of", b"nowhere"]))], {b"of": 1}, 1, 4, 20)
+    assert queries.counted(b"OF the of words") == {b"of": 2} and queries.exact(0, queries.counted(b"OF the of words"), 1200) == queries.exact(0, counts, 1200)

@@ -28,14 +28,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import Workspace
-from .tokens import _Memory
+from .shared import Workspace, small_batches
 
 HASHES = 6
 BITS = 16  # of a signature for each setting of a term, at least
 LEVELS = 16  # powers of two of a term's count; beyond, a count is unbounded
 BLOCK_DOCS, BLOCK_BITS, BLOCK_BYTES = 1024, 1 << 25, 1 << 22
-PENDING_BYTES = 32 << 20  # of texts that a task holds for unfinished blocks
+PENDING_BYTES = 16 << 20  # of texts that a task holds for unfinished blocks
+GROUP_BYTES = 4 << 20  # compressed, of a row group; a block may be larger
+#: A block is one large row, so the file's row groups and pages must end by size from the first row on: both sides of the
+#: exchange hold a row group, and Parquet by itself looks at the size only after 100 rows, which is a whole file of blocks.
+BY_SIZE = {"parquet.block.size": str(GROUP_BYTES), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
 ITEMS = 256
 TERMS = 1024  # of a query whose bitmaps are held at a time
 INDEX = "bits long, docs array<long>, lengths array<long>, slices binary, texts array<binary>"
@@ -61,10 +64,6 @@ def _places(hashes: np.ndarray, level: int, bits: int) -> np.ndarray:
     return (first[:, None] + step[:, None] * np.arange(HASHES, dtype=np.uint64)) % np.uint64(bits)
 
 
-def _hashes() -> _Memory:
-    return _Memory(xxhash.xxh3_64_intdigest, {})
-
-
 # -- index ----------------------------------------------------------------------------------------------
 
 
@@ -72,7 +71,6 @@ class _Blocks:
     """Documents waiting for a full block, by signature length."""
 
     def __init__(self) -> None:
-        self.hashes = _hashes()
         self.held: dict[int, list[tuple]] = defaultdict(list)
         self.sizes: Counter = Counter()
 
@@ -80,13 +78,13 @@ class _Blocks:
         found = counted(text)
         if not found:
             return
-        hashes = np.fromiter(map(self.hashes.__getitem__, found), np.uint64, len(found))
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
         counts = np.fromiter(found.values(), np.int64, len(found))
         settings = sum(int((counts >= 1 << level).sum()) for level in range(LEVELS))
         bits = 64
         while bits < BITS * settings:
             bits = bits * 3 // 2 if bits & (bits - 1) == 0 else bits * 4 // 3  # 64, 96, 128, 192, ...
-        self.held[bits].append((doc, int(counts.sum()), text, hashes, counts))
+        self.held[bits].append((doc, int(counts.sum()), text, hashes, np.minimum(counts, 1 << LEVELS - 1).astype(np.uint16)))
         self.sizes[bits] += len(text)
         if len(self.held[bits]) >= BLOCK_DOCS or bits * len(self.held[bits]) >= BLOCK_BITS or self.sizes[bits] >= BLOCK_BYTES:
             yield self.out(bits)
@@ -148,6 +146,7 @@ class Queries:
         self.terms = sorted({t for _, found in items for t in found if df.get(t)})
         place = {t: k for k, t in enumerate(self.terms)}
         weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) for t in self.terms}
+        self.asked = frozenset(self.terms)
         self.numbers = [k for k, _ in items]
         self.weights = [{t: weight[t] * c for t, c in found.items() if t in weight} for _, found in items]
         self.matrix = np.zeros((len(items), len(self.terms)))
@@ -187,6 +186,10 @@ class Queries:
             total += self.matrix[:, rows] @ values
         return total
 
+    def counted(self, text: bytes) -> Counter:
+        """Counts of the asked terms alone, of which a task holds a block's."""
+        return Counter(filter(self.asked.__contains__, terms(text)))
+
     def exact(self, item: int, found: Counter, spread: int) -> int:
         total = 0
         for t, w in self.weights[item].items():
@@ -215,7 +218,7 @@ class _Best:
                 if bounds[item, k] < self.least[item]:
                     break
                 if k not in counts:
-                    counts[k] = counted(text(k))
+                    counts[k] = self.queries.counted(text(k))
                 self.scored += 1
                 score = self.queries.exact(item, counts[k], spread[k])
                 if score > 0:
@@ -254,7 +257,8 @@ def search(blocks: DataFrame, queries: Queries) -> DataFrame:
 def ranked(docs: DataFrame, items: DataFrame, top: int = 20) -> DataFrame:
     """``(item_id, rank, doc_id, score)``: for each row of ``items(item_id, text)`` its ``top`` rows of ``docs(doc_id, text)`` with a score above 0."""
     spark, ws = docs.sparkSession, Workspace(docs.sparkSession)
-    blocks = ws.save(index(docs), "index")
+    small_batches(spark)
+    blocks = ws.save(index(docs), "index", **BY_SIZE)
     n_docs, n_terms = blocks.agg(F.sum(F.size("docs")), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda x, y: x + y))).first()
     asked = ws.save(items.select("item_id", "text", F.monotonically_increasing_id().alias("number")), "items")
     parts = []
