@@ -6,10 +6,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tidelog.llm import bpe, packing, token_counts, token_files
+from tidelog.llm import bpe, packing, token_counts, token_files, tokens
 from tidelog.llm.shared import Workspace
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -69,6 +70,31 @@ def test_packing(docs, none, rows, ids):
     assert packing.pack(none, BYTES).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 200, 4 << 20])
+def test_columns_of_texts(rows, ids, monkeypatch, size):
+    """Ids by column are those of the library, wherever a column is divided and whatever meets at its texts' ends."""
+    monkeypatch.setattr(tokens, "COLUMN_BYTES", size)
+    rng, library = random.Random(5), Tokenizer.from_file(BYTES)
+    parts = ["'", "'s", "'re", "'l", "ve", "s", " ", "  ", "\n", "\u00a0", "\u3000", "a", "1", "\u00e9", "\u00bd", "!", "\x1c", "\U0001f642", "\u0301", "<|endo", "ftext|>", "<|endoftext|>"]
+    odd = ["".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(3000)]
+    want = [*ids, *(np.array([*library.encode(t, add_special_tokens=False).ids, 0], "<u4") for t in odd)]
+    column = pa.array(["left out", *(t for _, t in rows), *odd], pa.string()).slice(1)
+    coder = tokens.byte_coder(BYTES)
+    assert coder.cutter.columns_proven
+    assert [coder.wide(x) for x in coder.rows(column, 0)] == [x.tobytes() for x in want]
+    assert list(coder.rows(column.slice(0, 0), 0)) == [] and list(coder.rows(pa.array([None, ""], pa.string()))) == [b"", b""]
+
+
+def test_pieces_of_one_length_are_dealt_at_once(monkeypatch):
+    met, pop = [], packing.heapq.heappop
+    monkeypatch.setattr(packing.heapq, "heappop", lambda heap: met.append(1) or pop(heap))
+    lengths = [128] * 700 + list(range(1, 101))
+    where = packing.windows(lengths, 1024)
+    sums = np.bincount(where, weights=lengths)
+    assert sums.max() <= 1024 and sums.max() - sums.min() <= 40 and len(sums) == -(-sum(lengths) // 1024)
+    assert len(met) == 200  # a meeting for each of the other pieces
+
+
 def test_many_empty_documents(spark):
     many = spark.range(40_000).selectExpr("id as doc_id", "cast(null as string) as text").coalesce(1)
     got = packing.pack(many, BYTES)

@@ -36,34 +36,47 @@ OUT_ROWS = 20_000
 
 
 def _difference(lengths: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Window of each piece, and the windows' sums, by the largest differencing of k-way partitions."""
-    n = len(lengths)
-    sums = {p: np.zeros(k, np.int64) for p in range(n)}
-    for p, length in enumerate(lengths):
-        sums[p][0] = length
-    node = {p: np.where(np.arange(k) == 0, p, -1) for p in range(n)}
-    below: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # merged nodes: own number, two children
-    heap = [(-length, p) for p, length in enumerate(lengths)]
+    """Window of each piece, and the windows' sums, by the largest differencing of k-way partitions.
+
+    The longest pieces meet first, one a window; as many as fill all windows alike leave no difference and are dealt at
+    once, the rest of them are one partition from the start. Partitions stand with their fullest window in front.
+    """
+    where = np.full(len(lengths), -1)
+    at_most = np.array(lengths)
+    longest = np.flatnonzero(at_most == at_most.max())
+    whole = len(longest) - len(longest) % k
+    where[longest[:whole]] = np.arange(whole) % k
+    starts = [longest[whole:]] if whole < len(longest) else []
+    starts += np.flatnonzero(at_most < at_most.max())[:, None].tolist()
+    sums, node, heap = {}, {}, []
+    for p, pieces in enumerate(starts):
+        sums[p], node[p] = np.zeros(k, np.int64), np.full(k, -1)
+        sums[p][: len(pieces)], node[p][: len(pieces)] = at_most[pieces], pieces
+        heap.append((-int(sums[p][0] - sums[p][-1]), p))
     heapq.heapify(heap)
-    fresh = n
+    below: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # merged nodes: own number, two children
+    fresh = len(lengths)
     while len(heap) > 1:
         a, b = heapq.heappop(heap)[1], heapq.heappop(heap)[1]
-        down, up = np.argsort(-sums[a], kind="stable"), np.argsort(sums[b], kind="stable")
-        total, left, right = sums.pop(a)[down] + sums.pop(b)[up], node.pop(a)[down], node.pop(b)[up]
-        both = (left >= 0) & (right >= 0)
+        total, left, right = sums.pop(a) + sums.pop(b)[::-1], node.pop(a), node.pop(b)[::-1]
         own = np.where(left >= 0, left, right)
-        if both.any():
-            own[both] = np.arange(fresh, fresh + int(both.sum()))
+        both = np.flatnonzero((left >= 0) & (right >= 0))
+        if len(both):
+            own[both] = np.arange(fresh, fresh + len(both))
             below.append((own[both], left[both], right[both]))
-            fresh += int(both.sum())
-        sums[a], node[a] = total - total.min(), own  # what all windows hold makes no difference
-        heapq.heappush(heap, (-int(sums[a].max()), a))
-    last = heap[0][1]
+            fresh += len(both)
+        down = np.argsort(-total, kind="stable")
+        total = total[down]
+        sums[a], node[a] = total - total[-1], own[down]  # what all windows hold makes no difference
+        heapq.heappush(heap, (-int(sums[a][0]), a))
     at = np.full(fresh, -1)
-    at[node[last][node[last] >= 0]] = np.flatnonzero(node[last] >= 0)
+    at[: len(lengths)] = where
+    if heap:
+        last = node[heap[0][1]]
+        at[last[last >= 0]] = np.flatnonzero(last >= 0)
     for own, left, right in reversed(below):
         at[left], at[right] = at[own], at[own]
-    where = at[:n]
+    where = at[: len(lengths)]
     return where, np.bincount(where, weights=lengths, minlength=k).astype(np.int64)
 
 
@@ -117,8 +130,8 @@ def pack(docs: DataFrame, path: str, capacity: int = 1024, end: int = 0) -> Data
 
         for batch in found:
             arrow_id = batch.schema.field(0).type
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = coder.wide(coder.ids(text.as_py(), end))
+            for doc, found_ids in zip(batch.column(0).to_pylist(), coder.rows(batch.column(1), end), strict=True):
+                ids = coder.wide(found_ids)
                 n = len(ids) // 4
                 view = memoryview(ids)
                 for start, length in cut(n, capacity):

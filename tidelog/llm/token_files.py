@@ -65,8 +65,7 @@ def write(docs: DataFrame, folder: str, path: str, end: int = 0, shards: int | N
         while batch is not None:
             doc_out.write(batch.column(0).fill_null(0).to_numpy().astype("<i8").tobytes())
             set_out.write(batch.column(0).is_valid().to_numpy(zero_copy_only=False).astype("u1").tobytes())
-            for text in batch.column(1):
-                ids = coder.ids(text.as_py(), end)
+            for ids in coder.rows(batch.column(1), end):
                 ids_out.write(ids)
                 at += len(ids) // coder.dtype.itemsize
                 offsets.append(at)
