@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 import os
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
 import pytest
 
-from tidelog.llm import repeats
+from tidelog.llm import repeats, shared
 
 
 def plain(rows, length):
@@ -93,6 +94,38 @@ def test_repeated_ids(spark):
     assert got(repeats.digests(spark.createDataFrame(rows, "doc_id long, text string"))) == plain(rows, 100)
 
 
+def test_disk_goes_back_with_each_stage(spark, tmp_path, monkeypatch):
+    """Of a run only the spans stay, and no shuffle of a stage that is written."""
+    monkeypatch.setattr(shared, "shared_root", lambda spark: f"file://{tmp_path}")
+    kept = lambda: {x for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+    rows = corpus(7, 120)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    before = kept()
+    found = repeats.digests(df)
+    until = time.monotonic() + 10
+    while kept() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not kept() - before
+    assert [p.name for p in tmp_path.glob("tidelog/*/*")] == ["spans"]
+    assert got(found) == plain(rows, 100) and got(found) == plain(rows, 100)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
+def test_spans_are_joined_across_batches(spark):
+    rng = random.Random(2)
+    spans = [(d, d % 3, a, a + rng.randint(1, 40)) for d in range(30) for a in rng.choices(range(900), k=40)]
+    spans += [(-5, 0, 0, 7), (-5, 0, 7, 9), (-5, 0, 2, 3), (-5, 1, 0, 2), (-5, 1, 3, 4)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    have = sorted(map(tuple, repeats.joined(spark.createDataFrame(spans, repeats.SPANS)).collect()))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = []
+    for d, h in sorted({x[:2] for x in spans}):
+        covered = sorted({at for x in spans if x[:2] == (d, h) for at in range(*x[2:])})
+        starts = [a for a in covered if a - 1 not in covered]
+        want += [(d, h, a, next(b for b in range(a, 1000) if b not in covered)) for a in starts]
+    assert have == want
+
+
 def test_groups_hold_all_occurrences(spark):
     rows = corpus(6, 120)
     found = repeats.Repeats(spark.createDataFrame(rows, "doc_id long, text string"), 60, members=True)

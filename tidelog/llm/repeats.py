@@ -14,6 +14,9 @@ A run with over ``BLOCK`` different pieces is cut into blocks of so many; each b
 windows, and these are compared across blocks by their 128-bit hash. Runs that hold over a ``HEAVY``-th of all pieces
 are dealt to ``SALTS`` tasks by piece. A task's own copies are taken out before the shuffle.
 
+Disk: rows are told by run in ``ROUNDS`` rounds, each a shuffle of its share of the runs; a stage's shuffles go when its
+table stands, and a table when the stages that read it are written. The result reads the documents and ``spans``.
+
 What is removed is each byte of a string of ``length`` bytes that also starts earlier: at a smaller id, or in the same
 document before. Two different pieces around one run are taken for copies if 64 bits of XXH3 agree, which for a run
 of n pieces has a chance of n * n / 2**65.
@@ -34,6 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .shared import Workspace, join_weighted
 
@@ -41,6 +45,7 @@ GRAM = 24
 STRETCH = 1 << 20
 COMBINED = 1 << 18  # pieces of a task whose copies are taken out together
 HEAVY, SALTS = 1024, 64
+ROUNDS = 2
 BLOCK = 128
 FLUSH = 1 << 16  # different pieces of a run held while its size is not known
 SORTED_BYTES = 1 << 20  # of pieces whose suffixes are sorted together
@@ -84,21 +89,39 @@ def _stretch(data: np.ndarray, length: int, base: int) -> tuple[np.ndarray, np.n
     return base + first, base + anchor[first], base + last
 
 
-def _combined(g: np.ndarray, c: np.ndarray, doc: np.ndarray, h: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    """Rows of pieces, of which only the first of each is left to compare; runs that may be heavy are hinted at."""
+def _combined(g: np.ndarray, c: np.ndarray, doc: np.ndarray, h: np.ndarray, start: np.ndarray, n: np.ndarray, length: int, each: bool) -> pa.RecordBatch:
+    """Rows of pieces, of which only the first of each is left to compare; runs that may be heavy are hinted at.
+
+    Copies that meet in a text are one row, without run and piece; where ``each`` is set every copy has its own.
+    """
     order = np.lexsort((start, doc, c, g))
     g, c, doc, h, start, n = (x[order] for x in (g, c, doc, h, start, n))
     new = np.append(True, (g[1:] != g[:-1]) | (c[1:] != c[:-1]))
     head = np.flatnonzero(new)[np.cumsum(new) - 1]
     same = (doc == doc[head]) & (start == start[head])  # the first itself, or a repeated row
-    kind = np.where(new, PIECE, COPY).astype(np.int8)
-    keep = new | ~same
+    copies = [x[~new & ~same] for x in (g, c, doc, h, start, n)]
+    if len(copies[0]) and not each:
+        order = np.lexsort((copies[4], copies[3], copies[2]))
+        rows = [x[order] for x in copies[2:]]
+        where, stop = _merged(*rows[:3], rows[2] + rows[3] + length)
+        none = np.zeros(len(where), np.int64)
+        copies = [none, none, *(x[where] for x in rows[:3]), (stop - length - rows[2][where]).astype(np.int32)]
     runs, count = np.unique(g[new], return_counts=True)
     often = count >= max(4, len(count) // (2 * HEAVY))
     more = np.zeros(int(often.sum()), np.int64)
-    columns = [kind[keep], g[keep], c[keep], doc[keep], h[keep], start[keep], n[keep]]
+    columns = [np.full(int(new.sum()), PIECE, np.int8), *(x[new] for x in (g, c, doc, h, start, n))]
+    copies = [np.full(len(copies[0]), COPY, np.int8), *copies]
     hints = [np.full(len(more), HINT, np.int8), runs[often], count[often].astype(np.int64), more, more.astype(np.int32), more, more.astype(np.int32)]
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(columns, hints, strict=True)], names=[x.split()[0] for x in ROWS.split(", ")])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(columns, copies, hints, strict=True)], names=[x.split()[0] for x in ROWS.split(", ")])
+
+
+def _merged(doc: np.ndarray, h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of spans sorted by document, text and start: where those begin that meet no span before, and the end of all that meet them."""
+    of = np.cumsum(np.append(False, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])))
+    wide = int(stop.max()) + 1
+    reach = np.maximum.accumulate(of * wide + stop)  # a later document's are above all of those before
+    where = np.flatnonzero(np.append(True, (of * wide + start)[1:] > reach[:-1]))
+    return where, reach[np.append(where[1:], len(doc)) - 1] - of[where] * wide
 
 
 def placed(docs: DataFrame) -> DataFrame:
@@ -106,8 +129,8 @@ def placed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("doc"), F.hash(F.coalesce("text", F.lit(""))).alias("h"))
 
 
-def all_pieces(docs: DataFrame, length: int) -> DataFrame:
-    """The pieces of ``placed`` documents: run, hash, document, first window and how many follow it."""
+def all_pieces(docs: DataFrame, length: int, each: bool = False) -> DataFrame:
+    """The pieces of ``placed`` documents: run, hash, document, first window and how many follow it. ``each`` as in ``_combined``."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -125,10 +148,10 @@ def all_pieces(docs: DataFrame, length: int) -> DataFrame:
                 held.append((np.array(run, np.uint64).view(np.int64), np.array(own, np.uint64).view(np.int64), np.full(k, doc), np.full(k, h, np.int32), first, (last - first).astype(np.int32)))
                 size += k
                 if size >= COMBINED:
-                    yield _combined(*map(np.concatenate, zip(*held, strict=True)))
+                    yield _combined(*map(np.concatenate, zip(*held, strict=True)), length, each)
                     held, size = [], 0
         if held:
-            yield _combined(*map(np.concatenate, zip(*held, strict=True)))
+            yield _combined(*map(np.concatenate, zip(*held, strict=True)), length, each)
 
     return docs.select("text", "doc", "h").mapInArrow(batches, ROWS)
 
@@ -155,7 +178,8 @@ class _Runs:
         new = run | np.append(True, c[1:] != c[:-1])
         head = np.flatnonzero(new)[np.cumsum(new) - 1]
         copy = (doc != doc[head]) | (start != start[head])
-        out = [self._rows(COPY, [x[copy] for x in rows], np.zeros(int(copy.sum()), np.int64), np.zeros(int(copy.sum()), bool))]
+        none = np.zeros(int(copy.sum()), np.int64)
+        out = [self._rows(COPY, [none, none, none, *(x[copy] for x in rows[3:])], none, none.astype(bool))]
         rows = tuple(x[new] for x in rows)
         at = np.flatnonzero(run[new])
         number = np.cumsum(run[new]) - 1
@@ -182,19 +206,24 @@ class _Runs:
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(g), kind, np.int8), g, c, block, multi, doc, h, start, n)], names=[x.split()[0] for x in GROUPED.split(", ")])
 
 
-def grouped(rows: DataFrame, total: int) -> DataFrame:
+def heavy_runs(rows: DataFrame, total: int) -> DataFrame:
+    """The runs that may hold a ``HEAVY``-th of all pieces or more, ``HEAVY`` of them at most."""
+    return rows.where(F.col("kind") == HINT).groupBy("g").agg(F.sum("c").alias("k")).where(F.col("k") * HEAVY >= total).select("g", F.lit(True).alias("heavy"))
+
+
+def grouped(rows: DataFrame, heavy: DataFrame, length: int) -> DataFrame:
     """Copies of pieces, and the pieces to compare with others of their run."""
-    heavy = rows.where(F.col("kind") == HINT).groupBy("g").agg(F.sum("c").alias("k")).where(F.col("k") * HEAVY >= total).select("g", F.lit(True).alias("heavy"))
-    # HEAVY runs at most hold a HEAVY-th of all pieces each.
     dealt = rows.where(F.col("kind") == PIECE).join(F.broadcast(heavy), "g", "left")
-    dealt = dealt.select("g", F.when(F.col("heavy"), F.pmod("c", F.lit(SALTS))).otherwise(-1).cast("int").alias("sub"), "c", "doc", "h", "start", "n")
-    dealt = dealt.repartition("g", "sub").sortWithinPartitions("g", "sub", "c", "doc", "start")
+    # a piece has under ``length`` windows; the fewer the columns, the shorter the rows that are shuffled
+    dealt = dealt.select(F.when(F.col("heavy"), F.pmod("c", F.lit(SALTS))).otherwise(-1).cast("int").alias("sub"), "g", "c", "h", "doc", (F.col("start") * length + F.col("n")).alias("place"))
+    dealt = dealt.repartition("g", "sub").sortWithinPartitions("g", "sub", "c", "doc", "place")
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = _Runs()
         empty = None
         for batch in found:
-            columns = tuple(x.to_numpy(zero_copy_only=False) for x in batch.columns)
+            sub, g, c, h, doc, place = (x.to_numpy(zero_copy_only=False) for x in batch.columns)
+            columns = (g, sub, c, doc, h, place // length, (place % length).astype(np.int32))
             empty = tuple(x[:0] for x in columns)
             yield from runs.take(columns, False)
         if empty is not None:
@@ -388,37 +417,74 @@ def compared(texts: DataFrame, length: int, members: bool = False) -> DataFrame:
 
 # -- results --------------------------------------------------------------------------------------------
 
+SPANS = "doc long, h int, start long, stop long"
+
+
+def joined(spans: DataFrame) -> DataFrame:
+    """``(doc, h, start, stop)`` of the maximal spans, of spans that may overlap."""
+    dealt = spans.select("doc", "h", "start", "stop").repartition("doc", "h").sortWithinPartitions("doc", "h", "start")
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        for batch in found:
+            rows = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
+            if held is not None:
+                rows = [np.append(x, y) for x, y in zip(held, rows, strict=True)]
+            if not len(rows[0]):
+                continue
+            where, stop = _merged(*rows)
+            out = [*(x[where] for x in rows[:3]), stop]
+            held = [x[-1:] for x in out]  # may go on in the next batch
+            yield pa.RecordBatch.from_arrays([pa.array(x[:-1]) for x in out], names=["doc", "h", "start", "stop"])
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["doc", "h", "start", "stop"])
+
+    return dealt.mapInArrow(batches, SPANS)
+
 
 class Repeats:
-    """The repeats of ``length`` bytes or more in ``docs(doc_id, text)``, found in written stages."""
+    """The repeats of ``length`` bytes or more in ``docs(doc_id, text)``, found in written stages.
+
+    With ``members`` the tables that ``groups`` reads stay.
+    """
 
     def __init__(self, docs: DataFrame, length: int = 100, members: bool = False):
         if length < GRAM:
             raise ValueError(f"repeats have {GRAM} bytes at least")
-        self.docs, self.length = placed(docs), length
+        self.docs, self.length, self.members = placed(docs), length, members
         self.ws = ws = Workspace(docs.sparkSession)
-        self.pieces = ws.save(all_pieces(self.docs, length), "pieces")
+        self.pieces = ws.save_freed(all_pieces(self.docs, length, members), "pieces")
         total = self.pieces.where(F.col("kind") == PIECE).count()
-        self.grouped = ws.save(grouped(self.pieces, total), "grouped")
+        heavy = ws.save_freed(heavy_runs(self.pieces, total), "heavy")
+        for k in range(ROUNDS):
+            self.grouped = ws.save_freed(grouped(self.pieces.where(F.pmod("g", F.lit(ROUNDS)) == k), heavy, length), "grouped", append=True)
+        self.copies = ws.save_freed(self.pieces.where(F.col("kind") == COPY).select("doc", "h", "start", "n"), "copies")
+        if not members:
+            ws.drop("pieces")
         texts = texts_of(self.grouped.where(F.col("kind") == PIECE), self.docs, length)
-        self.found = ws.save(compared(texts, length, members), "found")
+        self.found = ws.save_freed(compared(texts, length, members), "found")
 
     def spans(self) -> DataFrame:
-        """``(doc, h, start, stop)`` of bytes that also stand at an earlier place; spans may overlap."""
-        copies = self.pieces.where(F.col("kind") == COPY).select("doc", "h", "start", "n").unionByName(self.grouped.where(F.col("kind") == COPY).select("doc", "h", "start", "n"))
+        """``(doc, h, start, stop)`` of the maximal spans of bytes that also stand at an earlier place; what only they read goes."""
+        copies = self.copies.unionByName(self.grouped.where(F.col("kind") == COPY).select("doc", "h", "start", "n"))
         copies = copies.select("doc", "h", "start", (F.col("start") + F.col("n") + self.length).alias("stop"))
         within = self.found.where(F.col("kind") == SPAN).select("doc", "h", "start", "stop")
         windows = self.found.where(F.col("kind") == WINDOW).select("a", "b", "doc", "h", "start")
-        each = windows.groupBy("a", "b").agg(F.min(F.struct("doc", "start")).alias("first"), F.count("*").alias("k")).where("k > 1")
-        again = join_weighted(windows, each, ["a", "b"], "k", windows.count())
-        again = again.where((F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start"))).select("doc", "h", "start", (F.col("start") + self.length).alias("stop"))
-        return copies.unionByName(within).unionByName(again)
+        place = F.rank().over(Window.partitionBy("a", "b").orderBy("doc", "start"))  # a row a block at most, but for repeated rows, which are one place
+        again = windows.withColumn("place", place).where("place > 1").select("doc", "h", "start", (F.col("start") + self.length).alias("stop"))
+        spans = self.ws.save_freed(joined(copies.unionByName(within).unionByName(again)), "spans")
+        if not self.members:
+            for name in ("heavy", "grouped", "copies", "found"):
+                self.ws.drop(name)
+        return spans
 
     def groups(self) -> DataFrame:
         """``(group, length, doc_id, start)``: the maximal repeats within pieces, each with all of its occurrences.
 
         Copies of a piece are a group; so is each interval of a run's suffix array, by the copies of its pieces. A null id is ``LEAST_ID``.
         """
+        if not self.members:
+            raise ValueError("groups are held with members only")
         every = self.pieces.where(F.col("kind") != HINT).select("g", "c", "doc", "start", "n")
         held = every.groupBy("g", "c").count().where("count > 1")
         whole = join_weighted(every, held, ["g", "c"], "count", every.count())
@@ -432,7 +498,7 @@ class Repeats:
 def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept)`` for each row of ``docs(doc_id, text)``: ``kept`` holds its bytes without repeats."""
     found = Repeats(docs, length)
-    spans = found.spans().groupBy("doc", "h").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
+    spans = found.spans().groupBy("doc", "h").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
     joined = found.docs.join(spans, ["doc", "h"], "left").select("doc_id", "text", "spans")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
 
@@ -443,14 +509,11 @@ def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
                 data = (text.as_py() or "").encode()
                 kept, at, runs = [], 0, 0
                 if own.is_valid:
-                    start, stop = (own.values.field(k).to_numpy() for k in range(2))
-                    reach = np.maximum.accumulate(stop)
-                    new = np.append(True, start[1:] > reach[:-1])
-                    begin, end = start[new], reach[np.append(np.flatnonzero(new)[1:], len(start)) - 1]
-                    for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+                    start, stop = (own.values.field(k).to_pylist() for k in range(2))
+                    for a, b in zip(start, stop, strict=True):
                         kept.append(data[at:a])
                         at = b
-                    runs = len(begin)
+                    runs = len(start)
                 kept.append(data[at:])
                 left = b"".join(kept)
                 for x, y in zip(out, (len(data), len(data) - len(left), runs, left), strict=True):
