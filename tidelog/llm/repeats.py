@@ -46,9 +46,9 @@ STRETCH = 1 << 20
 COMBINED = 1 << 18  # pieces of a task whose copies are taken out together
 HEAVY, SALTS = 1024, 64
 ROUNDS = 2
-BLOCK = 128
+BLOCK = 2048
 FLUSH = 1 << 16  # different pieces of a run held while its size is not known
-SORTED_BYTES = 1 << 20  # of pieces whose suffixes are sorted together
+SORTED_BYTES = 3 << 18  # of pieces whose suffixes are sorted together, and a block more at most
 LEAST_ID = -(1 << 63)
 PIECE, COPY, HINT = 0, 1, 2  # kinds of rows
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xDA942042E4DD58B5)]
