@@ -10,6 +10,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidelog.llm import repeats, shared
 
@@ -111,6 +112,18 @@ def test_disk_goes_back_with_each_stage(spark, tmp_path, monkeypatch):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
 
 
+def test_runs_in_many_surroundings_take_rounds(spark, monkeypatch):
+    """Where most pieces are compared, no shuffle holds all of them."""
+    rng = random.Random(9)
+    base = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 8))) for _ in range(400)]
+    rows = [(k, " ".join(f"v{k}x{j}" if (j + k) % 13 == 0 else w for j, w in enumerate(base))) for k in range(12)] + [(20, " ".join(base[:90]) + " end " + " ".join(base[:60]))]
+    sizes = []
+    own = repeats.texts_of
+    monkeypatch.setattr(repeats, "texts_of", lambda asked, docs, length: sizes.append(asked.agg(F.sum(F.col("n") + length)).first()[0] or 0) or own(asked, docs, length))
+    assert got(repeats.digests(spark.createDataFrame(rows, "doc_id long, text string"))) == plain(rows, 100)
+    assert sum(sizes) > sum(len(t) for _, t in rows) and max(sizes) < 0.75 * sum(len(t) for _, t in rows)
+
+
 def test_spans_are_joined_across_batches(spark):
     rng = random.Random(2)
     spans = [(d, d % 3, a, a + rng.randint(1, 40)) for d in range(30) for a in rng.choices(range(900), k=40)]

@@ -14,8 +14,9 @@ A run with over ``BLOCK`` different pieces is cut into blocks of so many; each b
 windows, and these are compared across blocks by their 128-bit hash. Runs that hold over a ``HEAVY``-th of all pieces
 are dealt to ``SALTS`` tasks by piece. A task's own copies are taken out before the shuffle.
 
-Disk: rows are told by run in ``ROUNDS`` rounds, each a shuffle of its share of the runs; a stage's shuffles go when its
-table stands, and a table when the stages that read it are written. The result reads the documents and ``spans``.
+Disk: rows are told by run in ``ROUNDS`` rounds, each a shuffle of its share of the runs. Pieces are compared in as many
+rounds as keep those of one below half of all bytes, for where most runs stand in different pieces. A stage's shuffles
+go when its table stands, and a table when the stages that read it are written. The result reads the documents and ``spans``.
 
 What is removed is each byte of a string of ``length`` bytes that also starts earlier: at a smaller id, or in the same
 document before. Two different pieces around one run are taken for copies if 64 bits of XXH3 agree, which for a run
@@ -461,8 +462,12 @@ class Repeats:
         self.copies = ws.save_freed(self.pieces.where(F.col("kind") == COPY).select("doc", "h", "start", "n"), "copies")
         if not members:
             ws.drop("pieces")
-        texts = texts_of(self.grouped.where(F.col("kind") == PIECE), self.docs, length)
-        self.found = ws.save_freed(compared(texts, length, members), "found")
+        asked = self.grouped.where(F.col("kind") == PIECE)
+        size = asked.agg(F.sum(F.col("n") + length)).first()[0] or 0
+        rounds = max(1, -(-4 * size // max(1, total * (length - GRAM + 2))))  # a piece stands for (length - GRAM + 2) / 2 bytes of text, so a round has half of a text's bytes
+        for k in range(rounds):
+            texts = texts_of(asked.where(F.pmod("g", F.lit(rounds)) == k), self.docs, length)
+            self.found = ws.save_freed(compared(texts, length, members), "found", append=True)
 
     def spans(self) -> DataFrame:
         """``(doc, h, start, stop)`` of the maximal spans of bytes that also stand at an earlier place; what only they read goes."""
